@@ -1,0 +1 @@
+"""Left empty on purpose: the workload has no streaming input, so no streaming operator is built."""
