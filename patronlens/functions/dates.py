@@ -20,10 +20,10 @@ def zodiac(birthday) -> Column:
     signs = [sign for _, sign in rules.ZODIAC]
     opening = F.array(*[F.lit(s) for s in signs])
     closing = F.array(*[F.lit(s) for s in signs[1:] + signs[:1]])
-    month = F.month(day)
-    sign = F.when(
-        F.dayofmonth(day) <= F.element_at(cut_offs, month), F.element_at(opening, month)
-    ).otherwise(F.element_at(closing, month))
+    month = F.month(day) - 1
+    sign = F.when(F.dayofmonth(day) <= F.get(cut_offs, month), F.get(opening, month)).otherwise(
+        F.get(closing, month)
+    )
     return F.coalesce(sign, F.lit(rules.ZODIAC_ELSE))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from patronlens.functions import rules
 from patronlens.functions.labels import band, classify_like, first_match, ratio
+from patronlens.operators.lineage import settle
 from patronlens.operators.orders import completed
 from patronlens.operators.sequence import place
 from patronlens.operators.topk import top_k_per_group
@@ -84,6 +85,7 @@ def weekly_basket(
     unless ``with_year`` is set.
     """
     counted, keys = _weekly_counts(orders, goods, with_year)
+    counted = settle(counted)
     placed = place(counted, keys, ["productName"], F.left("productName", F.lit(2)), F.col("n"))
     end = F.col("start") + F.col("n")
     last = F.floor((end - 1) / part_size)
@@ -117,6 +119,7 @@ def basket_preview(
     Only the first ``items`` names of a week are ever gathered.
     """
     counted, keys = _weekly_counts(orders, goods, False)
+    counted = settle(counted)
     week = F.struct(*keys).alias("_week")  # null-safe as one key
     named = F.col("productName").isNotNull()
     by_name = top_k_per_group(
@@ -289,7 +292,7 @@ def purchase_history(
     without a completed order are left out.
     """
     done = F.col("orderStatus") == rules.COMPLETED
-    owned = (
+    owned = settle(
         purchased_lines(orders, goods, "orderStatus")
         .groupBy("memberId", "productType", "productName")
         .agg(F.count_if(done).alias("bought"))
@@ -317,7 +320,7 @@ def purchase_history(
         ranked, {("type", 1): "_type", ("product", 1): "_product", ("brand", 1): "_brand"}
     ).select("memberId", "_type", "_product", "_brand")
 
-    products = (
+    products = settle(
         owned.filter(F.col("productName").isNotNull())
         .join(favourites, "memberId")
         .groupBy("memberId", "productName", "_type", "_product", "_brand")

@@ -3,22 +3,34 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str | None:
+    """The session's checkpoint folder; a scratch one for local sessions that name none."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and context.master.startswith("local"):
+            named = tempfile.mkdtemp(prefix="checkpoint-")
+        if named is None:
+            return None
+        context.setCheckpointDir(named)
+    return context.getCheckpointDir()
 
 
 def settle(rows: DataFrame) -> DataFrame:
-    """Checkpoint ``rows`` in the shared folder of the session, so lost executors can be replaced.
+    """Write ``rows`` once to the shared checkpoint folder and go on from the written table.
 
-    Without such a folder a local session takes a scratch one; a cluster session
-    keeps the plan as it is and computes it again where needed.
+    For frames that are costly to compute and used more than once. The table outlives
+    lost executors, is read column by column, and its size is known to the planner. A
+    cluster session that names no checkpoint folder computes the rows again instead.
     """
-    context = rows.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = rows.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if shared is None:
-            if not context.master.startswith("local"):
-                return rows
-            shared = tempfile.mkdtemp(prefix="checkpoint-")
-        context.setCheckpointDir(shared)
-    return rows.checkpoint()
+    folder = shared_folder(rows.sparkSession)
+    if folder is None:
+        return rows
+    path = f"{folder}/table-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

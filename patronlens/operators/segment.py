@@ -38,8 +38,10 @@ def fit(
     # Takes at most FEW_VECTORS + 1 rows, to learn whether there are more.
     if vectors.limit(FEW_VECTORS + 1).count() <= FEW_VECTORS:
         vectors = vectors.coalesce(1).sortWithinPartitions(*columns)
+    # The row solver also copes with fewer distinct vectors than clusters.
     estimator = KMeans(
-        k=k, seed=seed, maxIter=iterations, featuresCol="feature", predictionCol="cluster", weightCol="weight"
+        k=k, seed=seed, maxIter=iterations, featuresCol="feature", predictionCol="cluster",
+        weightCol="weight", solver="row",
     )
     return estimator.fit(assemble(vectors, columns))
 

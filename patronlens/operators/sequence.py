@@ -7,6 +7,30 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _stand_in(kind: T.DataType) -> Column:
+    """Any value of a type, to fill nulls that a flag beside it tells apart."""
+    if isinstance(kind, T.StringType):
+        return F.lit("")
+    if isinstance(kind, T.NumericType):
+        return F.lit(0).cast(kind)
+    return F.lit("1970-01-01").cast(kind)
+
+
+def _solid(rows: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Non-null columns that are equal exactly where ``columns`` are, nulls equal to nulls.
+
+    A plain join on them keeps rows with null keys, and the windows and the join agree
+    on how the rows are spread, so nothing is shuffled twice.
+    """
+    filled, names = {}, []
+    for i, name in enumerate(columns):
+        filled[f"_key{i}"] = F.coalesce(F.col(name), _stand_in(rows.schema[name].dataType))
+        filled[f"_null{i}"] = F.col(name).isNull()
+        names += [f"_key{i}", f"_null{i}"]
+    return rows.withColumns(filled), names
 
 
 def place(
@@ -19,45 +43,45 @@ def place(
     """Number the rows of each group in ascending ``order``.
 
     Adds ``start`` (sum of the weights before the row, so the 0-based position when
-    each row weighs 1), ``weight``, ``total`` (sum over the group) and ``following``
-    (first order column of the next row; null on the last).
+    each row weighs 1), ``total`` (sum over the group) and ``following`` (first order
+    column of the next row; null on the last).
 
     ``slice_by`` cuts a group into stretches and must never fall as ``order`` rises.
     Rows are only ever sorted inside one stretch; the stretches are then chained by
     one small row each. So a group holding a third of the table is spread over as
-    many tasks as it has stretches. The stretch is a struct so that null keys keep a
-    group of their own.
+    many tasks as it has stretches. ``rows`` are read twice: settle them first when
+    they are costly to compute.
     """
     first = order[0]
-    cut = rows.withColumn("_w", F.lit(1).cast("bigint") if weight is None else weight)
-    cut = cut.withColumn("_stretch", F.struct(*keys, slice_by.alias("_slice")))
+    cut = rows.withColumns(
+        {"_weight": F.lit(1).cast("bigint") if weight is None else weight, "_slice": slice_by}
+    )
+    cut, stretch = _solid(cut, [*keys, "_slice"])
+    owner, place_in_owner = stretch[:-2], [F.desc(stretch[-1]), F.asc(stretch[-2])]  # null slice first
 
-    group = W.partitionBy(*keys)
-    chain = group.orderBy("_slice")
+    group = W.partitionBy(*owner)
+    chain = group.orderBy(*place_in_owner)
     stretches = (
-        cut.groupBy("_stretch")
-        .agg(F.sum("_w").alias("_n"), F.min(first).alias("_first"))
-        .select("_stretch", "_stretch.*", "_n", "_first")
+        cut.groupBy(*stretch)
+        .agg(F.sum("_weight").alias("_sum"), F.min(first).alias("_first"))
         .select(
-            "_stretch",
-            F.coalesce(F.sum("_n").over(chain.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-            F.sum("_n").over(group).alias("total"),
+            *stretch,
+            F.coalesce(F.sum("_sum").over(chain.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+            F.sum("_sum").over(group).alias("total"),
             F.lead("_first").over(chain).alias("_next_first"),
         )
     )
 
-    inside = W.partitionBy("_stretch").orderBy(*order)
+    inside = W.partitionBy(*stretch).orderBy(*order)
     numbered = cut.select(
         *rows.columns,
-        "_stretch",
-        F.col("_w").alias("weight"),
-        (F.sum("_w").over(inside.rowsBetween(W.unboundedPreceding, 0)) - F.col("_w")).alias("_inside"),
+        *stretch,
+        (F.sum("_weight").over(inside.rowsBetween(W.unboundedPreceding, 0)) - F.col("_weight")).alias("_inside"),
         F.lead(first).over(inside).alias("_next"),
         F.lead(F.lit(True)).over(inside).isNotNull().alias("_more"),
     )
-    return numbered.join(stretches, "_stretch").select(
+    return numbered.join(stretches, stretch).select(
         *rows.columns,
-        "weight",
         (F.col("_before") + F.col("_inside")).alias("start"),
         "total",
         F.when(F.col("_more"), F.col("_next")).otherwise(F.col("_next_first")).alias("following"),

@@ -286,12 +286,11 @@ def coupon_scores_scaled(x):
 
 @_query
 def discount_scores(x):
-    return baskets.discount_scores(baskets.lines_with_paid_amount(x.done, x.goods))
+    return baskets.discount_scores(x.discounted)
 
 
 def _discount_scores(x):
-    lines = baskets.lines_with_paid_amount(x.done, x.goods)
-    return baskets.discount_scores(lines, bought=rules.BUY_SCORE_SCALED)
+    return baskets.discount_scores(x.discounted, bought=rules.BUY_SCORE_SCALED)
 
 
 @_query

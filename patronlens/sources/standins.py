@@ -7,6 +7,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from patronlens.operators.baskets import lines_with_paid_amount
+
 LOGS_AS_OF = "2024-01-31"
 ORDERS_AS_OF = "2001-08-02"
 
@@ -99,7 +101,7 @@ class StandIns:
         return self._table("events").select(
             event.alias("id"),
             F.col("user_id").alias("global_user_id"),
-            F.element_at(F.array(*[F.lit(a) for a in agents]), (event % 5 + 1).cast("int")).alias("user_agent"),
+            F.get(F.array(*[F.lit(a) for a in agents]), (event % 5).cast("int")).alias("user_agent"),
             url.alias("loc_url"),
             F.col("ts").alias("log_time"),
         )
@@ -117,3 +119,8 @@ class StandIns:
     @cached_property
     def provinces(self) -> DataFrame:
         return self._table("region").select(F.col("r_name").alias("map_name"))
+
+    @property
+    def discounted(self) -> DataFrame:
+        """Purchases with paid and list amount, here one per order line."""
+        return lines_with_paid_amount(self.done, self.goods)

@@ -109,20 +109,23 @@ def write(
     key: str | Sequence[str],
     mode: str = "errorifexists",
     newest: str | None = None,
+    unique: bool = False,
     sort: bool = True,
 ) -> None:
     """Write a table with one row per key.
 
     ``mode`` is ``errorifexists``, ``overwrite``, ``append`` (one row per key within
-    the batch) or ``upsert`` (one row per key in the whole table). Rows are laid out
-    by range of the key, so a lookup by key reads few row groups.
+    the batch) or ``upsert`` (one row per key in the whole table). ``unique`` says that
+    the rows already have one row per key, which saves a shuffle. Rows are laid out by
+    range of the key, so a lookup by key reads few row groups.
 
     An upsert writes the merged table beside the old one and swaps the two names, so
     a job that dies before the swap leaves the old table whole.
     """
     spark = rows.sparkSession
     keys = [key] if isinstance(key, str) else list(key)
-    rows = latest_by_key(rows, keys, newest)
+    if not unique:
+        rows = latest_by_key(rows, keys, newest)
     swap = mode == "upsert" and table_exists(spark, path)
     if swap:
         rows = merge_by_key(spark.read.parquet(path), rows, keys)
