@@ -37,7 +37,11 @@ def by_contact(rows: DataFrame, contact: str) -> DataFrame:
 
 
 def by_contacts(rows: DataFrame, requests: DataFrame) -> DataFrame:
-    """The same for a table of requests (column ``contact``): each is answered from its own column."""
+    """The same for a table of requests (column ``contact``): each is answered from its own column.
+
+    Equal requests are answered once.
+    """
+    requests = requests.select("contact").distinct()
     is_email = F.contains(F.col("contact"), F.lit("@"))
     emails = rows.join(requests.filter(is_email), F.col("email") == F.col("contact"))
     mobiles = rows.join(requests.filter(~is_email), F.col("mobile") == F.col("contact"))
@@ -49,8 +53,12 @@ def by_id(rows: DataFrame, value, key: str = "memberId") -> DataFrame:
 
 
 def by_ids(rows: DataFrame, requests: DataFrame, key: str = "memberId") -> DataFrame:
-    """Rows of the ids in ``requests`` (column ``wanted``)."""
-    return rows.join(requests.select("wanted"), F.col(key) == F.col("wanted"), "left_semi")
+    """Rows of the ids in ``requests`` (column ``wanted``).
+
+    Repeated requests shrink to one before the shuffle, so a much-asked id is no hot key.
+    """
+    wanted = requests.select("wanted").distinct()
+    return rows.join(wanted, F.col(key) == F.col("wanted"), "left_semi")
 
 
 def as_json(rows: DataFrame) -> DataFrame:

@@ -24,9 +24,16 @@ def fit(
     regularisation: float = rules.ALS_REGULARISATION,
     alpha: float = rules.ALS_ALPHA,
     seed: int = 0,
+    blocks: int | None = None,
 ) -> ALSModel:
-    """Implicit-feedback factors; rows without a user or item take no part."""
+    """Implicit-feedback factors; rows without a user or item take no part.
+
+    Users and items are spread over ``blocks`` blocks each, by default as many as the
+    cluster runs tasks at once.
+    """
+    blocks = blocks or max(10, ratings.sparkSession.sparkContext.defaultParallelism)
     estimator = ALS(
+        numUserBlocks=blocks, numItemBlocks=blocks,
         userCol=user, itemCol=item, ratingCol="rating", rank=rank, maxIter=iterations,
         regParam=regularisation, alpha=alpha, implicitPrefs=True, coldStartStrategy="drop", seed=seed,
     ).setPredictionCol("predict")

@@ -323,22 +323,26 @@ preferences AS (
   WHERE t.rn = 1)"""
 ORACLES["product_preference"] = _sql("o g", _PREFERENCE + "\nSELECT * FROM preferences")
 
-_BASKETS = _LINES + """,
-baskets AS (
-  SELECT member, CAST(weekofyear(moment) AS INT) AS cycle, string_agg(product, ', ' ORDER BY product) AS products, count(*) AS count
-  FROM lines GROUP BY member, weekofyear(moment))"""
-ORACLES["weekly_basket"] = _sql("u o g", _BASKETS + """
-SELECT u.id, cycle, CAST(0 AS BIGINT) AS part, products, count, email, mobile
-FROM baskets JOIN u ON u.id = baskets.member""")
-ORACLES["weekly_basket_by_year"] = _sql("u o g", _LINES + """,
+
+
+def _baskets(size: int, year: bool = False) -> str:
+    week = "isoyear(moment), weekofyear(moment)" if year else "weekofyear(moment)"
+    year_out, year_by = ("CAST(isoyear(moment) AS INT) AS year, ", "year, ") if year else ("", "")
+    return _LINES + f""",
 placed AS (
-  SELECT member, CAST(isoyear(moment) AS INT) AS year, CAST(weekofyear(moment) AS INT) AS cycle, product,
-    row_number() OVER (PARTITION BY member, isoyear(moment), weekofyear(moment) ORDER BY product) - 1 AS place,
-    count(*) OVER (PARTITION BY member, isoyear(moment), weekofyear(moment)) AS count
-  FROM lines)
-SELECT u.id, year, cycle, CAST(place // 3 AS BIGINT) AS part, string_agg(product, ', ' ORDER BY product) AS products,
-  count, email, mobile
-FROM placed JOIN u ON u.id = placed.member GROUP BY u.id, year, cycle, place // 3, count, email, mobile""")
+  SELECT member, {year_out}CAST(weekofyear(moment) AS INT) AS cycle, product,
+    row_number() OVER (PARTITION BY member, {week} ORDER BY product) - 1 AS place,
+    count(*) OVER (PARTITION BY member, {week}) AS count
+  FROM lines),
+baskets AS (
+  SELECT member, {year_by}cycle, CAST(place // {size} AS BIGINT) AS part,
+    string_agg(product, ', ' ORDER BY product) AS products, count
+  FROM placed GROUP BY member, {year_by}cycle, place // {size}, count)"""
+
+
+_SOLD = ", cycle, part, products, count, email, mobile FROM baskets JOIN u ON u.id = baskets.member"
+ORACLES["weekly_basket"] = _sql("u o g", _baskets(10000) + "\nSELECT u.id" + _SOLD)
+ORACLES["weekly_basket_by_year"] = _sql("u o g", _baskets(3, year=True) + "\nSELECT u.id, year" + _SOLD)
 
 _PREVIEWS = """,
 numbered AS (
@@ -567,8 +571,8 @@ _CONTACTS = """,
 contacts AS (SELECT CASE WHEN id % 2 = 0 THEN email ELSE mobile END AS contact FROM u)"""
 ORACLES["lookup_profile"] = _sql("u l r", _PROFILES_LEFT + _CONTACTS + """
 SELECT profiles.*, contact FROM profiles JOIN contacts ON CASE WHEN contact LIKE '%@%' THEN email ELSE mobile END = contact""")
-ORACLES["lookup_basket"] = _sql("u o g", _BASKETS + _CONTACTS + """
-SELECT cycle, CAST(0 AS BIGINT) AS part, products, count, email, mobile, contact
+ORACLES["lookup_basket"] = _sql("u o g", _baskets(10000) + _CONTACTS + """
+SELECT cycle, part, products, count, email, mobile, contact
 FROM baskets JOIN u ON u.id = baskets.member
   JOIN contacts ON CASE WHEN contact LIKE '%@%' THEN email ELSE mobile END = contact""")
 ORACLES["lookup_consumer"] = _sql("o", _CONSUMERS_SCALED + """
