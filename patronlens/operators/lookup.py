@@ -39,13 +39,15 @@ def by_contact(rows: DataFrame, contact: str) -> DataFrame:
 def by_contacts(rows: DataFrame, requests: DataFrame) -> DataFrame:
     """The same for a table of requests (column ``contact``): each is answered from its own column.
 
-    Equal requests are answered once.
+    Each row offers its e-mail and its mobile number, so ``rows`` are computed once and
+    met by one equi-join. Equal requests are answered once.
     """
-    requests = requests.select("contact").distinct()
-    is_email = F.contains(F.col("contact"), F.lit("@"))
-    emails = rows.join(requests.filter(is_email), F.col("email") == F.col("contact"))
-    mobiles = rows.join(requests.filter(~is_email), F.col("mobile") == F.col("contact"))
-    return emails.unionByName(mobiles)
+    is_email = lambda c: F.contains(F.col(c), F.lit("@"))
+    offers = F.array_compact(
+        F.array(F.when(is_email("email"), F.col("email")), F.when(~is_email("mobile"), F.col("mobile")))
+    )
+    offered = rows.select("*", F.explode(offers).alias("contact"))
+    return offered.join(requests.select("contact").distinct(), "contact").select(*rows.columns, "contact")
 
 
 def by_id(rows: DataFrame, value, key: str = "memberId") -> DataFrame:

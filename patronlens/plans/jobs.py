@@ -21,12 +21,14 @@ from patronlens.sources import tables
 from patronlens.sources.typed import TypedSources
 
 BRAND_LABELS = [rules.HOUSE_BRAND, *[label for _, label in rules.BRANDS if label != rules.HOUSE_BRAND], rules.BRAND_NONE]
+CONTACTS = ("email", "mobile")
 
 
 class Job(NamedTuple):
     build: Callable[["Run"], DataFrame]
     key: list[str]
     needs: list[str]
+    lookups: tuple[str, ...] = ()
 
 
 class Run:
@@ -51,7 +53,7 @@ class Run:
         job = JOBS[name]
         for needed in job.needs:
             self.write(needed)
-        tables.write(job.build(self), f"{self.out}/{name}", job.key, self.mode, unique=True)
+        tables.write(job.build(self), f"{self.out}/{name}", job.key, self.mode, unique=True, lookups=job.lookups)
         self.written.add(name)
 
 
@@ -84,7 +86,8 @@ def _brand_age(run: Run) -> DataFrame:
 
 JOBS: dict[str, Job] = {
     "user": Job(
-        lambda r: profile.user_profile(r.sources.users, r.sources.logs, r.sources.regions, r.as_of), ["id"], []
+        lambda r: profile.user_profile(r.sources.users, r.sources.logs, r.sources.regions, r.as_of),
+        ["id"], [], CONTACTS,
     ),
     "consumer_rfm": Job(_consumer_rfm, ["memberId"], []),
     "consumer": Job(
@@ -104,7 +107,7 @@ JOBS: dict[str, Job] = {
     "pre_product": Job(lambda r: baskets.product_preference(r.sources.done, r.sources.goods), ["memberId"], []),
     "cycle": Job(
         lambda r: baskets.weekly_basket(r.sources.done, r.sources.goods, r.table("user")),
-        ["id", "cycle", "part"], ["user"],
+        ["id", "cycle", "part"], ["user"], CONTACTS,
     ),
     "agegender": Job(_value("age", "gender"), ["age", "gender"], ["user", "consumer_rfm"]),
     "provincerf": Job(_value("province", truncate=True), ["province"], ["user", "consumer_rfm"]),

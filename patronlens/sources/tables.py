@@ -77,6 +77,12 @@ def conform(raw: DataFrame, name: str) -> DataFrame:
     return raw.select(*[typed(field) for field in SCHEMAS[name]])
 
 
+def regions_from_json(raw: DataFrame, key: str = "region_key", body: str = "body") -> DataFrame:
+    """Region dimension from JSON answers of an area service, one per key."""
+    part = lambda name: F.get_json_object(F.col(body), f"$.data.{name}").alias(name)
+    return raw.select(F.col(key).cast("string").alias("region_key"), part("province"), part("city"))
+
+
 def latest_by_key(rows: DataFrame, key: str | Sequence[str], newest: str | None = None) -> DataFrame:
     """One row per key: the one with the highest ``newest``, ties by the other columns."""
     keys = [key] if isinstance(key, str) else list(key)
@@ -111,13 +117,15 @@ def write(
     newest: str | None = None,
     unique: bool = False,
     sort: bool = True,
+    lookups: Sequence[str] = (),
 ) -> None:
     """Write a table with one row per key.
 
     ``mode`` is ``errorifexists``, ``overwrite``, ``append`` (one row per key within
     the batch) or ``upsert`` (one row per key in the whole table). ``unique`` says that
     the rows already have one row per key, which saves a shuffle. Rows are laid out by
-    range of the key, so a lookup by key reads few row groups.
+    range of the key, so a lookup by key reads few row groups; ``lookups`` names further
+    columns that get Bloom filters, so that a lookup by one of them skips row groups too.
 
     An upsert writes the merged table beside the old one and swaps the two names, so
     a job that dies before the swap leaves the old table whole.
@@ -131,12 +139,13 @@ def write(
         rows = merge_by_key(spark.read.parquet(path), rows, keys)
     if sort:
         rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    writer = rows.write.options(**{f"parquet.bloom.filter.enabled#{c}": "true" for c in lookups})
     if not swap:
-        rows.write.mode("errorifexists" if mode == "upsert" else mode).parquet(path)
+        writer.mode("errorifexists" if mode == "upsert" else mode).parquet(path)
         return
     fs, jvm_path = _files(spark, path)
     fresh, old = f"{path}.next", f"{path}.old"
-    rows.write.mode("overwrite").parquet(fresh)
+    writer.mode("overwrite").parquet(fresh)
     fs.rename(jvm_path(path), jvm_path(old))
     fs.rename(jvm_path(fresh), jvm_path(path))
     fs.delete(jvm_path(old), True)

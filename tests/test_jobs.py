@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from patronlens.operators import lookup
 from patronlens.plans.jobs import JOBS, Run
 from patronlens.sources import tables
 from patronlens.sources.standins import StandIns
@@ -48,6 +49,12 @@ def test_every_table_is_built_and_keyed(spark, sources, tmp_path_factory):
     known = run.table("user").select(F.col("id").alias("memberId"))
     total = sources.done.join(known, "memberId", "left_semi").agg(F.sum("orderAmount")).first()[0]
     assert spend == int(total)
+    one = run.table("user").first()
+    for contact in (one["email"], one["mobile"]):
+        found = lookup.by_contact(run.table("user"), contact)
+        assert [r["id"] for r in found.collect()] == [one["id"]]
+        column = "email" if "@" in contact else "mobile"
+        assert f"EqualTo({column},{contact})" in found._jdf.queryExecution().executedPlan().toString()
     brands = {"海尔", "卡萨帝", "摩卡", "小超人", "统帅", "无偏好", "age"}
     assert set(run.table("Brand_age").columns) == brands
 

@@ -102,3 +102,21 @@ def test_export_passes_everything_to_the_writer():
         "mode": "append", "numPartitions": 3, "batchsize": 10000, "url": "jdbc:db:x",
         "table": "consumer_rfm", "properties": {"user": "u"},
     }
+
+
+def test_regions_from_json(spark):
+    raw = spark.createDataFrame(
+        [(1380000, '{"code":0,"data":{"province":"山东","city":"青岛","sp":"x"}}'), (1390000, '{"data":{"province":"北京","city":""}}'), (1, "oops")],
+        "region_key int, body string",
+    )
+    got = {r["region_key"]: (r["province"], r["city"]) for r in tables.regions_from_json(raw).collect()}
+    assert got == {"1380000": ("山东", "青岛"), "1390000": ("北京", ""), "1": (None, None)}
+
+
+def test_bloom_filters_on_lookup_columns(spark, tmp_path):
+    rows = spark.range(50000).selectExpr("id", "concat('u', id * 7919, '@x') AS email")
+    tables.write(rows, f"{tmp_path}/plain", "id", unique=True)
+    tables.write(rows, f"{tmp_path}/bloom", "id", unique=True, lookups=["email"])
+    size = lambda name: sum(f.stat().st_size for f in (tmp_path / name).glob("*.parquet"))
+    assert size("bloom") > size("plain")
+    assert spark.read.parquet(f"{tmp_path}/bloom").filter("email = 'u7919@x'").collect() == [(1, "u7919@x")]
