@@ -23,6 +23,17 @@ def purchased_lines(orders: DataFrame, goods: DataFrame, *order_columns: str) ->
     return goods.join(kept, F.col("cOrderSn") == F.col("orderSn")).drop("orderSn", "cOrderSn")
 
 
+def _per_order(orders: DataFrame, goods: DataFrame, sums: Sequence[Column], how: str = "inner") -> DataFrame:
+    """Orders with sums over their lines.
+
+    The lines shrink to one row per order before they are shuffled, and the join uses
+    the partitioning of that aggregation. So it costs no shuffle of its own, and an
+    order with very many lines is no hot key.
+    """
+    summed = goods.groupBy("cOrderSn").agg(*sums)
+    return orders.join(summed, F.col("orderSn") == F.col("cOrderSn"), how).drop("cOrderSn")
+
+
 def _one_row_per_member(ranked: DataFrame, names: dict[tuple[str, int], str]) -> DataFrame:
     """Ranked (memberId, kind, value, rank) rows as one row with a column per (kind, rank)."""
     picks = [
@@ -153,17 +164,18 @@ def coupon_scores(
 ) -> DataFrame:
     """Scores for completed lines bought with a coupon, a gift card or at an activity price.
 
-    Every member has a row. Lines are summed per order before the join: the join then
-    meets one row per order on both sides and needs no further shuffle of the lines. A
-    gift card kept on the order counts once per line, as joined rows would.
+    Every member has a row. A gift card kept on the order counts once per line, as
+    joined rows would.
     """
     used = lambda c: F.count_if(F.col(c).cast("double") != 0).alias(c)
     on_line = "giftCardAmount" in goods.columns
     flags = ["couponAmount", "activityPrice"] + (["giftCardAmount"] if on_line else [])
-    per_order = goods.groupBy("cOrderSn").agg(F.count(F.lit(1)).alias("_lines"), *[used(c) for c in flags])
     card_column = [] if on_line else [F.col("giftCardAmount").alias("_card")]
-    joined = orders.select("orderSn", "memberId", "orderStatus", *card_column).join(
-        per_order, F.col("orderSn") == F.col("cOrderSn"), "left"
+    joined = _per_order(
+        orders.select("orderSn", "memberId", "orderStatus", *card_column),
+        goods,
+        [F.count(F.lit(1)).alias("_lines"), *[used(c) for c in flags]],
+        "left",
     )
     cards = (
         F.col("giftCardAmount")
@@ -185,42 +197,47 @@ def coupon_scores(
     )
 
 
-def lines_with_paid_amount(orders: DataFrame, goods: DataFrame) -> DataFrame:
-    """Completed lines with paid and list amount, where a discount is known per line only."""
-    listed = F.col("productAmount").cast("double")
-    paid = listed * (1 - F.col("couponAmount").cast("double"))
-    lines = purchased_lines(completed(orders), goods, "orderStatus")
-    return lines.select("memberId", "orderStatus", paid.alias("orderAmount"), listed.alias("productAmount"))
+def _discount_sums() -> list[Column]:
+    """Partial sums over rows with a paid-to-list ratio ``_rate``; they add up to any level."""
+    return [
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("_rate") < 1).alias("cheaper"),
+        F.sum("_rate").alias("rates"),
+        F.count("_rate").alias("rated"),
+    ]
 
 
 def discount_scores(
-    purchases: DataFrame,
+    orders: DataFrame,
+    goods: DataFrame | None = None,
     bought=rules.BUY_SCORE,
     discounted=rules.DISCOUNT_COUNT_SCORE,
     depth=rules.DISCOUNT_RATIO_SCORE,
 ) -> DataFrame:
     """Scores for number of purchases, discounted purchases and mean paid-to-list ratio.
 
-    Takes any frame with memberId, orderStatus, orderAmount and productAmount. The
+    Purchases are completed orders with orderAmount and productAmount, or, with
+    ``goods``, their lines with productAmount and the discount share couponAmount. The
     mean is rounded far below the cuts, so it does not depend on the order in which
     partial sums arrive.
     """
-    rate = ratio("orderAmount", "productAmount")
-    counts = (
-        completed(purchases)
-        .withColumn("_rate", rate)
-        .groupBy("memberId")
-        .agg(
-            F.count("memberId").alias("n"),
-            F.count_if(F.col("_rate") < 1).alias("cheaper"),
-            F.round(F.avg("_rate"), 9).alias("mean_rate"),
+    if goods is None:
+        rated = completed(orders).withColumn("_rate", ratio("orderAmount", "productAmount"))
+        counts = rated.groupBy("memberId").agg(*_discount_sums())
+    else:
+        listed = F.col("productAmount").cast("double")
+        paid = listed * (1 - F.col("couponAmount").cast("double"))
+        lines = goods.select("cOrderSn", ratio(paid, listed).alias("_rate"))
+        kept = completed(orders).select("orderSn", "memberId")
+        summed = _per_order(kept, lines, _discount_sums())
+        counts = summed.groupBy("memberId").agg(
+            *[F.sum(c).alias(c) for c in ("n", "cheaper", "rates", "rated")]
         )
-    )
     return counts.select(
         "memberId",
         band("n", bought).alias("colbuy"),
         band("cheaper", discounted).alias("coldis"),
-        band("mean_rate", depth).alias("colavgdis"),
+        band(F.round(ratio("rates", "rated"), 9), depth).alias("colavgdis"),
     )
 
 
@@ -233,6 +250,14 @@ def _brand_weight(brand: Column, house: str, otherwise: str, none: int) -> Colum
     return first_match(cases, rules.SUB_BRAND_WEIGHT)
 
 
+def _member_counts(orders: DataFrame, goods: DataFrame, kind: Column, names: dict[str, object]) -> DataFrame:
+    """Lines per member of each kind, one column per entry of ``names`` (column to kind)."""
+    lines = goods.select("cOrderSn", kind.alias("_kind"))
+    counted = [F.count_if(F.col("_kind") == value).alias(name) for name, value in names.items()]
+    joined = _per_order(orders.select("orderSn", "memberId"), lines, counted)
+    return joined.groupBy("memberId").agg(*[F.sum(name).alias(name) for name in names])
+
+
 def brand_preference(
     orders: DataFrame,
     goods: DataFrame,
@@ -243,16 +268,12 @@ def brand_preference(
 ) -> DataFrame:
     """Brand with the highest weighted number of completed lines per member.
 
-    The brands are few and known, so each is one conditional count of a single
-    aggregation and the best is picked inside the row. Equal scores: lower name.
+    The brands are few and known, so each is one conditional count per order, summed
+    per member, and the best is picked inside the row. Equal scores: lower name.
     """
     labels = sorted([label for _, label in brands] + [otherwise])
-    lines = purchased_lines(completed(orders), goods).select(
-        "memberId", brand_class(brands, otherwise).alias("brand")
-    )
-    counts = lines.groupBy("memberId").agg(
-        *[F.count_if(F.col("brand") == label).alias(f"_n{i}") for i, label in enumerate(labels)]
-    )
+    names = {f"_n{i}": label for i, label in enumerate(labels)}
+    counts = _member_counts(completed(orders), goods, brand_class(brands, otherwise), names)
 
     def entry(i: int, label: str) -> Column:
         n = F.col(f"_n{i}")
@@ -271,10 +292,17 @@ def brand_ratings(
     codes: Sequence[tuple[str, int]] = rules.BRAND_CODES,
 ) -> DataFrame:
     """Lines per user and brand code, all orders; lines of no known brand are left out."""
-    lines = purchased_lines(orders, goods).select("memberId", classify_like("productName", codes).alias("brand"))
-    counts = lines.filter(F.col("brand").isNotNull()).groupBy("memberId", "brand").agg(F.count("brand").alias("rating"))
+    names = {f"_n{code}": code for _, code in codes}
+    counts = _member_counts(orders, goods, classify_like("productName", codes), names)
+    entries = F.array(
+        *[F.struct(F.lit(code).alias("brand"), F.col(name).alias("rating")) for name, code in names.items()]
+    )
     known = users.select(F.col("id").alias("user_id"))
-    return known.join(counts, F.col("user_id") == F.col("memberId")).select("user_id", "brand", "rating")
+    return (
+        known.join(counts, F.col("user_id") == F.col("memberId"))
+        .select("user_id", F.inline(entries))
+        .filter(F.col("rating") > 0)
+    )
 
 
 def purchase_history(

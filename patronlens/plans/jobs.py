@@ -98,7 +98,7 @@ JOBS: dict[str, Job] = {
         ["id"], [],
     ),
     "consumer_anas": Job(
-        lambda r: _titled(segment.discount_segment(baskets.discount_scores(r.sources.discounted)), "thrift"),
+        lambda r: _titled(segment.discount_segment(baskets.discount_scores(r.sources.done)), "thrift"),
         ["id"], [],
     ),
     "usertitle": Job(_user_title, ["id"], ["user", "consumer_ana1", "consumer_anas"]),

@@ -286,11 +286,11 @@ def coupon_scores_scaled(x):
 
 @_query
 def discount_scores(x):
-    return baskets.discount_scores(x.discounted)
+    return baskets.discount_scores(x.done, x.goods)
 
 
 def _discount_scores(x):
-    return baskets.discount_scores(x.discounted, bought=rules.BUY_SCORE_SCALED)
+    return baskets.discount_scores(x.done, x.goods, bought=rules.BUY_SCORE_SCALED)
 
 
 @_query

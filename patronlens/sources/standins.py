@@ -7,8 +7,6 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.operators.baskets import lines_with_paid_amount
-
 LOGS_AS_OF = "2024-01-31"
 ORDERS_AS_OF = "2001-08-02"
 
@@ -119,8 +117,3 @@ class StandIns:
     @cached_property
     def provinces(self) -> DataFrame:
         return self._table("region").select(F.col("r_name").alias("map_name"))
-
-    @property
-    def discounted(self) -> DataFrame:
-        """Purchases with paid and list amount, here one per order line."""
-        return lines_with_paid_amount(self.done, self.goods)

@@ -53,8 +53,3 @@ class TypedSources:
     @cached_property
     def regions(self) -> DataFrame:
         return tables.read(self.spark, self.directory, "regions")
-
-    @property
-    def discounted(self) -> DataFrame:
-        """Purchases with paid and list amount, here one per order."""
-        return self.done
