@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronlens.functions import rules, web
+from patronlens.operators.lineage import shared_folder
 
 
 def product_ratings(logs: DataFrame) -> DataFrame:
@@ -29,9 +32,9 @@ def fit(
     """Implicit-feedback factors; rows without a user or item take no part.
 
     Users and items are spread over ``blocks`` blocks each, by default as many as the
-    cluster runs tasks at once.
+    cluster runs tasks at once, as every block holds its share of all ratings.
     """
-    blocks = blocks or max(10, ratings.sparkSession.sparkContext.defaultParallelism)
+    blocks = blocks or max(2, ratings.sparkSession.sparkContext.defaultParallelism)
     estimator = ALS(
         numUserBlocks=blocks, numItemBlocks=blocks,
         userCol=user, itemCol=item, ratingCol="rating", rank=rank, maxIter=iterations,
@@ -61,5 +64,20 @@ def top_items(model: ALSModel, k: int, users: DataFrame | None = None) -> DataFr
     )
 
 
+def settled(model: ALSModel, spark: SparkSession) -> ALSModel:
+    """The model saved to the shared folder and loaded again.
+
+    The factors then outlive lost executors, and they come back in partitions sized by
+    their bytes. Scoring pairs every partition of users with every partition of items,
+    so the many blocks that suit the fit would mean far too many tasks.
+    """
+    folder = shared_folder(spark)
+    if folder is None:
+        return model
+    path = f"{folder}/model-{uuid.uuid4().hex}"
+    save_model(model, path)
+    return load_model(path)
+
+
 def recommend(ratings: DataFrame, item: str, k: int, **options) -> DataFrame:
-    return top_items(fit(ratings, item, **options), k)
+    return top_items(settled(fit(ratings, item, **options), ratings.sparkSession), k)

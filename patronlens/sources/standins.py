@@ -10,6 +10,19 @@ from pyspark.sql import functions as F
 LOGS_AS_OF = "2024-01-31"
 ORDERS_AS_OF = "2001-08-02"
 
+# Stated rather than inferred: inference would cost a job per table and query.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_extendedprice double, l_discount double, l_tax double,"
+    " l_returnflag string",
+    "part": "p_partkey bigint, p_name string, p_type string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string",
+}
+
 
 class StandIns:
     """Lazy typed frames over one directory of test tables."""
@@ -19,7 +32,7 @@ class StandIns:
         self.directory = directory
 
     def _table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.directory}/{name}.parquet")
 
     @cached_property
     def users(self) -> DataFrame:
