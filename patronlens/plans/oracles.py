@@ -179,7 +179,7 @@ rated AS (
 
 for _name, _cuts in {"login_intensity": _INTENSITY, "login_intensity_scaled": _INTENSITY_SCALED}.items():
     ORACLES[_name] = _sql("u l", _LOGINS + _RATED.format(how="") + f"""
-SELECT id, round(rate, 9) AS rate, {_cuts} AS band FROM rated""")
+SELECT id, rate, {_cuts} AS band FROM rated""")
 
 _PROFILE = f"""SELECT id, username, {_DEMOGRAPHICS}, email, mobile, province, city,
   strftime(birthday, '%Y-%m-%d') AS birthday, {_RECENT} AS log_recent, {{intensity}} AS log_f,
@@ -200,7 +200,7 @@ done AS (SELECT * FROM o WHERE status = '202')"""
 
 ORACLES["member_key_spend"] = _sql("o", _DONE + """
 SELECT CAST(CAST(right(CAST(member AS VARCHAR), 3) AS BIGINT) AS VARCHAR) AS "memberId",
-  count(*) AS done, round(CAST(sum(amount) AS DOUBLE), 2) AS amount
+  count(*) AS done, CAST(sum(amount) AS DOUBLE) AS amount
 FROM done GROUP BY 1""")
 
 _SPANS = _DONE + """,
@@ -217,7 +217,7 @@ for _name, _cuts, _days in [
 ]:
     ORACLES[_name] = _sql("o", _SPANS + f""",
 c AS (SELECT member, id, CAST(span AS DOUBLE) / {_days} AS cycle FROM spans)
-SELECT member AS "memberId", id, round(cycle, 9) AS cycle, {_cuts} AS band FROM c""")
+SELECT member AS "memberId", id, cycle, {_cuts} AS band FROM c""")
 
 _PAYMENTS = """,
 payments AS (
@@ -229,14 +229,14 @@ SELECT member AS "memberId", payment AS "paymentName" FROM payments""")
 
 for _name, _cuts in {"avg_order_band": _AVERAGE, "avg_order_band_scaled": _AVERAGE_SCALED}.items():
     ORACLES[_name] = _sql("o", _SPANS + f"""
-SELECT member AS "memberId", round(aov, 9) AS aov, {_cuts} AS band FROM spans""")
+SELECT member AS "memberId", aov, {_cuts} AS band FROM spans""")
 for _name, _cuts in {"max_order_band": _LARGEST, "max_order_band_scaled": _LARGEST_SCALED}.items():
     ORACLES[_name] = _sql("o", _SPANS + f"""
 SELECT member AS "memberId", max_amount, {_cuts} AS band FROM spans""")
 for _name, _low, _high in [("purchase_frequency", 1.6, 1.8), ("purchase_frequency_scaled", 0.0025, 0.004)]:
     ORACLES[_name] = _sql("o", _SPANS + f""",
 f AS (SELECT member, CAST(n AS DOUBLE) / span AS freq FROM spans)
-SELECT member AS "memberId", round(freq, 9) AS freq, {_three("freq", _low, _high)} AS level FROM f""")
+SELECT member AS "memberId", freq, {_three("freq", _low, _high)} AS level FROM f""")
 
 _RETURNS = """,
 sent_back AS (
@@ -245,7 +245,7 @@ sent_back AS (
   FROM o GROUP BY member)"""
 for _name, _low, _high in [("return_propensity", 0.005, 0.01), ("return_propensity_scaled", 0.25, 0.4)]:
     ORACLES[_name] = _sql("o", _RETURNS + f"""
-SELECT member AS "memberId", round(exchanged, 9) AS exchange_rate, round(returned, 9) AS return_rate,
+SELECT member AS "memberId", exchanged AS exchange_rate, returned AS return_rate,
   {_three("exchanged", _low, _high)} AS exchange_level, {_three("returned", _low, _high)} AS return_level
 FROM sent_back""")
 
@@ -277,7 +277,7 @@ metrics AS (
 # 2001-08-02 less 660 days is 1999-10-12
 for _name, _as_of in {"rfm_metrics": "2001-08-02", "rfm_metrics_shifted": "1999-10-12"}.items():
     ORACLES[_name] = _sql("o", _metrics(_as_of) + """
-SELECT member AS "memberId", recency, frequency, round(money, 2) AS money FROM metrics""")
+SELECT member AS "memberId", recency, frequency, money FROM metrics""")
 
 _RECENCY = "CASE WHEN recency <= {} THEN 5 WHEN recency <= {} THEN 4 WHEN recency <= {} THEN 3 WHEN recency <= {} THEN 2 ELSE 1 END"
 ORACLES["rfm_scores"] = _sql("o", _metrics("2001-08-02") + f"""
@@ -535,7 +535,7 @@ age_gender AS (
   SELECT {_AGE} AS age, {_GENDER} AS gender, count(*) AS users, avg(value) AS value
   FROM u JOIN totals ON u.id = totals."memberId" GROUP BY 1, 2)"""
 ORACLES["value_by_age_gender"] = _sql("u o", _AGE_GENDER + """
-SELECT age, gender, users, round(value, 9) AS value FROM age_gender""")
+SELECT age, gender, users, value FROM age_gender""")
 ORACLES["gender_totals"] = _sql("u o", _AGE_GENDER + """
 SELECT gender, CAST(sum(users) AS BIGINT) AS users FROM age_gender GROUP BY gender""")
 ORACLES["age_gender_matrix"] = _sql("u o", _AGE_GENDER + """

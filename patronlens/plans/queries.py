@@ -1,7 +1,7 @@
 """Query catalogue: every operator over the bundled test tables.
 
-Times and dates are shown as text and means are rounded, so that results compare
-equal across engines; the operators themselves return typed, unrounded columns.
+Times, dates and lists are shown as text and decimals as doubles, so that results
+compare equal across engines; the operators themselves return typed columns.
 """
 
 from __future__ import annotations
@@ -36,8 +36,8 @@ def _moment(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in columns})
 
 
-def _rounded(rows: DataFrame, *columns: str, digits: int = 9) -> DataFrame:
-    return rows.withColumns({c: F.round(c, digits) for c in columns})
+def _doubles(rows: DataFrame, *columns: str) -> DataFrame:
+    return rows.withColumns({c: F.col(c).cast("double") for c in columns})
 
 
 def _texts(rows: DataFrame, *columns: str, by: str = ", ") -> DataFrame:
@@ -79,12 +79,12 @@ def login_recency_later(x):
 
 @_query
 def login_intensity(x):
-    return _rounded(profile.login_intensity(x.users, x.logs), "rate")
+    return profile.login_intensity(x.users, x.logs)
 
 
 @_query
 def login_intensity_scaled(x):
-    return _rounded(profile.login_intensity(x.users, x.logs, rules.LOGIN_INTENSITY_SCALED), "rate")
+    return profile.login_intensity(x.users, x.logs, rules.LOGIN_INTENSITY_SCALED)
 
 
 def _profiles(x, how="inner"):
@@ -116,10 +116,7 @@ def region_display(x):
 def member_key_spend(x):
     """Completed spend per three-digit member suffix: members sharing a suffix are merged."""
     keyed = x.done.withColumn("memberId", member_key("memberId"))
-    return _rounded(
-        orders.member_facts(keyed).select("memberId", "done", F.col("amount").cast("double").alias("amount")),
-        "amount", digits=2,
-    )
+    return _doubles(orders.member_facts(keyed).select("memberId", "done", "amount"), "amount")
 
 
 # --- orders ----------------------------------------------------------------
@@ -127,17 +124,17 @@ def member_key_spend(x):
 
 @_query
 def purchase_cycle(x):
-    return _rounded(orders.purchase_cycle(x.done), "cycle")
+    return orders.purchase_cycle(x.done)
 
 
 @_query
 def purchase_cycle_scaled(x):
-    return _rounded(orders.purchase_cycle(x.done, rules.CYCLE_SCALED), "cycle")
+    return orders.purchase_cycle(x.done, rules.CYCLE_SCALED)
 
 
 @_query
 def purchase_cycle_by_date(x):
-    return _rounded(orders.purchase_cycle(x.done, rules.CYCLE_SCALED, distinct_days="date"), "cycle")
+    return orders.purchase_cycle(x.done, rules.CYCLE_SCALED, distinct_days="date")
 
 
 @_query
@@ -147,12 +144,12 @@ def preferred_payment(x):
 
 @_query
 def avg_order_band(x):
-    return _rounded(orders.avg_order_band(x.done), "aov")
+    return orders.avg_order_band(x.done)
 
 
 @_query
 def avg_order_band_scaled(x):
-    return _rounded(orders.avg_order_band(x.done, rules.AVG_ORDER_SCALED), "aov")
+    return orders.avg_order_band(x.done, rules.AVG_ORDER_SCALED)
 
 
 @_query
@@ -167,22 +164,22 @@ def max_order_band_scaled(x):
 
 @_query
 def purchase_frequency(x):
-    return _rounded(orders.purchase_frequency(x.done), "freq")
+    return orders.purchase_frequency(x.done)
 
 
 @_query
 def purchase_frequency_scaled(x):
-    return _rounded(orders.purchase_frequency(x.done, rules.FREQUENCY_SCALED), "freq")
+    return orders.purchase_frequency(x.done, rules.FREQUENCY_SCALED)
 
 
 @_query
 def return_propensity(x):
-    return _rounded(orders.return_propensity(x.orders), "exchange_rate", "return_rate")
+    return orders.return_propensity(x.orders)
 
 
 @_query
 def return_propensity_scaled(x):
-    return _rounded(orders.return_propensity(x.orders, rules.RETURN_RATE_SCALED), "exchange_rate", "return_rate")
+    return orders.return_propensity(x.orders, rules.RETURN_RATE_SCALED)
 
 
 @_query
@@ -207,15 +204,13 @@ def consumer_profile_scaled(x):
 
 @_query
 def rfm_metrics(x):
-    metrics = orders.rfm_metrics(x.orders, ORDERS_AS_OF)
-    return _rounded(metrics.withColumn("money", F.col("money").cast("double")), "money", digits=2)
+    return _doubles(orders.rfm_metrics(x.orders, ORDERS_AS_OF), "money")
 
 
 @_query
 def rfm_metrics_shifted(x):
     """With the reference day moved back by the fixed number of days."""
-    metrics = orders.rfm_metrics(x.orders, ORDERS_AS_OF, rules.RECENCY_SHIFT_DAYS)
-    return _rounded(metrics.withColumn("money", F.col("money").cast("double")), "money", digits=2)
+    return _doubles(orders.rfm_metrics(x.orders, ORDERS_AS_OF, rules.RECENCY_SHIFT_DAYS), "money")
 
 
 @_query
@@ -405,7 +400,7 @@ def _age_gender(x):
 
 @_query
 def value_by_age_gender(x):
-    return _rounded(_age_gender(x), "value")
+    return _age_gender(x)
 
 
 def _by_province(x):
