@@ -2,35 +2,52 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
+_WRITTEN: dict[str, list[str]] = {}  # application id -> folders that it wrote
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The session's checkpoint folder; a scratch one for local sessions that name none."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if named is None and context.master.startswith("local"):
-            named = tempfile.mkdtemp(prefix="checkpoint-")
-        if named is None:
-            return None
-        context.setCheckpointDir(named)
-    return context.getCheckpointDir()
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share: ``spark.checkpoint.dir``.
+
+    Where the session names none, the warehouse folder serves instead, with a warning:
+    it is shared too, but nothing there is cleaned by the cluster. One rule for every
+    master.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named is None:
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
+        warnings.warn(f"spark.checkpoint.dir is not set; intermediate tables go to {named}", stacklevel=3)
+    return named.rstrip("/")
+
+
+def new_folder(spark: SparkSession, kind: str = "table") -> str:
+    """A path in the shared folder that nobody has used."""
+    path = f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def settle(rows: DataFrame) -> DataFrame:
-    """Write ``rows`` once to the shared checkpoint folder and go on from the written table.
+    """Write ``rows`` once to the shared folder and go on from the written table.
 
     For frames that are costly to compute and used more than once. The table outlives
-    lost executors, is read column by column, and its size is known to the planner. A
-    cluster session that names no checkpoint folder computes the rows again instead.
+    lost executors, is read column by column, and its size is known to the planner.
     """
-    folder = shared_folder(rows.sparkSession)
-    if folder is None:
-        return rows
-    path = f"{folder}/table-{uuid.uuid4().hex}"
+    spark = rows.sparkSession
+    path = new_folder(spark)
     rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> int:
+    """Delete what this application settled so far; for the end of a job. Returns the number of folders."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    return len(paths)
