@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm import exact_dedup, mixing, packing
+from patronlens.llm import exact_dedup, mixing, packing, pii
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,6 +29,11 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/pages.parquet")
 
 
+@_query
+def op1_pii(spark, sf_dir):
+    return pii.report(documents(spark, sf_dir))
+
+
 @_query
 def op3_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir))
