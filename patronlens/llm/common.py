@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pathlib import Path
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from patronlens.operators.lineage import settle
 
 WORD = r"[^\x20\x09-\x0D]+"
 CHUNK_HEX = 3  # leading hex digits of a hash that name its chunk: 4096 chunks
+COARSE_HEX = 2
+
+
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, unless they are told otherwise."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
 
 
 def word_count(text: Column | str) -> Column:
@@ -37,27 +45,34 @@ def row_key(*columns: str) -> list[Column]:
     ]
 
 
-def with_prefix(rows: DataFrame, group: str, order: str, value: str, ties: list[str], output: str) -> DataFrame:
+def with_prefix(
+    rows: DataFrame, group: str, order: str, value: str, ties: list[str], output: str, digits: int = CHUNK_HEX
+) -> DataFrame:
     """Add ``output``: the sum of ``value`` over the rows of ``group`` that come before, by hex hash ``order``.
 
     A group may hold any share of all rows: it is cut into chunks by the leading digits of
-    the hash, sums of whole chunks give each chunk its offset, and only a chunk is sorted
-    in one task. ``group`` must not be null.
+    the hash, sums of whole chunks give each chunk its offset, themselves by coarser chunks,
+    and only a chunk is sorted in one task. ``group`` must not be null.
     """
-    rows = rows.withColumn("__chunk", F.substring(order, 1, CHUNK_HEX))
-    sums = rows.groupBy(group, "__chunk").agg(F.sum(value).alias("__sum"))
-    before = Window.partitionBy(group).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(group, "__chunk", F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__offset"))
-    inside = (
-        Window.partitionBy(group, "__chunk").orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, -1)
-    )
+    chunk = f"__chunk{digits}"
+    rows = rows.withColumn(chunk, F.substring(order, 1, digits))
+    sums = rows.groupBy(group, chunk).agg(F.sum(value).alias("__sum"))
+    if digits > COARSE_HEX:
+        offsets = with_prefix(sums, group, chunk, "__sum", [], "__before", COARSE_HEX).withColumnRenamed("__before", "__offset")
+    else:
+        offsets = sums.withColumn("__offset", _sum_before("__sum", Window.partitionBy(group).orderBy(chunk)))
+    inside = Window.partitionBy(group, chunk).orderBy(order, *ties)
     return (
-        rows.join(offsets, [group, "__chunk"])
-        .withColumn(output, F.col("__offset") + F.coalesce(F.sum(value).over(inside), F.lit(0)))
-        .drop("__chunk", "__offset")
+        rows.join(offsets.select(group, chunk, "__offset"), [group, chunk])
+        .withColumn(output, F.col("__offset") + _sum_before(value, inside))
+        .drop(chunk, "__offset")
     )
 
 
+def _sum_before(value: str, window: WindowSpec) -> Column:
+    return F.coalesce(F.sum(value).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b); component is the smallest node reachable.
 

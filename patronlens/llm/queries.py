@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm import exact_dedup, mixing, packing, pii
+from patronlens.llm.common import reachable
+from patronlens.llm import exact_dedup, language_id, mixing, ngram_join, packing, pii
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -17,7 +18,11 @@ SQL_WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 
 def _query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        reachable(spark)
+        return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = run
     return function
 
 
@@ -118,3 +123,13 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
   doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+
+@_query
+def op9_language_id(spark, sf_dir):
+    return language_id.identify(documents(spark, sf_dir))
+
+
+@_query
+def op10_ngram_join(spark, sf_dir):
+    return ngram_join.components(documents(spark, sf_dir)).drop("k1", "k2")

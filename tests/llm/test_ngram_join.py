@@ -1,0 +1,134 @@
+"""Components against brute force over all pairs."""
+
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from compare import SMALL
+
+from patronlens.llm import ngram_join as nj
+from patronlens.llm.common import connected_components
+from patronlens.llm.queries import QUERIES, documents
+
+
+def gram_set(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i : i + 3]) for i in range(len(words) - 2)) or frozenset([tuple(words)])
+
+
+def brute(rows):
+    """doc index -> (set size, smallest id reachable), by comparing all pairs that share a gram."""
+    sets = [gram_set(t) for _, t in rows]
+    holders = {}
+    for i, s in enumerate(sets):
+        for g in s:
+            holders.setdefault(g, []).append(i)
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, s in enumerate(sets):
+        shared = {}
+        for g in s:
+            for j in holders[g]:
+                if j < i:
+                    shared[j] = shared.get(j, 0) + 1
+        for j, both in shared.items():
+            if 100 * both >= 90 * (len(s) + len(sets[j]) - both):
+                parent[root(i)] = root(j)
+    ids = {}
+    for i, (doc_id, _) in enumerate(rows):
+        ids.setdefault(root(i), []).append(doc_id)
+    return [(len(s), min((x for x in ids[root(i)] if x is not None), default=None)) for i, s in enumerate(sets)]
+
+
+def check(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = nj.components(docs).collect()
+    expected = sorted((r[0], *b) for r, b in zip(rows, brute(rows), strict=True) if r[0] is not None)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in out if r.doc_id is not None) == expected
+    return out
+
+
+def near_copies(seed, groups, size, words):
+    rnd = random.Random(seed)
+    word = lambda: "".join(rnd.choices("abcdefgh", k=4))
+    texts = []
+    for _ in range(groups):
+        base = [word() for _ in range(words)]
+        for _ in range(size):
+            copy = list(base)
+            for _ in range(rnd.choice([0, 0, 1, 1, 2, 3, 5])):
+                at = rnd.randrange(len(copy))
+                copy[at : at + rnd.choice([0, 1])] = [word() for _ in range(rnd.choice([0, 1]))]
+            texts.append(" ".join(copy))
+    rnd.shuffle(texts)
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("words,size", [(12, 12), (60, 40), (160, 60), (700, 12)])
+def test_near_copies_equal_brute_force(spark, words, size):
+    check(spark, near_copies(words, 5, size, words))
+
+
+def test_blocks_of_large_buckets(spark, monkeypatch):
+    monkeypatch.setattr(nj, "BLOCK", 7)
+    check(spark, near_copies(11, 2, 80, 160))
+
+
+def test_whole_table(spark):
+    rows = [(r.doc_id, r.text) for r in documents(spark, SMALL).collect()]
+    out = {r.doc_id: (r.n_shingles, r.component_id) for r in QUERIES["op10_ngram_join"](spark, SMALL).collect()}
+    assert out == {r[0]: b for r, b in zip(rows, brute(rows), strict=True)}
+    assert sum(k != v[1] for k, v in out.items()) > 20
+
+
+def test_odd_rows(spark):
+    rows = [(1, None), (2, ""), (3, " \t"), (4, "one"), (5, "ONE"), (6, "one two"), (7, "one  two"), (None, "one two"),
+            (7, "one  two"), (8, "x " * 5000), (9, "É a b"), (10, "é a b")]
+    out = check(spark, rows)
+    assert len(out) == len(rows)
+    assert [r.component_id for r in out if r.doc_id is None] == [6]
+    docs = spark.createDataFrame([(*r, i, "z") for i, r in enumerate(rows)], "doc_id long, text string, class int, k1 string")
+    stay = nj.representatives(docs)
+    assert stay.columns == docs.columns
+    assert sorted(r.doc_id for r in stay.collect()) == [1, 2, 3, 4, 6, 8, 9, 10]
+    assert nj.components(docs.limit(0)).count() == 0
+
+
+def test_similar_sets_share_a_signature():
+    """On the edge of the similarity, in every pair of bands."""
+    rng = np.random.default_rng(1)
+    scheme = nj.Scheme()
+    for size in [*range(1, 60), 147, 148, 149, 400, 1000, 3000]:
+        a = np.unique(rng.integers(0, 2**63, size, dtype=np.uint64) * np.uint64(2))
+        for larger in range(size, size * 100 // 90 + 1):
+            # the fewest common elements that still link
+            both = -(-90 * (size + larger) // 190)
+            b = np.unique(np.concatenate([rng.permutation(a)[:both], rng.integers(0, 2**63, larger - both, dtype=np.uint64)]))
+            assert scheme.linked(a, b)
+            shared = [
+                set(scheme.signatures(a, i).tolist()) & set(scheme.signatures(b, i).tolist())
+                for i in set(scheme.instances(len(a))) & set(scheme.instances(len(b)))
+            ]
+            assert any(shared), (size, larger)
+
+
+def test_components_of_a_long_path(spark):
+    edges = [(i, i + 1) for i in range(60)] + [(100, 105), (105, 103)]
+    out = dict(connected_components(spark.createDataFrame(edges, "a long, b long")).collect())
+    assert out == {**{i: 0 for i in range(61)}, 100: 100, 103: 100, 105: 100}
+
+
+def test_gram_sets_do_not_depend_on_slices():
+    texts = pa.array(["a b c d", None, "", "A b\tc  d", "x"])
+    whole = [h.tolist() for _, h in nj.gram_sets(texts)]
+    assert whole[0] == whole[3] and len(whole[0]) == 2 and whole[1] == whole[2] == []
+    assert whole == [h.tolist() for i in range(5) for _, h in nj.gram_sets(texts.slice(i, 1))]
