@@ -44,17 +44,27 @@ class DigestIndex:
 
     def add(self, docs: DataFrame) -> DataFrame:
         """Index the new texts of ``docs``; returns what was appended as (digest, keep_id)."""
-        groups = docs.select(digest("text").alias("digest"), "doc_id").groupBy("digest").agg(
-            F.max("doc_id").alias("keep_id")
-        )
+        return self.append(grouped(docs.select("doc_id", digest("text").alias("digest"))))
+
+    def append(self, groups: DataFrame) -> DataFrame:
         # The buckets of the index are whole hash partitions, so only the new digests move.
-        fresh = groups.repartition(self.buckets, "digest").hint("merge").join(self.rows(), "digest", "left_anti")
-        appended = settle(fresh.sortWithinPartitions("digest"))
-        appended.repartition(self.buckets, "digest").write.insertInto(self.table)
+        # ``groups`` is a written table: else the planner pulls the join below the aggregation.
+        fresh = groups.select("digest", "keep_id").repartition(self.buckets, "digest").hint("merge").join(
+            self.rows(), "digest", "left_anti"
+        )
+        appended = settle(fresh)
+        appended.repartition(self.buckets, "digest").sortWithinPartitions("digest").write.insertInto(self.table)
         self.spark.catalog.refreshTable(self.table)
         return appended
 
 
+def grouped(narrow: DataFrame) -> DataFrame:
+    """One row for each digest, whatever its number of rows: (digest, keep_id, group_size)."""
+    return settle(
+        narrow.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    )
+
+
 def decide(docs: DataFrame, index: DigestIndex) -> DataFrame:
     """Add ``docs`` to the index and say for each row which doc_id stays for its text.
 
@@ -62,12 +72,12 @@ def decide(docs: DataFrame, index: DigestIndex) -> DataFrame:
     the text; kept is true for the staying row of a text that the index did not hold before.
     """
     narrow = settle(docs.select("doc_id", digest("text").alias("digest")))
-    appended = index.add(docs)
-    sizes = narrow.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"))
+    sizes = grouped(narrow)
+    appended = index.append(sizes)
     # Read by path, not as buckets: adaptive execution may then split a digest with many rows.
     stays = index.spark.read.schema("digest binary, keep_id bigint").parquet(index.path)
     groups = settle(
-        sizes.join(stays, "digest")
+        sizes.select("digest", "group_size").join(stays, "digest")
         .join(appended.select("digest", F.lit(True).alias("new")), "digest", "left")
     )
     return narrow.join(groups, "digest").select(
