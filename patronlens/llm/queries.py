@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronlens.llm.common import reachable
-from patronlens.llm import exact_dedup, language_id, mixing, ngram_join, packing, pii
+from patronlens.llm import exact_dedup, language_id, mixing, ngram_join, packing, pii, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -39,6 +39,11 @@ def op1_pii(spark, sf_dir):
     return pii.report(documents(spark, sf_dir))
 
 
+@_query
+def op2_substring_dedup(spark, sf_dir):
+    return substring_dedup.report(documents(spark, sf_dir))
+
+
 @_query
 def op3_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir))

@@ -16,9 +16,9 @@ SLICE_BYTES = 4_000_000  # text handled at once; a longer document is a slice of
 SEGMENT_BYTES = 1_000_000
 
 _RANDOM = np.random.default_rng(20_240_501)
-_BYTE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_LOWERED = _BYTE.copy()
-_LOWERED[65:91] = _BYTE[97:123]
+_BYTES = _RANDOM.integers(1, 2**63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_LOWERED = _BYTES.copy()
+_LOWERED[:, 65:91] = _BYTES[:, 97:123]
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 2**64)
 _BLANK = np.zeros(256, dtype=bool)
@@ -60,9 +60,12 @@ def windows_hash(hashes: np.ndarray, length: int) -> np.ndarray:
 
 
 class Words:
-    """Words of consecutive texts: byte ranges in ``data``, hashes, and where each text's words begin."""
+    """Words of consecutive texts: byte ranges in ``data``, hashes, and where each text's words begin.
 
-    def __init__(self, texts: pa.Array, lower: bool = False):
+    ``family`` 0 and 1 are independent hashes.
+    """
+
+    def __init__(self, texts: pa.Array, lower: bool = False, family: int = 0):
         texts = texts.cast(pa.large_binary()).fill_null(b"")
         _, offsets, data = texts.buffers()
         bounds = np.frombuffer(offsets, dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
@@ -77,7 +80,7 @@ class Words:
         self.starts = np.flatnonzero(word & ~before)
         self.ends = np.flatnonzero(word & ~after) + 1
         self.bounds = np.searchsorted(self.starts, bounds)
-        table, parts, a = _LOWERED if lower else _BYTE, [], 0
+        table, parts, a = (_LOWERED if lower else _BYTES)[family], [], 0
         while a < len(self.starts):
             first = self.starts[a]
             b = max(a + 1, int(np.searchsorted(self.starts, first + SEGMENT_BYTES)))
