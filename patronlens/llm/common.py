@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -73,6 +76,24 @@ def _sum_before(value: str, window: WindowSpec) -> Column:
     return F.coalesce(F.sum(value).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Whole groups of a stream that is sorted by ``keys``."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = pa.concat_tables([rest, table]) if rest is not None else table
+        if not table.num_rows:
+            continue
+        columns = [table.column(k).to_numpy() for k in keys]
+        changes = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+        starts = [0, *changes.tolist()]
+        for a, b in zip(starts, starts[1:]):
+            yield table.slice(a, b - a)
+        rest = table.slice(starts[-1])
+    if rest is not None:
+        yield rest
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b); component is the smallest node reachable.
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patronlens.llm.common import connected_components, row_key
+from patronlens.llm.common import connected_components, row_key, sorted_groups
 from patronlens.llm.words import Words, mix, runs_hash, slices, windows_hash
 from patronlens.operators.lineage import settle
 
@@ -292,7 +292,7 @@ def remaining_pairs(members: DataFrame, sets: DataFrame, parts: DataFrame, teste
     dealt = dealt.join(sets.select("class", "low", "high", (F.length("hashes") / 8).cast("long").alias("size")), "class")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, ["signature", "block", "other"]):
+        for group in sorted_groups(batches, ["signature", "block", "other"]):
             pairs = _candidates(group, scheme)
             if pairs.num_rows:
                 yield pairs
@@ -302,24 +302,6 @@ def remaining_pairs(members: DataFrame, sets: DataFrame, parts: DataFrame, teste
     return found.join(tested, ["a", "b"], "left_anti")
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Whole groups of a stream that is sorted by ``keys``."""
-    rest: pa.Table | None = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        table = pa.concat_tables([rest, table]) if rest is not None else table
-        if not table.num_rows:
-            continue
-        columns = [table.column(k).to_numpy() for k in keys]
-        changes = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
-        starts = [0, *changes.tolist()]
-        for a, b in zip(starts, starts[1:]):
-            yield table.slice(a, b - a)
-        rest = table.slice(starts[-1])
-    if rest is not None:
-        yield rest
-
-
 def _candidates(group: pa.Table, scheme: Scheme) -> pa.RecordBatch:
     """Pairs of a visitor and one at home whose components differ and whose sketches allow a link."""
     visits = group.column("visits").to_numpy()

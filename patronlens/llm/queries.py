@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from patronlens.operators.lineage import new_folder
 from patronlens.llm.common import reachable
-from patronlens.llm import exact_dedup, language_id, mixing, ngram_join, packing, pii, substring_dedup
+from patronlens.llm import exact_dedup, language_id, mixing, ngram_join, packing, pii, substring_dedup, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -130,6 +131,26 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+@_query
+def op6_warc(spark, sf_dir):
+    folder = new_folder(spark, "archive")
+    warc.write(pages(spark, sf_dir), folder)
+    return warc.read(spark, folder)
+
+
+ORACLES["op6_warc"] = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages
+)
+SELECT page_id, strlen(payload) AS payload_bytes, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to,
+  array_to_string(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      ((('0x' || substr(sha1(payload), (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INTEGER + 1, 1)), '') AS payload_digest
+FROM payloads
+"""
+
+
 @_query
 def op9_language_id(spark, sf_dir):
     return language_id.identify(documents(spark, sf_dir))
