@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from patronlens.operators.lineage import new_folder
 from patronlens.llm.common import reachable
-from patronlens.llm import exact_dedup, language_id, mixing, ngram_join, packing, pii, substring_dedup, warc
+from patronlens.llm import exact_dedup, html_text, language_id, mixing, ngram_join, packing, pii, substring_dedup, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -151,6 +151,11 @@ FROM payloads
 """
 
 
+@_query
+def op8_html_text(spark, sf_dir):
+    return html_text.extract(pages(spark, sf_dir))
+
+
 @_query
 def op9_language_id(spark, sf_dir):
     return language_id.identify(documents(spark, sf_dir))
