@@ -11,7 +11,8 @@ set on such a choice of parts; sets that are similar enough share one.
 Sets that are equal form a class, which is joined once. Signatures that several classes
 share make buckets. In each bucket the class that meets most others is the centre, and only
 centre pairs are compared first; what they link falls into components. Then a bucket only needs the
-pairs whose sides are still in different components, and a sketch of part hashes, which never
+pairs whose sides are still in different components, each in one of its buckets: first the
+closest partners of every class, then all that are left. A sketch of part hashes, which never
 rejects a true pair, sorts out most of these before sets are fetched. So groups of near
 copies cost a star and not all pairs, and no link between components is lost.
 
@@ -40,7 +41,8 @@ from patronlens.operators.lineage import settle
 GRAM = 3
 SIMILAR = (90, 100)  # linked when 100 * intersection >= 90 * union
 ALLOWED = 1  # parts of a first-level range that may differ (k2)
-PARTS = 3  # parts of a first-level range (n2)
+PARTS = 2  # parts of a first-level range (n2)
+CLOSEST = 4  # partners of a bucket that a member is compared with before all others
 BLOCK = 4_096  # members of a bucket compared in one task against as many others
 
 
@@ -79,18 +81,30 @@ class Scheme:
         k2 = k // n1
         return n1, max(self.parts, k2 + 1), k2
 
-    def signatures(self, hashes: np.ndarray, instance: int) -> np.ndarray:
-        """All signatures of a sorted set in an instance."""
-        n1, n2, k2 = self.shape(instance)
-        content = part_sums(hashes, n1 * n2).reshape(n1, n2)
-        chosen = _choices(n2, n2 - k2)  # choices x parts, 0 or 1
+    def content(self, hashes: np.ndarray, instance: int) -> np.ndarray:
+        """What a sorted set holds on each part (n1 x n2), as numbers."""
+        n1, n2, _ = self.shape(instance)
+        return part_sums(hashes, n1 * n2).reshape(n1, n2)
+
+    def signatures(self, content: np.ndarray, instance: int) -> np.ndarray:
+        """All signatures (n1 x choices) of a set in an instance."""
+        _, n2, k2 = self.shape(instance)
+        chosen = _choices(n2, n2 - k2)
         sums = (content[:, None, :] * chosen[None]).sum(axis=2, dtype=np.uint64)
-        label = np.arange(n1 * len(chosen), dtype=np.uint64).reshape(n1, -1) + np.uint64(instance << 32)
-        return mix(sums + mix(label)).ravel()
+        label = np.arange(sums.size, dtype=np.uint64).reshape(sums.shape) + np.uint64(instance << 32)
+        return mix(sums + mix(label)).view(np.int64)
+
+    def first_shared(self, contents: np.ndarray, own: np.ndarray, instance: int) -> tuple[np.ndarray, np.ndarray]:
+        """Range and choice of the first signature that each of ``contents`` shares with ``own``; they share one."""
+        _, n2, k2 = self.shape(instance)
+        equal = contents == own
+        first = (equal.sum(axis=2) >= n2 - k2).argmax(axis=1)
+        there = equal[np.arange(len(equal)), first]
+        return first, (there[:, None, :] | (_choices(n2, n2 - k2)[None] == 0)).all(axis=2).argmax(axis=1)
 
-    def sketch(self, hashes: np.ndarray, instance: int) -> bytes:
-        """One byte for each of some 2k parts: as many differing bytes as that, and the sets differ at least so much."""
-        return (mix(part_sums(hashes, 2 * self.bound(instance) + 2)) >> np.uint64(56)).astype(np.uint8).tobytes()
+    def sketch(self, hashes: np.ndarray, instance: int) -> np.ndarray:
+        """One byte for each of some 8k parts: the sets differ at least as often as their bytes."""
+        return (mix(part_sums(hashes, 8 * self.bound(instance) + 8)) >> np.uint64(56)).astype(np.uint8)
 
     def linked(self, a: np.ndarray, b: np.ndarray) -> bool:
         both = len(np.intersect1d(a, b, assume_unique=True))
@@ -168,7 +182,7 @@ def buckets(docs: DataFrame, scheme: Scheme, n: int = GRAM) -> DataFrame:
             for _, hashes in gram_sets(batch.column("text"), n):
                 if not len(hashes) or (own := class_of(hashes)) in found:
                     continue
-                each = [(i, scheme.signatures(hashes, i)) for i in scheme.instances(len(hashes))]
+                each = [(i, scheme.signatures(scheme.content(hashes, i), i).ravel()) for i in scheme.instances(len(hashes))]
                 found[own] = (
                     np.concatenate([s for _, s in each]),
                     np.concatenate([np.full(len(s), i, dtype=np.int32) for i, s in each]),
@@ -191,38 +205,30 @@ def buckets(docs: DataFrame, scheme: Scheme, n: int = GRAM) -> DataFrame:
 def _signature_rows(found: dict) -> pa.RecordBatch:
     names = np.repeat(np.fromiter(found, dtype=np.int64, count=len(found)), [len(s) for s, _ in found.values()])
     return pa.RecordBatch.from_arrays(
-        [pa.array(_signed(np.concatenate([s for s, _ in found.values()]))), pa.array(np.concatenate([i for _, i in found.values()])), pa.array(names)],
+        [pa.array(np.concatenate([s for s, _ in found.values()])), pa.array(np.concatenate([i for _, i in found.values()])), pa.array(names)],
         ["signature", "instance", "class"],
     )
 
 
-def sets_of(docs: DataFrame, named: DataFrame, members: DataFrame, scheme: Scheme, n: int = GRAM) -> DataFrame:
-    """(class, hashes, sketches): the sets of the classes in ``members``, each from one of its rows."""
+def sets_of(docs: DataFrame, named: DataFrame, members: DataFrame, n: int = GRAM) -> DataFrame:
+    """(class, hashes): the sets of the classes in ``members``, each from one of its rows."""
     wanted = members.select("class").distinct()
     one = named.groupBy("class").agg(F.min(F.struct("k1", "k2")).alias("k")).join(wanted, "class", "left_semi")
     chosen = settle(one.select("class", F.col("k.k1").alias("k1"), F.col("k.k2").alias("k2")))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = batch.column("class")
-            packed, low, high = [], [], []
-            start = 0
+            names, packed, start = batch.column("class"), [], 0
             for i, hashes in gram_sets(batch.column("text"), n):
-                first, second = scheme.instances(len(hashes))
                 packed.append(hashes.tobytes())
-                low.append(scheme.sketch(hashes, first))
-                high.append(scheme.sketch(hashes, second))
                 if len(packed) == 1_000 or i == len(names) - 1:
-                    yield pa.RecordBatch.from_arrays(
-                        [names.slice(start, len(packed)), pa.array(packed, pa.binary()), pa.array(low, pa.binary()), pa.array(high, pa.binary())],
-                        ["class", "hashes", "low", "high"],
-                    )
-                    start, packed, low, high = i + 1, [], [], []
+                    yield pa.RecordBatch.from_arrays([names.slice(start, len(packed)), pa.array(packed, pa.binary())], ["class", "hashes"])
+                    start, packed = i + 1, []
 
-    texts = docs.select(*row_key("doc_id", "text"), "text").join(chosen, ["k1", "k2"]).select("class", "text")
+    # The keys grow with the corpus, so they are joined by sort-merge and never broadcast.
+    texts = docs.select(*row_key("doc_id", "text"), "text").join(chosen.hint("merge"), ["k1", "k2"]).select("class", "text")
     # Rows that repeat share their key; one of them is enough.
-    rows = texts.mapInArrow(pack, "class long, hashes binary, low binary, high binary")
-    return settle(rows.dropDuplicates(["class"]))
+    return settle(texts.mapInArrow(pack, "class long, hashes binary").dropDuplicates(["class"]))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
@@ -256,11 +262,15 @@ def star_pairs(members: DataFrame) -> DataFrame:
     return pairs.select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")).distinct()
 
 
-def remaining_pairs(members: DataFrame, sets: DataFrame, parts: DataFrame, tested: DataFrame, scheme: Scheme) -> DataFrame:
+def remaining_pairs(
+    members: DataFrame, sets: DataFrame, parts: DataFrame, tested: DataFrame, scheme: Scheme, most: int | None = None
+) -> DataFrame:
     """(a, b): pairs that share a bucket, lie in different components, and pass the sketches.
 
     In each bucket the largest component is at home; the other members visit it and one
-    another. Both are dealt into blocks, so that no task holds more than two blocks.
+    another. Both are dealt into blocks, so that no task holds more than two blocks. A pair
+    is only given by the bucket of its first shared signature; ``most`` limits a
+    visitor to its closest partners in a bucket.
     """
     labelled = members.join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "component", F.coalesce("component", "class")
@@ -276,7 +286,7 @@ def remaining_pairs(members: DataFrame, sets: DataFrame, parts: DataFrame, teste
             F.ceil((F.col("members") - F.col("home.size")) / BLOCK).cast("int").alias("columns"),
         )
     )
-    member = (
+    member = settle(
         labelled.join(open_, "signature")
         .withColumn("visitor", F.col("component") != F.col("home"))
         .withColumn("place", F.xxhash64("class"))
@@ -289,11 +299,12 @@ def remaining_pairs(members: DataFrame, sets: DataFrame, parts: DataFrame, teste
     ).withColumn("visits", F.lit(True))
     fields = ["signature", "block", "other", "instance", "class", "component", "visits"]
     dealt = at_home.select(fields).unionByName(visiting.select(fields))
-    dealt = dealt.join(sets.select("class", "low", "high", (F.length("hashes") / 8).cast("long").alias("size")), "class")
+    wanted = member.select("class", "instance").distinct()
+    dealt = dealt.join(_features(sets.join(wanted, "class"), scheme), ["class", "instance"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches, ["signature", "block", "other"]):
-            pairs = _candidates(group, scheme)
+            pairs = _candidates(group, scheme, most)
             if pairs.num_rows:
                 yield pairs
 
@@ -302,24 +313,49 @@ def remaining_pairs(members: DataFrame, sets: DataFrame, parts: DataFrame, teste
     return found.join(tested, ["a", "b"], "left_anti")
 
 
-def _candidates(group: pa.Table, scheme: Scheme) -> pa.RecordBatch:
+def _features(sets: DataFrame, scheme: Scheme) -> DataFrame:
+    """(class, instance, hashes) to (class, instance, size, content, sketch)."""
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, contents, sketches = [], [], []
+            for packed, instance in zip(batch.column("hashes"), batch.column("instance").to_pylist(), strict=True):
+                hashes = np.frombuffer(packed.as_buffer(), np.uint64)
+                scheme.instances(len(hashes))  # so that the bands reach this size
+                sizes.append(len(hashes))
+                contents.append(scheme.content(hashes, instance).tobytes())
+                sketches.append(scheme.sketch(hashes, instance).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("class"), batch.column("instance"), pa.array(sizes, pa.int64()), pa.array(contents, pa.binary()), pa.array(sketches, pa.binary())],
+                ["class", "instance", "size", "content", "sketch"],
+            )
+
+    rows = sets.select("class", "instance", "hashes")
+    return settle(rows.mapInArrow(compute, "class long, instance int, size long, content binary, sketch binary"))
+
+
+def _candidates(group: pa.Table, scheme: Scheme, most: int | None) -> pa.RecordBatch:
     """Pairs of a visitor and one at home whose components differ and whose sketches allow a link."""
     visits = group.column("visits").to_numpy()
     size, component, name = (group.column(c).to_numpy() for c in ("size", "component", "class"))
     home, out = np.flatnonzero(~visits), []
     if len(home) and visits.any():
-        instance = group.column("instance")[0].as_py()
-        low, high = group.column("low").to_pylist(), group.column("high").to_pylist()
-        # The sketch of this instance is the first of a set in the upper band, the second of one in the lower.
-        upper = [scheme.instances(s)[0] == instance for s in size.tolist()]
-        sketch = np.frombuffer(b"".join(x if u else y for u, x, y in zip(upper, low, high, strict=True)), np.uint8)
-        sketch = sketch.reshape(len(size), -1)
+        instance, bucket = group.column("instance")[0].as_py(), group.column("signature")[0].as_py()
+        scheme.instances(int(size.max()))
+        n1, n2, _ = scheme.shape(instance)
+        table = lambda c, kind: np.frombuffer(b"".join(group.column(c).to_pylist()), kind).reshape(len(size), -1)
+        sketch, content = table("sketch", np.uint8), table("content", np.uint64).reshape(len(size), n1, n2)
         at_home, home_size, home_component = sketch[home], size[home], component[home]
         for v in np.flatnonzero(visits).tolist():
-            most = (scheme.den - scheme.num) * (home_size + size[v]) // (scheme.den + scheme.num)
-            fits = (home_component != component[v]) & (abs(home_size - size[v]) <= most)
-            fits &= (at_home != sketch[v]).sum(axis=1) <= most
-            if fits.any():
+            bound = (scheme.den - scheme.num) * (home_size + size[v]) // (scheme.den + scheme.num)
+            far = (at_home != sketch[v]).sum(axis=1)
+            fits = np.flatnonzero((home_component != component[v]) & (abs(home_size - size[v]) <= bound) & (far <= bound))
+            if len(fits):
+                signatures = scheme.signatures(content[v], instance)
+                fits = fits[signatures[scheme.first_shared(content[home[fits]], content[v], instance)] == bucket]
+            if most is not None and len(fits) > most:
+                fits = fits[np.argsort(far[fits], kind="stable")[:most]]
+            if len(fits):
                 other = name[home[fits]]
                 out.append((np.minimum(other, name[v]), np.maximum(other, name[v])))
     a, b = (np.concatenate([o[i] for o in out] or [np.empty(0, np.int64)]) for i in (0, 1))
@@ -331,12 +367,15 @@ def components(docs: DataFrame, similar: tuple[int, int] = SIMILAR, n: int = GRA
     scheme = Scheme(similar)
     named = settle(classes(docs, n))
     members = buckets(docs, scheme, n)
-    sets = sets_of(docs, named.where("class IS NOT NULL"), members, scheme, n)
-    stars = settle(star_pairs(members))
-    links = verified(stars, sets, scheme)
+    sets = sets_of(docs, named.where("class IS NOT NULL"), members, n)
+    tested = settle(star_pairs(members))
+    links = verified(tested, sets, scheme)
     parts = connected_components(links)
-    more = verified(remaining_pairs(members, sets, parts, stars, scheme), sets, scheme)
-    parts = connected_components(links.unionByName(more))
+    for most in (CLOSEST, None):  # the closest partners first, which leaves few pairs for the rest
+        pairs = settle(remaining_pairs(members, sets, parts, tested, scheme, most))
+        links = links.unionByName(verified(pairs, sets, scheme))
+        parts = connected_components(links)
+        tested = tested.unionByName(pairs)
     ids = settle(named.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("own")))
     labelled = ids.join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "component", F.coalesce("component", "class")

@@ -115,7 +115,7 @@ def test_similar_sets_share_a_signature():
             b = np.unique(np.concatenate([rng.permutation(a)[:both], rng.integers(0, 2**63, larger - both, dtype=np.uint64)]))
             assert scheme.linked(a, b)
             shared = [
-                set(scheme.signatures(a, i).tolist()) & set(scheme.signatures(b, i).tolist())
+                set(scheme.signatures(scheme.content(a, i), i).ravel().tolist()) & set(scheme.signatures(scheme.content(b, i), i).ravel().tolist())
                 for i in set(scheme.instances(len(a))) & set(scheme.instances(len(b)))
             ]
             assert any(shared), (size, larger)
