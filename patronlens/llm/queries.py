@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from patronlens.operators.lineage import new_folder
 from patronlens.llm.common import reachable
-from patronlens.llm import exact_dedup, html_text, language_id, mixing, ngram_join, packing, pii, substring_dedup, warc
+from patronlens.llm import exact_dedup, html_text, language_id, mixing, ngram_join, packing, pii, substring_dedup, topk_search, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -151,6 +151,12 @@ FROM payloads
 """
 
 
+@_query
+def op7_topk_search(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return topk_search.search(docs, docs.where("doc_id % 50 = 0"))
+
+
 @_query
 def op8_html_text(spark, sf_dir):
     return html_text.extract(pages(spark, sf_dir))
