@@ -1,6 +1,8 @@
 """A corpus from raw documents to packed batches, stage by stage.
 
-Every stage takes what the one before it kept, written as Parquet and read again.
+Every stage takes what the one before it kept, written as Parquet and read again. All but
+the last return the columns of the documents, whatever these are. Null texts and empty
+ones have no language and end at the first stage; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -9,17 +11,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from patronlens.llm import exact_dedup, mixing, packing
+from patronlens.llm import exact_dedup, language_id, mixing, ngram_join, packing
+from patronlens.llm.common import reachable
 from patronlens.operators.lineage import settle
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; those without a letter, and the undecided, go."""
+    return language_id.accepted(docs)
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the row with the largest doc_id goes on."""
     return exact_dedup.kept_rows(docs, exact_dedup.new_index(spark))
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents with nearly the same word 3-grams, the one with the smallest doc_id goes on."""
+    return ngram_join.representatives(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
     return mixing.mixed_rows(docs)
@@ -31,7 +44,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("language_id", languages),
     ("exact_dedup", exact),
+    ("ngram_join", near),
     ("mixing", mix),
     ("packing", pack),
 ]
@@ -41,6 +56,7 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reachable(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         docs = settle(stage(spark, docs, sf_dir))

@@ -22,6 +22,7 @@ predicted alike; a null doc_id is never held out; an empty table gives no rows.
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -46,7 +47,9 @@ UNDETERMINED = "und"
 CACHED_WORDS = 250_000  # word scores a worker remembers
 SLICE_CHARACTERS = 2_000_000
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+# Alphanumerics that are neither letters nor decimal digits, such as superscripts.
+_OTHER = "".join(c for c in map(chr, range(0x80, sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_LETTERS = re.compile(rf"[^\W\d_{_OTHER}]+")
 _BEGIN = "▁"  # marks the start of a word in the vocabulary
 _FACTOR, _SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _SLOT_BITS = 18
