@@ -98,11 +98,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b); component is the smallest node reachable.
 
     Alternates between hooking each node's larger neighbours (large star) and its smaller ones
-    (small star) to the smallest neighbour, until nothing moves. Groups are only ever
-    aggregated by ``min``, so a node with a third of all edges is no hot spot. Each
-    round is a written table; only the number of changed edges reaches the driver.
+    (small star) to the smallest neighbour, until only stars are left. Groups are only ever
+    aggregated by ``min`` and ``max``, so a node with a third of all edges is no hot spot. Each
+    round is a written table; only whether one is left to do reaches the driver.
     """
-    edges = settle(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    edges = settle(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -111,15 +111,20 @@ def connected_components(edges: DataFrame) -> DataFrame:
         )
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(lowest, "a")
-        moved = settle(
+        edges = settle(
             small.where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .unionByName(lowest.select("a", F.col("m").alias("b")))
-            .where("a <> b").distinct()
+            .distinct()
         )
-        changed = moved.join(edges, ["a", "b"], "left_anti").unionByName(edges.join(moved, ["a", "b"], "left_anti"))
-        if changed.isEmpty():
+        # A star forest: no centre hangs on another node, and no node on two centres.
+        ends = edges.select("a", "b", F.lit(0).alias("centre")).unionByName(
+            edges.select(F.col("b").alias("a"), "b", F.lit(1).alias("centre"))
+        )
+        mixed = ends.groupBy("a").agg(
+            F.min("b").alias("low"), F.max("b").alias("high"), F.min("centre").alias("first"), F.max("centre").alias("last")
+        ).where("low < high OR first < last")
+        if mixed.isEmpty():
             break
-        edges = moved
-    return moved.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-        moved.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
+        edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )

@@ -11,9 +11,8 @@ set on such a choice of parts; sets that are similar enough share one.
 Sets that are equal form a class, which is joined once. Signatures that several classes
 share make buckets. In each bucket the class that meets most others is the centre, and only
 centre pairs are compared first; what they link falls into components. Then a bucket only needs the
-pairs whose sides are still in different components, each in one of its buckets: first the
-closest partners of every class, then all that are left. A sketch of part hashes, which never
-rejects a true pair, sorts out most of these before sets are fetched. So groups of near
+pairs whose sides are still in different components, each in one of its buckets. A sketch of
+part hashes, which never rejects a true pair, sorts out most of these before sets are fetched. So groups of near
 copies cost a star and not all pairs, and no link between components is lost.
 
 Defined results: words are lower-cased in A-Z; a null text and one without words has an
@@ -42,7 +41,6 @@ GRAM = 3
 SIMILAR = (90, 100)  # linked when 100 * intersection >= 90 * union
 ALLOWED = 1  # parts of a first-level range that may differ (k2)
 PARTS = 2  # parts of a first-level range (n2)
-CLOSEST = 4  # partners of a bucket that a member is compared with before all others
 BLOCK = 4_096  # members of a bucket compared in one task against as many others
 
 
@@ -243,8 +241,9 @@ def verified(pairs: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
             ]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
+    # Pairs grow with the corpus: joined by sort-merge at every size, never broadcast.
     both = (
-        pairs.join(sets.select(F.col("class").alias("a"), F.col("hashes").alias("left")), "a")
+        pairs.hint("merge").join(sets.select(F.col("class").alias("a"), F.col("hashes").alias("left")), "a")
         .join(sets.select(F.col("class").alias("b"), F.col("hashes").alias("right")), "b")
         .select("a", "b", "left", "right")
     )
@@ -263,14 +262,13 @@ def star_pairs(members: DataFrame) -> DataFrame:
 
 
 def remaining_pairs(
-    members: DataFrame, sets: DataFrame, parts: DataFrame, tested: DataFrame, scheme: Scheme, most: int | None = None
+    members: DataFrame, sets: DataFrame, parts: DataFrame, tested: DataFrame, scheme: Scheme
 ) -> DataFrame:
     """(a, b): pairs that share a bucket, lie in different components, and pass the sketches.
 
     In each bucket the largest component is at home; the other members visit it and one
     another. Both are dealt into blocks, so that no task holds more than two blocks. A pair
-    is only given by the bucket of its first shared signature; ``most`` limits a
-    visitor to its closest partners in a bucket.
+    is only given by the bucket of its first shared signature.
     """
     labelled = members.join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "component", F.coalesce("component", "class")
@@ -300,11 +298,11 @@ def remaining_pairs(
     fields = ["signature", "block", "other", "instance", "class", "component", "visits"]
     dealt = at_home.select(fields).unionByName(visiting.select(fields))
     wanted = member.select("class", "instance").distinct()
-    dealt = dealt.join(_features(sets.join(wanted, "class"), scheme), ["class", "instance"])
+    dealt = dealt.join(_features(sets.join(wanted.hint("merge"), "class"), scheme), ["class", "instance"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches, ["signature", "block", "other"]):
-            pairs = _candidates(group, scheme, most)
+            pairs = _candidates(group, scheme)
             if pairs.num_rows:
                 yield pairs
 
@@ -334,7 +332,7 @@ def _features(sets: DataFrame, scheme: Scheme) -> DataFrame:
     return settle(rows.mapInArrow(compute, "class long, instance int, size long, content binary, sketch binary"))
 
 
-def _candidates(group: pa.Table, scheme: Scheme, most: int | None) -> pa.RecordBatch:
+def _candidates(group: pa.Table, scheme: Scheme) -> pa.RecordBatch:
     """Pairs of a visitor and one at home whose components differ and whose sketches allow a link."""
     visits = group.column("visits").to_numpy()
     size, component, name = (group.column(c).to_numpy() for c in ("size", "component", "class"))
@@ -353,8 +351,6 @@ def _candidates(group: pa.Table, scheme: Scheme, most: int | None) -> pa.RecordB
             if len(fits):
                 signatures = scheme.signatures(content[v], instance)
                 fits = fits[signatures[scheme.first_shared(content[home[fits]], content[v], instance)] == bucket]
-            if most is not None and len(fits) > most:
-                fits = fits[np.argsort(far[fits], kind="stable")[:most]]
             if len(fits):
                 other = name[home[fits]]
                 out.append((np.minimum(other, name[v]), np.maximum(other, name[v])))
@@ -371,11 +367,9 @@ def components(docs: DataFrame, similar: tuple[int, int] = SIMILAR, n: int = GRA
     tested = settle(star_pairs(members))
     links = verified(tested, sets, scheme)
     parts = connected_components(links)
-    for most in (CLOSEST, None):  # the closest partners first, which leaves few pairs for the rest
-        pairs = settle(remaining_pairs(members, sets, parts, tested, scheme, most))
-        links = links.unionByName(verified(pairs, sets, scheme))
-        parts = connected_components(links)
-        tested = tested.unionByName(pairs)
+    more = verified(remaining_pairs(members, sets, parts, tested, scheme), sets, scheme)
+    if not more.isEmpty():
+        parts = connected_components(links.unionByName(more))
     ids = settle(named.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("own")))
     labelled = ids.join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "component", F.coalesce("component", "class")
