@@ -348,9 +348,9 @@ def purchase_history(
         ranked, {("type", 1): "_type", ("product", 1): "_product", ("brand", 1): "_brand"}
     ).select("memberId", "_type", "_product", "_brand")
 
-    products = settle(
+    products = (
         owned.filter(F.col("productName").isNotNull())
-        .join(favourites, "memberId")
+        .join(settle(favourites), "memberId")
         .groupBy("memberId", "productName", "_type", "_product", "_brand")
         .agg(F.max((bought > 0) & (F.col("productType") == F.col("_type"))).alias("chosen"))
     )

@@ -36,18 +36,23 @@ def by_contact(rows: DataFrame, contact: str) -> DataFrame:
     return where_equal(rows, **{"email" if "@" in contact else "mobile": contact})
 
 
-def by_contacts(rows: DataFrame, requests: DataFrame) -> DataFrame:
+def by_contacts(rows: DataFrame, requests: DataFrame, users: DataFrame | None = None) -> DataFrame:
     """The same for a table of requests (column ``contact``): each is answered from its own column.
 
-    Each row offers its e-mail and its mobile number, so ``rows`` are computed once and
-    met by one equi-join. Equal requests are answered once.
+    Each user offers an e-mail and a mobile number, which are met by one equi-join. With
+    ``users`` (id, email, mobile) the requests are resolved to ids there, and ``rows``, which
+    may be wide, are met by id; else ``rows`` offer their own contacts. Equal
+    requests are answered once.
     """
     is_email = lambda c: F.contains(F.col(c), F.lit("@"))
     offers = F.array_compact(
         F.array(F.when(is_email("email"), F.col("email")), F.when(~is_email("mobile"), F.col("mobile")))
     )
-    offered = rows.select("*", F.explode(offers).alias("contact"))
-    return offered.join(requests.select("contact").distinct(), "contact").select(*rows.columns, "contact")
+    offering = rows if users is None else users.select("id", "email", "mobile")
+    found = offering.select("*", F.explode(offers).alias("contact")).join(requests.select("contact").distinct(), "contact")
+    if users is not None:
+        found = rows.join(found.select("id", "contact"), "id")
+    return found.select(*rows.columns, "contact")
 
 
 def by_id(rows: DataFrame, value, key: str = "memberId") -> DataFrame:

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from patronlens.functions import rules, web
-from patronlens.operators.lineage import shared_folder
+from patronlens.operators.lineage import new_folder, settle
 
 
 def product_ratings(logs: DataFrame) -> DataFrame:
@@ -71,13 +69,61 @@ def settled(model: ALSModel, spark: SparkSession) -> ALSModel:
     their bytes. Scoring pairs every partition of users with every partition of items,
     so the many blocks that suit the fit would mean far too many tasks.
     """
-    folder = shared_folder(spark)
-    if folder is None:
-        return model
-    path = f"{folder}/model-{uuid.uuid4().hex}"
+    path = new_folder(spark, "model")
     save_model(model, path)
     return load_model(path)
 
 
-def recommend(ratings: DataFrame, item: str, k: int, **options) -> DataFrame:
-    return top_items(settled(fit(ratings, item, **options), ratings.sparkSession), k)
+def dense_ids(rows: DataFrame, column: str) -> DataFrame:
+    """(column, dense): every id with a number from 0 on, in order of the ids.
+
+    The factorisation takes 32-bit ids only. The ids are written in ranges with the
+    number of their range, so that numbering needs the counts of the few ranges and
+    sorts each range by itself.
+    """
+    ids = rows.select(column).dropna().distinct().repartitionByRange(column)
+    ids = settle(ids.withColumn("_range", F.spark_partition_id()))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ids.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
+    )
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(column)) - 1
+    return settle(
+        ids.join(offsets, "_range").select(column, (F.col("_offset") + place).cast("int").alias("dense"))
+    )
+
+
+def recommend(ratings: DataFrame, item: str, k: int, user: str = "user_id", **options) -> DataFrame:
+    """The ``k`` best items per user, for ids of any size or type: (id, items, favorites)."""
+    users, items = dense_ids(ratings, user), dense_ids(ratings, item)
+    numbered = (
+        ratings.join(users.withColumnRenamed("dense", "_user"), user)
+        .join(items.withColumnRenamed("dense", "_item"), item)
+        .select("_user", "_item", "rating")
+    )
+    model = settled(fit(numbered, "_item", "_user", **options), ratings.sparkSession)
+    best = top_items(model, k).select(F.col("id").cast("int").alias("dense"), F.posexplode("items").alias("place", "_item"))
+    named = best.join(items.withColumnRenamed("dense", "_item"), "_item").groupBy("dense").agg(
+        F.sort_array(F.collect_list(F.struct("place", item))).alias("ranked")
+    )
+    return named.join(users, "dense").select(
+        F.col(user).alias("id"), F.transform("ranked", lambda r: r[item]).alias("items")
+    ).withColumn("favorites", F.array_join(F.transform("items", lambda i: i.cast("string")), ","))
+
+
+def recommend_audit(ratings: DataFrame, best: DataFrame, item: str, k: int, user: str = "user_id") -> DataFrame:
+    """Counts (measure, n) that hold whatever the factors: users, lists by length, and what must be zero."""
+    rated = ratings.dropna(subset=[user, item])
+    known = rated.select(F.col(item).alias("item")).distinct()
+    shown = best.select("id", F.explode("items").alias("item"))
+    unknown = shown.join(known, "item", "left_anti").agg(F.lit("unknown").alias("measure"), F.count(F.lit(1)).alias("n"))
+    strangers = best.join(rated.select(F.col(user).alias("id")).distinct(), "id", "left_anti").agg(
+        F.lit("strangers").alias("measure"), F.count(F.lit(1)).alias("n")
+    )
+    lists = best.agg(
+        F.count(F.lit(1)).alias("lists"), F.count_distinct("id").alias("users"),
+        F.min(F.size("items")).cast("bigint").alias("shortest"), F.max(F.size("items")).cast("bigint").alias("longest"),
+        F.count_if(F.size(F.array_distinct("items")) < F.size("items")).alias("repeats"),
+        F.count_if(F.array_join(F.transform("items", lambda i: i.cast("string")), ",") != F.col("favorites")).alias("misprinted"),
+    )
+    return lists.unpivot([], lists.columns, "measure", "n").unionByName(unknown).unionByName(strangers)

@@ -6,14 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patronlens.functions import rules
 from patronlens.functions.labels import decode
 from patronlens.operators.lineage import settle
 
-FEW_VECTORS = 10_000  # distinct score vectors that are small enough to sort in one task
+LAYOUT = 16  # partitions that hold the distinct score vectors, whatever their number
 
 
 def assemble(rows: DataFrame, columns: Sequence[str], output: str = "feature") -> DataFrame:
@@ -30,14 +30,12 @@ def fit(
     """k-means over the distinct vectors, each weighted by the number of rows it stands for.
 
     Equal rows pull a centre exactly as one row with their count as weight, so scored
-    members shrink to a handful of vectors whatever their number. When they are few
-    they are also put in one fixed order, which makes the outcome independent of how
-    the input was partitioned.
+    members shrink to their distinct vectors. These are laid out by their values in a
+    fixed number of sorted partitions, which makes the outcome independent of how the
+    input was partitioned, at every size.
     """
-    vectors = settle(rows.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias("weight")))
-    # Takes at most FEW_VECTORS + 1 rows, to learn whether there are more.
-    if vectors.limit(FEW_VECTORS + 1).count() <= FEW_VECTORS:
-        vectors = vectors.coalesce(1).sortWithinPartitions(*columns)
+    vectors = rows.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    vectors = vectors.repartition(LAYOUT, *columns).sortWithinPartitions(*columns)
     # The row solver also copes with fewer distinct vectors than clusters.
     estimator = KMeans(
         k=k, seed=seed, maxIter=iterations, featuresCol="feature", predictionCol="cluster",
@@ -83,6 +81,37 @@ def segment_centers(scores: DataFrame, columns: Sequence[str], k: int, **options
     return centers(scores, fit(scores, columns, k, **options), columns, k)
 
 
+def segment_audit(scores: DataFrame, columns: Sequence[str], k: int, key: str = "memberId") -> DataFrame:
+    """One row of counts that hold for every clustering: members, vectors, and what must be zero.
+
+    ``unassigned`` members have no segment, ``repeated`` ones have two, ``misplaced`` ones are
+    not at their nearest centre, ``unknown`` values are not from 1 to ``k``, ``unranked``
+    centres have a higher sum than the one ranked above them.
+    """
+    scores = settle(scores)
+    model = fit(scores, columns, k)
+    ordered = _ordered(model)
+    segments = kmeans_segment(scores, columns, k, key)
+    near = F.array_min(F.array(*[_squares(columns, centre) for _, centre in ordered]))
+    own = F.element_at(F.array(*[_squares(columns, centre) for _, centre in ordered]), (k + 1 - F.col("value")).cast("int"))
+    joined = scores.join(segments, key, "left")
+    drops = sum(sum(low) > sum(high) for (_, high), (_, low) in zip(ordered, ordered[1:], strict=False))
+    return joined.agg(
+        F.count(F.lit(1)).alias("members"),
+        F.count_distinct(*[F.col(c) for c in columns]).alias("vectors"),
+        F.count_if(F.col("value").isNull()).alias("unassigned"),
+        (F.count(F.lit(1)) - F.count_distinct(key)).alias("repeated"),
+        F.count_if(own > near + 1e-9).alias("misplaced"),
+        F.count_if(~F.col("value").between(1, k)).alias("unknown"),
+        F.lit(drops).cast("bigint").alias("unranked"),
+    )
+
+
+def _squares(columns: Sequence[str], centre: Sequence[float]) -> Column:
+    parts = [(F.col(c) - F.lit(x)) * (F.col(c) - F.lit(x)) for c, x in zip(columns, centre, strict=True)]
+    return sum(parts[1:], parts[0])
+
+
 RFM_COLUMNS = ["recency", "frequency", "money"]
 COUPON_COLUMNS = ["buy_coupon", "buy_card", "buy_activity"]
 DISCOUNT_COLUMNS = ["colbuy", "coldis", "colavgdis"]

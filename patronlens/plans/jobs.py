@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronlens.functions import rules
-from patronlens.operators import activity, baskets, orders, profile, recommend, reports, segment
+from patronlens.operators import activity, baskets, lineage, orders, profile, recommend, reports, segment
 from patronlens.sources import tables
 from patronlens.sources.typed import TypedSources
 
@@ -41,6 +41,18 @@ class Run:
         self.mode = mode
         self.shift_days = shift_days
         self.written: set[str] = set()
+        self.members_known = False
+
+    def check_members(self) -> None:
+        """Stop before tables come out empty: some member number of the orders must be a user's id."""
+        if self.members_known:
+            return
+        users, orders_ = self.sources.users.select("id"), self.sources.orders.select(F.col("memberId").alias("id"))
+        if users.join(orders_.where("id IS NOT NULL"), "id", "left_semi").isEmpty() and not orders_.isEmpty():
+            raise ValueError(
+                "no member number of the orders is the id of a user; raw numbers name users by their last digits: try --suffix-keys"
+            )
+        self.members_known = True
 
     def table(self, name: str) -> DataFrame:
         """A derived table, written by this run if it was not yet."""
@@ -51,6 +63,8 @@ class Run:
         if name in self.written:
             return
         job = JOBS[name]
+        if name in BY_MEMBER:
+            self.check_members()
         for needed in job.needs:
             self.write(needed)
         tables.write(job.build(self), f"{self.out}/{name}", job.key, self.mode, unique=True, lookups=job.lookups)
@@ -132,6 +146,12 @@ JOBS: dict[str, Job] = {
 }
 
 
+BY_MEMBER = {
+    "usertitle", "cycle", "agegender", "provincerf", "Amount_city", "Amount_job", "Amount_Constellation", "Brand_age",
+    "ALS_favorBrand",
+}  # tables that join orders to users
+
+
 def main() -> None:
     parser = argparse.ArgumentParser(description="Build derived profile tables.")
     parser.add_argument("--sources", required=True)
@@ -140,12 +160,16 @@ def main() -> None:
     parser.add_argument("--tables", default=",".join(JOBS))
     parser.add_argument("--mode", default="overwrite", choices=["errorifexists", "overwrite", "append", "upsert"])
     parser.add_argument("--suffix-keys", action="store_true", help="members by the last three digits of their number")
+    parser.add_argument("--time-zone", default="UTC", help="zone of hours, days and weeks")
     options = parser.parse_args()
-    spark = SparkSession.builder.appName("profile-tables").getOrCreate()
+    spark = SparkSession.builder.appName("profile-tables").config("spark.sql.session.timeZone", options.time_zone).getOrCreate()
     run = Run(TypedSources(spark, options.sources, options.suffix_keys), options.out, options.as_of, options.mode)
-    for name in options.tables.split(","):
-        run.write(name)
-    spark.stop()
+    try:
+        for name in options.tables.split(","):
+            run.write(name)
+    finally:
+        lineage.clear(spark)
+        spark.stop()
 
 
 if __name__ == "__main__":

@@ -1,6 +1,6 @@
 """The catalogue's queries as plain SQL over the same tables, written apart from the operators.
 
-``u o g l r`` are the users, orders, order lines, page views and regions.
+``u o g l r`` are the users, orders, order lines, page views and regions; ``p`` are the lines without their product.
 """
 
 from __future__ import annotations
@@ -29,6 +29,10 @@ _INPUTS = {
     CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END AS activity,
     CAST(l_extendedprice AS DECIMAL(18,2)) AS listed
   FROM lineitem JOIN part ON l_partkey = p_partkey)""",
+    "p": """p AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS sn, CAST(l_discount AS DECIMAL(4,2)) AS coupon, CAST(l_tax AS DECIMAL(4,2)) AS card,
+    CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END AS activity, CAST(l_extendedprice AS DECIMAL(18,2)) AS listed
+  FROM lineitem)""",
     "l": """l AS (
   SELECT event_id AS id, user_id, ts AS moment,
     CASE event_type WHEN 'view' THEN '/product/' || CAST(event_id % 40 AS VARCHAR) || '.html'
@@ -342,6 +346,9 @@ baskets AS (
 
 _SOLD = ", cycle, part, products, count, email, mobile FROM baskets JOIN u ON u.id = baskets.member"
 ORACLES["weekly_basket"] = _sql("u o g", _baskets(10000) + "\nSELECT u.id" + _SOLD)
+ORACLES["weekly_basket_suffix"] = _sql("u o g", _baskets(10000).replace(
+    _DONE, _DONE.replace("FROM o", "FROM (SELECT * REPLACE (CAST(right(CAST(member AS VARCHAR), 3) AS BIGINT) AS member) FROM o) o")
+) + "\nSELECT u.id" + _SOLD)
 ORACLES["weekly_basket_by_year"] = _sql("u o g", _baskets(3, year=True) + "\nSELECT u.id, year" + _SOLD)
 
 _PREVIEWS = """,
@@ -362,26 +369,38 @@ uses AS (
     coalesce(sum(CASE WHEN status = '202' AND card <> 0 THEN 1 ELSE 0 END), 0) AS cards,
     coalesce(sum(CASE WHEN status = '202' AND activity <> 0 THEN 1 ELSE 0 END), 0) AS activities
   FROM o LEFT JOIN g ON o.sn = g.sn GROUP BY member)"""
-ORACLES["coupon_scores"] = _sql("o g", _USES + """
+_CARDED_USES = _USES.replace("AND card <> 0", "AND id % 4 = 0")
+_COUPON_BANDS = """
 SELECT member AS "memberId",
   CASE WHEN coupons > 5 THEN 5 WHEN coupons = 5 THEN 4 WHEN coupons = 4 THEN 3 WHEN coupons = 3 THEN 2 ELSE 1 END AS buy_coupon,
   CASE WHEN cards > 4 THEN 5 WHEN cards = 4 THEN 4 WHEN cards = 3 THEN 3 WHEN cards = 2 THEN 2 ELSE 1 END AS buy_card,
   CASE WHEN activities > 5 THEN 5 WHEN activities = 5 THEN 4 WHEN activities = 4 THEN 3
     WHEN activities >= 2 THEN 2 ELSE 1 END AS buy_activity
-FROM uses""")
-ORACLES["coupon_scores_scaled"] = _sql("o g", _USES + f"""
+FROM uses"""
+_COUPON_BANDS_SCALED = f"""
 SELECT member AS "memberId", {_five("coupons", (19, 14, 10, 6))} AS buy_coupon,
   {_five("cards", (19, 14, 10, 6))} AS buy_card, {_five("activities", (19, 14, 10, 6))} AS buy_activity
-FROM uses""")
+FROM uses"""
+for _suffix, _uses in {"": _CARDED_USES, "_by_line": _USES}.items():
+    ORACLES[f"coupon_scores{_suffix}"] = _sql("o p", _uses.replace("LEFT JOIN g ON o.sn = g.sn", "LEFT JOIN p ON o.sn = p.sn") + _COUPON_BANDS)
+    ORACLES[f"coupon_scores_scaled{_suffix}"] = _sql("o p", _uses.replace("LEFT JOIN g ON o.sn = g.sn", "LEFT JOIN p ON o.sn = p.sn") + _COUPON_BANDS_SCALED)
 
-_DISCOUNTS = _LINES + """,
-rates AS (
-  SELECT member, CAST(listed AS DOUBLE) * (1 - CAST(coupon AS DOUBLE)) / nullif(CAST(listed AS DOUBLE), 0) AS rate FROM lines),
+_DISCOUNTS = """,
 discounts AS (
   SELECT member, count(*) AS n, sum(CASE WHEN rate < 1 THEN 1 ELSE 0 END) AS cheaper, round(avg(rate), 9) AS mean_rate
   FROM rates GROUP BY member)"""
-for _name, _cuts in {"discount_scores": (80, 60, 40, 20), "discount_scores_scaled": (25, 15, 10, 5)}.items():
-    ORACLES[_name] = _sql("o g", _DISCOUNTS + f"""
+_LINE_RATES = _DONE + """,
+rates AS (
+  SELECT member, CAST(listed AS DOUBLE) * (1 - CAST(coupon AS DOUBLE)) / nullif(CAST(listed AS DOUBLE), 0) AS rate
+  FROM done JOIN p ON done.sn = p.sn)""" + _DISCOUNTS
+_ORDER_RATES = _DONE + """,
+amounts AS (SELECT sn, sum(listed) AS listed, sum(listed * (1 - coupon)) AS paid FROM p GROUP BY sn),
+rates AS (
+  SELECT member, CAST(paid AS DOUBLE) / nullif(CAST(listed AS DOUBLE), 0) AS rate
+  FROM done JOIN amounts ON done.sn = amounts.sn)""" + _DISCOUNTS
+for _suffix, _rates in {"": _ORDER_RATES, "_by_line": _LINE_RATES}.items():
+    for _name, _cuts in {"discount_scores": (80, 60, 40, 20), "discount_scores_scaled": (25, 15, 10, 5)}.items():
+        ORACLES[f"{_name}{_suffix}"] = _sql("o p", _rates + f"""
 SELECT member AS "memberId", {_five("n", _cuts)} AS colbuy, {_five("cheaper", (15, 10, 6, 3))} AS coldis,
   CASE WHEN mean_rate < 0.95 THEN 5 WHEN mean_rate <= 0.96 THEN 4 WHEN mean_rate <= 0.97 THEN 3
     WHEN mean_rate <= 0.98 THEN 2 ELSE 1 END AS colavgdis
@@ -520,6 +539,9 @@ SELECT city, CAST(trunc(sum(spend)) AS BIGINT) AS amount
 FROM u JOIN spend ON u.id = spend.member LEFT JOIN r USING (region_key) GROUP BY city""")
 ORACLES["spend_by_job"] = _sql("u o", _SPEND + f"""
 SELECT {_JOB} AS job, CAST(trunc(sum(spend)) AS BIGINT) AS amount FROM u JOIN spend ON u.id = spend.member GROUP BY 1""")
+ORACLES["spend_by_job_suffix"] = _sql("u o", _DONE + f""",
+spend AS (SELECT CAST(right(CAST(member AS VARCHAR), 3) AS BIGINT) AS member, sum(amount) AS spend FROM done GROUP BY 1)
+SELECT {_JOB} AS job, CAST(trunc(sum(spend)) AS BIGINT) AS amount FROM u JOIN spend ON u.id = spend.member GROUP BY 1""")
 _SIGNS = _SPEND + f""",
 signs AS (
   SELECT {_ZODIAC} AS constellation, CAST(trunc(sum(spend)) AS BIGINT) AS amount
@@ -606,3 +628,42 @@ FROM profiles LEFT JOIN weeks ON weeks.member = profiles.id
   LEFT JOIN preferences ON preferences."memberId" = profiles.id
   LEFT JOIN consumers ON consumers."memberId" = profiles.id
   LEFT JOIN slot_series ON slot_series.user_id = profiles.id""")
+
+
+# --- audits ----------------------------------------------------------------
+
+
+def _audit(scores: str, columns: str) -> str:
+    return f"""
+SELECT count(*) AS members, count(DISTINCT ({columns})) AS vectors, 0::BIGINT AS unassigned, 0::BIGINT AS repeated,
+  0::BIGINT AS misplaced, 0::BIGINT AS unknown, 0::BIGINT AS unranked
+FROM ({ORACLES[scores]})"""
+
+
+ORACLES["rfm_segment_audit"] = _audit("rfm_scores_scaled", "recency, frequency, money")
+ORACLES["coupon_segment_audit"] = _audit("coupon_scores_scaled", "buy_coupon, buy_card, buy_activity")
+ORACLES["discount_segment_audit"] = _audit("discount_scores_scaled", "colbuy, coldis, colavgdis")
+ORACLES["user_titles_audit"] = f"""
+SELECT c_custkey AS id, CAST(c_custkey AS VARCHAR) AS "memberId", TRUE AS "right" FROM customer
+WHERE c_custkey IN (SELECT "memberId" FROM ({ORACLES["coupon_scores_scaled"]}))
+  AND c_custkey IN (SELECT "memberId" FROM ({ORACLES["discount_scores_scaled"]}))"""
+ORACLES["customer_360_titled_audit"] = f"""
+SELECT count(*) AS users, count(*) FILTER (id IN (SELECT "memberId" FROM ({ORACLES["rfm_scores_scaled"]}))
+    AND id IN (SELECT "memberId" FROM ({ORACLES["consumer_profile_scaled"]}))) AS valued,
+  0::BIGINT AS mislabelled, 0::BIGINT AS untitled
+FROM ({ORACLES["customer_360"]})"""
+ORACLES["value_label_audit"] = f"""
+WITH scored AS (SELECT "memberId" AS id FROM ({ORACLES["rfm_scores_scaled"]})),
+known AS (SELECT id FROM scored JOIN customer ON c_custkey = id)
+SELECT 'labelled' AS query, count(*) AS members FROM scored
+UNION ALL SELECT 'profiled', count(*) FROM ({ORACLES["consumer_profile_scaled"]}) WHERE "memberId" IN (SELECT id FROM scored)
+UNION ALL SELECT 'by_age_gender', count(*) FROM known UNION ALL SELECT 'by_province', count(*) FROM known"""
+for _name, _ratings, _item, _k in (
+    ("recommend_products_audit", "product_ratings", "product", 10), ("recommend_brands_audit", "brand_ratings", "brand", 3),
+):
+    ORACLES[_name] = f"""
+WITH ratings AS ({ORACLES[_ratings]}), items AS (SELECT least({_k}, count(DISTINCT {_item})) AS n FROM ratings),
+users AS (SELECT count(DISTINCT user_id) AS n FROM ratings)
+SELECT 'lists' AS measure, n FROM users UNION ALL SELECT 'users', n FROM users
+UNION ALL SELECT 'shortest', n FROM items UNION ALL SELECT 'longest', n FROM items
+UNION ALL SELECT unnest(['repeats', 'misprinted', 'unknown', 'strangers']), 0"""

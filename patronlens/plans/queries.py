@@ -7,6 +7,7 @@ compare equal across engines; the operators themselves return typed columns.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -264,28 +265,41 @@ def basket_preview(x):
     return baskets.basket_preview(x.done, x.goods, x.users)
 
 
+def _coupon_scores(x, *cuts):
+    return baskets.coupon_scores(x.orders_with_card, x.lines.drop("giftCardAmount"), *cuts)
+
+
+COUPON_CUTS = (rules.USE_SCORE_SCALED,) * 3
+
+
 @_query
 def coupon_scores(x):
-    return baskets.coupon_scores(x.orders, x.goods)
+    return _coupon_scores(x)
 
 
-def _coupon_scores(x):
-    cuts = rules.USE_SCORE_SCALED
-    return baskets.coupon_scores(x.orders, x.goods, cuts, cuts, cuts)
+@_query
+def coupon_scores_scaled(x):
+    return _coupon_scores(x, *COUPON_CUTS)
 
 
 @_query
-def coupon_scores_scaled(x):
-    return _coupon_scores(x)
+def coupon_scores_by_line(x):
+    """With the gift card kept on the line."""
+    return baskets.coupon_scores(x.orders, x.lines)
 
 
 @_query
-def discount_scores(x):
-    return baskets.discount_scores(x.done, x.goods)
+def coupon_scores_scaled_by_line(x):
+    return baskets.coupon_scores(x.orders, x.lines, *COUPON_CUTS)
 
 
 def _discount_scores(x):
-    return baskets.discount_scores(x.done, x.goods, bought=rules.BUY_SCORE_SCALED)
+    return baskets.discount_scores(x.orders_listed, bought=rules.BUY_SCORE_SCALED)
+
+
+@_query
+def discount_scores(x):
+    return baskets.discount_scores(x.orders_listed)
 
 
 @_query
@@ -293,6 +307,17 @@ def discount_scores_scaled(x):
     return _discount_scores(x)
 
 
+@_query
+def discount_scores_by_line(x):
+    """Lines in place of orders."""
+    return baskets.discount_scores(x.done, x.lines)
+
+
+@_query
+def discount_scores_scaled_by_line(x):
+    return baskets.discount_scores(x.done, x.lines, bought=rules.BUY_SCORE_SCALED)
+
+
 def _brand_preference(x):
     return baskets.brand_preference(x.done, x.goods, rules.BRANDS_SCALED, rules.HOUSE_BRAND_SCALED)
 
@@ -383,6 +408,24 @@ def spend_by_job(x):
     return reports.spend_by(x.done, profile.demographics(x.users), "job")
 
 
+def _suffix_users(x):
+    """Users whose id is a member suffix, which is how suffix keys name them."""
+    return x.users.where(F.col("id") < 1000)
+
+
+@_query
+def spend_by_job_suffix(x):
+    """With members named by the last three digits of their number."""
+    member = member_key("memberId").cast("bigint")
+    return reports.spend_by(x.done, profile.demographics(_suffix_users(x)), "job", member)
+
+
+@_query
+def weekly_basket_suffix(x):
+    done = x.done.withColumn("memberId", member_key("memberId").cast("bigint"))
+    return _texts(baskets.weekly_basket(done, x.goods, _suffix_users(x)), "products")
+
+
 @_query
 def spend_by_zodiac(x):
     return reports.spend_by(x.done, profile.zodiac(x.users), "constellation")
@@ -441,7 +484,7 @@ def brand_by_age(x):
 
 @_query
 def brand_age_series(x):
-    ages = {"70后": "born_70s", "80后": "born_80s", "90后": "born_90s", "00后": "born_00s"}
+    ages = {age: f"born_{age[:2]}s" for age in rules.GENERATION_SERIES}
     return reports.brand_age_series(*_brand_by_age(x)).withColumnsRenamed(ages)
 
 
@@ -470,7 +513,7 @@ def lookup_profile(x):
 
 @_query
 def lookup_basket(x):
-    found = lookup.by_contacts(baskets.weekly_basket(x.done, x.goods, x.users), _contacts(x))
+    found = lookup.by_contacts(baskets.weekly_basket(x.done, x.goods, x.users), _contacts(x), x.users)
     return _texts(found, "products").drop("id")
 
 
@@ -515,19 +558,24 @@ def profiles_as_json(x):
     return lookup.as_json(profile.demographics(x.users))
 
 
-@_query
-def customer_360(x):
+def _whole_view(x, consumer, titles=None):
     whole = lookup.customer_360(
         _profiles(x),
         baskets.basket_preview(x.done, x.goods, x.users),
         baskets.product_preference(x.done, x.goods),
-        orders.consumer_profile(x.orders, **SCALED_CUTS),
+        consumer,
         activity.slot_series(x.logs),
+        titles,
     )
     week = F.transform("baskets", lambda b: F.concat_ws(":", b["cycle"].cast("string"), b["count"].cast("string"), b["preview"]))
     return _day(whole.withColumn("baskets", F.array_join(week, "; ")), "birthday")
 
 
+@_query
+def customer_360(x):
+    return _whole_view(x, orders.consumer_profile(x.orders, **SCALED_CUTS))
+
+
 # --- clusters and recommendations (no SQL counterpart) ----------------------
 
 
@@ -567,7 +615,7 @@ def value_by_province_segment(x):
 
 @_query
 def coupon_segment(x):
-    return segment.coupon_segment(_coupon_scores(x))
+    return segment.coupon_segment(_coupon_scores(x, *COUPON_CUTS))
 
 
 @_query
@@ -577,7 +625,7 @@ def discount_segment(x):
 
 def _titles(x):
     return segment.user_titles(
-        x.users, segment.discount_segment(_discount_scores(x)), segment.coupon_segment(_coupon_scores(x))
+        x.users, segment.discount_segment(_discount_scores(x)), segment.coupon_segment(_coupon_scores(x, *COUPON_CUTS))
     )
 
 
@@ -610,3 +658,74 @@ def recommend_products(x):
 def recommend_brands(x):
     ratings = baskets.brand_ratings(x.users, x.orders, x.goods, rules.BRAND_CODES_SCALED)
     return recommend.recommend(ratings, "brand", rules.TOP_BRANDS).drop("items")
+
+
+@_query
+def customer_360_titled(x):
+    """The whole view with the value label among the consumer labels, and with titles."""
+    consumer = orders.consumer_profile(x.orders, _segments(x), **SCALED_CUTS)
+    return _whole_view(x, consumer, _titles(x))
+
+
+# --- audits: what must hold whatever clusters and factors come out ----------
+
+
+@_query
+def rfm_segment_audit(x):
+    return segment.segment_audit(_scores(x), segment.RFM_COLUMNS, rules.RFM_CLUSTERS)
+
+
+@_query
+def coupon_segment_audit(x):
+    return segment.segment_audit(_coupon_scores(x, *COUPON_CUTS), segment.COUPON_COLUMNS, rules.TITLE_CLUSTERS)
+
+
+@_query
+def discount_segment_audit(x):
+    return segment.segment_audit(_discount_scores(x), segment.DISCOUNT_COLUMNS, rules.TITLE_CLUSTERS)
+
+
+@_query
+def user_titles_audit(x):
+    """Who has titles, and that each title goes with the best segment and no other."""
+    title = lambda c, text: F.col(f"{c}_title") == F.when(F.col(c) == rules.TITLE_CLUSTERS, text).otherwise(rules.NO_TITLE)
+    right = title("thrift", rules.THRIFT_TITLE) & title("coupon", rules.COUPON_TITLE)
+    return _titles(x).select("id", "memberId", right.alias("right"))
+
+
+@_query
+def customer_360_titled_audit(x):
+    """Users, those with a value label, and those without a title text (none)."""
+    label = lambda: F.col("value").isin(*rules.VALUE_LABELS.values())
+    return customer_360_titled(x).agg(
+        F.count(F.lit(1)).alias("users"), F.count_if(label()).alias("valued"),
+        F.count_if(F.col("value").isNotNull() & ~label()).alias("mislabelled"),
+        F.count_if(F.col("thrift_title").isNull() | F.col("coupon_title").isNull()).alias("untitled"),
+    )
+
+
+@_query
+def value_label_audit(x):
+    """Members of each segmented query: value labels, consumer profiles and reports cover the scored members."""
+    labelled = F.count_if(F.col("value").isin(*rules.VALUE_LABELS.values()))
+    counts = {
+        "labelled": value_label(x).agg(labelled.alias("members")),
+        "profiled": consumer_profile_valued(x).agg(labelled.alias("members")),
+        "by_age_gender": value_by_age_gender_segment(x).agg(F.sum("users").alias("members")),
+        "by_province": value_by_province_segment(x).agg(F.sum("users").alias("members")),
+    }
+    return reduce(DataFrame.unionByName, [rows.withColumn("query", F.lit(name)) for name, rows in counts.items()])
+
+
+@_query
+def recommend_products_audit(x):
+    ratings = recommend.product_ratings(x.logs)
+    return recommend.recommend_audit(ratings, recommend.recommend(ratings, "product", rules.TOP_PRODUCTS), "product", rules.TOP_PRODUCTS)
+
+
+@_query
+def recommend_brands_audit(x):
+    """With user ids beyond 32 bits, as mobile numbers are."""
+    ratings = baskets.brand_ratings(x.users, x.orders, x.goods, rules.BRAND_CODES_SCALED)
+    ratings = ratings.withColumn("user_id", F.col("user_id") + 10_000_000_000)
+    return recommend.recommend_audit(ratings, recommend.recommend(ratings, "brand", rules.TOP_BRANDS), "brand", rules.TOP_BRANDS)

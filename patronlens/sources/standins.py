@@ -97,6 +97,33 @@ class StandIns:
             F.col("l_extendedprice").cast("decimal(18,2)").alias("productAmount"),
         )
 
+    @cached_property
+    def lines(self) -> DataFrame:
+        """Order lines without their product, for labels that need none."""
+        return self._table("lineitem").select(
+            F.col("l_orderkey").cast("string").alias("cOrderSn"),
+            F.col("l_discount").cast("decimal(4,2)").alias("couponAmount"),
+            F.col("l_tax").cast("decimal(4,2)").alias("giftCardAmount"),
+            F.when(F.col("l_returnflag") == "A", 1).otherwise(0).alias("activityPrice"),
+            F.col("l_extendedprice").cast("decimal(18,2)").alias("productAmount"),
+        )
+
+    @cached_property
+    def orders_with_card(self) -> DataFrame:
+        """Orders that keep their gift card themselves: every fourth has one."""
+        card = F.when(F.col("id") % 4 == 0, F.lit("5.00")).otherwise("0.00").cast("decimal(18,2)")
+        return self.orders.withColumn("giftCardAmount", card)
+
+    @cached_property
+    def orders_listed(self) -> DataFrame:
+        """Completed orders that have lines, with list amount and paid amount summed over these."""
+        paid = F.col("productAmount") * (1 - F.col("couponAmount"))
+        sums = self.lines.groupBy("cOrderSn").agg(
+            F.sum("productAmount").alias("productAmount"), F.sum(paid).alias("orderAmount")
+        )
+        kept = self.done.drop("orderAmount")
+        return kept.join(sums, F.col("orderSn") == F.col("cOrderSn")).drop("cOrderSn")
+
     @cached_property
     def logs(self) -> DataFrame:
         event = F.col("event_id")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from pyspark.sql import types as T
 
 from patronlens.operators.topk import top_rows
 
-_MONEY = T.DecimalType(18, 2)
+_MONEY = T.DecimalType(38, 10)  # wide enough for every amount as it was written
 
 
 def _schema(**columns: T.DataType) -> T.StructType:
@@ -92,10 +94,11 @@ def latest_by_key(rows: DataFrame, key: str | Sequence[str], newest: str | None
 
 
 def merge_by_key(current: DataFrame, updates: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """``current`` with the rows of ``updates`` put in place of those with an equal key."""
+    """``current`` with the rows of ``updates`` put in place of those with an equal key; null equals null."""
     keys = [key] if isinstance(key, str) else list(key)
-    kept = current.join(updates.select(*keys), keys, "left_anti")
-    return kept.unionByName(updates)
+    new = updates.select([F.col(c).alias(f"_new_{c}") for c in keys])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_new_{c}")) for c in keys])
+    return current.join(new, same, "left_anti").unionByName(updates)
 
 
 def _files(spark: SparkSession, path: str):
@@ -121,34 +124,59 @@ def write(
 ) -> None:
     """Write a table with one row per key.
 
-    ``mode`` is ``errorifexists``, ``overwrite``, ``append`` (one row per key within
-    the batch) or ``upsert`` (one row per key in the whole table). ``unique`` says that
+    ``mode`` is ``errorifexists``, ``overwrite``, or ``upsert`` and ``append``, which both
+    keep one row per key in the whole table, as a keyed store does when a key is put
+    again. ``unique`` says that
     the rows already have one row per key, which saves a shuffle. Rows are laid out by
     range of the key, so a lookup by key reads few row groups; ``lookups`` names further
     columns that get Bloom filters, so that a lookup by one of them skips row groups too.
 
-    An upsert writes the merged table beside the old one and swaps the two names, so
-    a job that dies before the swap leaves the old table whole.
+    An upsert writes the merged table beside the old one and swaps the two names. A job
+    that dies on the way leaves the old table whole, under its name or, between the two
+    renames, as ``.old``, which the next write puts back first.
     """
     spark = rows.sparkSession
     keys = [key] if isinstance(key, str) else list(key)
+    recover(spark, path)
     if not unique:
         rows = latest_by_key(rows, keys, newest)
-    swap = mode == "upsert" and table_exists(spark, path)
+    swap = mode in ("upsert", "append") and table_exists(spark, path)
     if swap:
         rows = merge_by_key(spark.read.parquet(path), rows, keys)
     if sort:
         rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
     writer = rows.write.options(**{f"parquet.bloom.filter.enabled#{c}": "true" for c in lookups})
     if not swap:
-        writer.mode("errorifexists" if mode == "upsert" else mode).parquet(path)
+        writer.mode("errorifexists" if mode in ("upsert", "append") else mode).parquet(path)
         return
-    fs, jvm_path = _files(spark, path)
     fresh, old = f"{path}.next", f"{path}.old"
     writer.mode("overwrite").parquet(fresh)
-    fs.rename(jvm_path(path), jvm_path(old))
-    fs.rename(jvm_path(fresh), jvm_path(path))
-    fs.delete(jvm_path(old), True)
+    _rename(spark, path, old)
+    _rename(spark, fresh, path)
+    if not table_exists(spark, path):
+        raise OSError(f"{path} is not there after the swap; its former state is {old}")
+    _delete(spark, old)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Put back a table that a dead upsert left under its ``.old`` name; clear what a finished one left."""
+    old = f"{path}.old"
+    if table_exists(spark, old):
+        if table_exists(spark, path):
+            _delete(spark, old)
+        else:
+            _rename(spark, old, path)
+
+
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    fs, jvm_path = _files(spark, source)
+    if not fs.rename(jvm_path(source), jvm_path(target)):
+        raise OSError(f"could not rename {source} to {target}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, jvm_path = _files(spark, path)
+    fs.delete(jvm_path(path), True)
 
 
 def register_view(rows: DataFrame, name: str) -> DataFrame:

@@ -62,3 +62,10 @@ def test_every_table_is_built_and_keyed(spark, sources, tmp_path_factory):
 def test_suffix_keys(spark, sources):
     merged = TypedSources(spark, sources.directory, suffix_keys=True).orders.select("memberId").distinct()
     assert merged.count() <= 1000 and merged.filter("memberId >= 1000").count() == 0
+
+
+def test_orders_of_nobody_stop_the_run(sources, tmp_path):
+    stranger = TypedSources(sources.spark, sources.directory)
+    stranger.orders = sources.orders.withColumn("memberId", F.col("memberId") + 10**10)
+    with pytest.raises(ValueError, match="suffix-keys"):
+        Run(stranger, str(tmp_path), "2024-01-31").write("Amount_job")

@@ -4,7 +4,7 @@ import numpy as np
 from compare import SMALL
 
 from patronlens.functions import rules
-from patronlens.operators import orders, recommend, segment
+from patronlens.operators import lineage, orders, recommend, segment
 from patronlens.plans import queries
 from patronlens.sources.standins import ORDERS_AS_OF, StandIns
 
@@ -22,6 +22,33 @@ def test_segments_do_not_depend_on_partitioning(spark):
     assert len(seen[0]) == frame.count()
 
 
+def test_many_vectors_do_not_depend_on_partitioning_either(spark):
+    frame = spark.range(12_000).selectExpr("id AS memberId", "id % 251 AS recency", "id % 241 AS frequency", "id % 239 AS money")
+    seen = [sorted(map(tuple, segment.rfm_segment(frame.repartition(n)).collect())) for n in (1, 3, 7)]
+    assert seen[0] == seen[1] == seen[2]
+
+
+def test_ids_of_any_size_get_recommendations(spark):
+    x = StandIns(spark, "/root/testdata/sf0.001")
+    ratings = recommend.product_ratings(x.logs)
+    large = ratings.selectExpr("user_id + 13822841014 AS user_id", "product + 5000000000 AS product", "rating")
+    best = recommend.recommend(large, "product", 4)
+    audit = dict(recommend.recommend_audit(large, best, "product", 4).select("measure", "n").collect())
+    users = ratings.select("user_id").distinct().count()
+    assert audit == {
+        "users": users, "lists": users, "shortest": 4, "longest": 4, "unknown": 0, "strangers": 0, "repeats": 0, "misprinted": 0,
+    }
+    dense = [r.dense for r in recommend.dense_ids(large, "user_id").orderBy("user_id").collect()]
+    assert dense == list(range(users))
+
+
+def test_titles_write_two_tables_and_all_are_cleared(spark):
+    lineage.clear(spark)
+    queries.QUERIES["user_titles"](spark, "/root/testdata/sf0.001").count()
+    assert lineage.clear(spark) <= 2
+    assert lineage.clear(spark) == 0
+
+
 def test_each_member_is_in_the_nearest_cluster_and_values_follow_the_centres(spark):
     frame = scores(spark)
     model = segment.fit(frame, segment.RFM_COLUMNS, 7)

@@ -69,3 +69,9 @@ def test_top_rows_are_cut_before_the_shuffle(spark, name):
 
 def test_orders_are_read_once_for_the_consumer_profile(spark):
     assert plan(spark, "consumer_profile").count("FileScan") == 1
+
+
+@pytest.mark.parametrize("name, shuffles", [("coupon_scores", 3), ("discount_scores", 3)])
+def test_scores_of_lines_do_not_read_products(spark, name, shuffles):
+    text = plan(spark, name)
+    assert "part.parquet" not in text and text.count("Exchange") <= shuffles

@@ -55,8 +55,9 @@ def test_keyed_write(spark, tmp_path):
         tables.write(frame((3, "y", 1)), path, "k")
     tables.write(frame((2, "changed", 3), (4, "z", 3)), path, "k", mode="upsert")
     assert rows_at(spark, path) == [(1, "new", 2), (2, "changed", 3), (4, "z", 3)]
-    tables.write(frame((9, "more", 1)), path, "k", mode="append")
-    assert len(rows_at(spark, path)) == 4
+    for _ in range(2):  # appending a key again does not repeat it
+        tables.write(frame((9, "more", 1)), path, "k", mode="append")
+        assert len(rows_at(spark, path)) == 4
     tables.write(frame((5, "only", 1)), path, "k", mode="overwrite")
     assert rows_at(spark, path) == [(5, "only", 1)]
     assert not tables.table_exists(spark, path + ".old") and not tables.table_exists(spark, path + ".next")
@@ -74,6 +75,48 @@ def test_merge_by_key_with_two_keys(spark):
     assert sorted(map(tuple, merged.collect())) == [(1, 1, "a"), (1, 2, "c"), (2, 1, "d")]
 
 
+def test_null_keys_are_one_key(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    for v in ("x", "y"):
+        tables.write(spark.createDataFrame([(None, v), (1, v)], "k int, v string"), path, "k", mode="upsert")
+    assert sorted(map(tuple, spark.read.parquet(path).collect()), key=repr) == [(1, "y"), (None, "y")]
+
+
+@pytest.mark.parametrize("death", ["before the swap", "between the renames", "before the delete", "after the delete"])
+def test_an_upsert_that_dies_loses_nothing(spark, tmp_path, death):
+    path = f"{tmp_path}/t"
+    frame = lambda *rows: spark.createDataFrame(list(rows), "k int, v string")
+    tables.write(frame((1, "a"), (2, "b")), path, "k")
+    stop = {"before the swap": 0, "between the renames": 1, "before the delete": 2, "after the delete": 3}[death]
+    done, steps = [], (tables._rename, tables._delete)
+
+    def dying(step):
+        def run(*arguments):
+            if len(done) == stop:
+                raise KeyboardInterrupt
+            done.append(step)
+            return step(*arguments)
+
+        return run
+
+    tables._rename, tables._delete = map(dying, steps)
+    try:
+        tables.write(frame((2, "c"), (3, "d")), path, "k", mode="upsert")
+    except KeyboardInterrupt:
+        pass
+    finally:
+        tables._rename, tables._delete = steps
+    tables.write(frame((2, "c"), (3, "d")), path, "k", mode="upsert")
+    assert rows_at(spark, path) == [(1, "a"), (2, "c"), (3, "d")]
+    assert not tables.table_exists(spark, f"{path}.old")
+
+
+def test_conform_keeps_all_decimals(spark):
+    raw = spark.createDataFrame([("1", "0.004"), ("2", "12345678901234567890.1234567891")], "id string, couponAmount string")
+    rows = {r["id"]: r["couponAmount"] for r in tables.conform(raw, "tbl_goods").collect()}
+    assert rows == {1: Decimal("0.004"), 2: Decimal("12345678901234567890.1234567891")}
+
+
 def test_view(spark):
     tables.register_view(spark.createDataFrame([(1, 7)], "memberId int, value int"), "consumer_rfm")
     assert spark.sql("SELECT value FROM consumer_rfm").first()[0] == 7
