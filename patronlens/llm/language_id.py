@@ -22,7 +22,6 @@ predicted alike; a null doc_id is never held out; an empty table gives no rows.
 from __future__ import annotations
 
 import re
-import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -47,9 +46,7 @@ UNDETERMINED = "und"
 CACHED_WORDS = 250_000  # word scores a worker remembers
 SLICE_CHARACTERS = 2_000_000
 
-# Alphanumerics that are neither letters nor decimal digits, such as superscripts.
-_OTHER = "".join(c for c in map(chr, range(0x80, sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_LETTERS = re.compile(rf"[^\W\d_{_OTHER}]+")
+_LETTERS = re.compile(r"[^\W\d_]+")  # and a few other characters, such as superscripts
 _BEGIN = "▁"  # marks the start of a word in the vocabulary
 _FACTOR, _SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _SLOT_BITS = 18
@@ -66,6 +63,8 @@ def read_vocabulary(path: str = VOCABULARY) -> list[str]:
 
 def words_of(text: str | None) -> list[str]:
     found = _LETTERS.findall((text or "").lower())
+    if not all(map(str.isalpha, found)):
+        found = "".join(c if c.isalpha() else " " for c in " ".join(found)).split()
     if max(map(len, found), default=0) <= LONGEST:
         return found
     return [w[i : i + LONGEST] for w in found for i in range(0, len(w), LONGEST)]
