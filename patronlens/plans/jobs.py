@@ -162,7 +162,14 @@ def main() -> None:
     parser.add_argument("--suffix-keys", action="store_true", help="members by the last three digits of their number")
     parser.add_argument("--time-zone", default="UTC", help="zone of hours, days and weeks")
     options = parser.parse_args()
-    spark = SparkSession.builder.appName("profile-tables").config("spark.sql.session.timeZone", options.time_zone).getOrCreate()
+    spark = (
+        SparkSession.builder.appName("profile-tables")
+        .config("spark.sql.session.timeZone", options.time_zone)
+        # An order with very many lines is split in the joins that need the product of each line.
+        .config("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
+        .config("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "64m")
+        .getOrCreate()
+    )
     run = Run(TypedSources(spark, options.sources, options.suffix_keys), options.out, options.as_of, options.mode)
     try:
         for name in options.tables.split(","):
