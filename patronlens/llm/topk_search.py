@@ -38,7 +38,7 @@ from patronlens.operators.lineage import settle
 K = 10
 K1, B = 1.2, 0.75
 SHARD = 16_384  # documents of a shard, on average
-QUERIES = 2_048  # queries of a block
+QUERIES = 8_192  # queries of a block
 BLOCK = 64  # documents whose largest contributions are kept for a list
 FREQUENT = 1 / 16  # share of a shard's documents above which a list counts as frequent
 PROMISING = 32  # candidates that set the threshold
