@@ -2,7 +2,6 @@ import pytest
 from compare import SMALL, difference
 
 import __spark_entry__ as contract
-
 from patronlens.plans.oracles import ORACLES
 from patronlens.plans.queries import QUERIES
 
