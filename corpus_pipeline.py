@@ -17,6 +17,10 @@ from patronlens.operators.lineage import settle
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: The near-duplicate stage links more than op10_ngram_join does, which has a contract of its own.
+NEAR = (80, 100)  # linked when 100 * intersection >= 80 * union
+NEAR_GRAM = 5
+
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; those without a letter, and the undecided, go."""
@@ -29,8 +33,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with nearly the same word 3-grams, the one with the smallest doc_id goes on."""
-    return ngram_join.representatives(docs)
+    """Of documents whose sets of word ``NEAR_GRAM``-grams are ``NEAR`` similar, the one with the smallest doc_id goes on."""
+    return ngram_join.representatives(docs, similar=NEAR, n=NEAR_GRAM)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
