@@ -13,7 +13,8 @@ share make buckets. In each bucket the class that meets most others is the centr
 centre pairs are compared first; what they link falls into components. Then a bucket only needs the
 pairs whose sides are still in different components, each in one of its buckets. A sketch of
 part hashes, which never rejects a true pair, sorts out most of these before sets are fetched. So groups of near
-copies cost a star and not all pairs, and no link between components is lost.
+copies cost a star and not all pairs, and no link between components is lost. ``links`` gives all
+links, those inside components too, by the same buckets and blocks.
 
 Defined results: words are lower-cased in A-Z; a null text and one without words has an
 empty set and is linked with nothing; fewer words than ``n`` are one gram; rows that
@@ -382,6 +383,25 @@ def components(docs: DataFrame, similar: tuple[int, int] = SIMILAR, n: int = GRA
     )
 
 
+def links(docs: DataFrame, similar: tuple[int, int] = SIMILAR, n: int = GRAM) -> tuple[DataFrame, DataFrame]:
+    """All links: pairs (a, b) of linked classes, a < b, and membership (k1, k2, doc_id, class) of every row.
+
+    Rows of one class are linked by their equal sets and make no pair; the class is null for
+    empty sets, which are linked with nothing. Unlike ``components``, all pairs of a bucket are
+    verified, those inside a component too, which is quadratic in a group of near copies.
+    """
+    scheme = Scheme(similar)
+    named = settle(classes(docs, n))
+    members = buckets(docs, scheme, n)
+    sets = sets_of(docs, named.where("class IS NOT NULL"), members, n)
+    tested = settle(star_pairs(members))
+    # Without components every class is one of its own, so no pair of a bucket is left out.
+    apart = docs.sparkSession.createDataFrame([], "node long, component long")
+    more = remaining_pairs(members, sets, apart, tested, scheme)
+    pairs = verified(tested.unionByName(more), sets, scheme)
+    return pairs, named.select("k1", "k2", "doc_id", "class")
+
+
 def representatives(docs: DataFrame, similar: tuple[int, int] = SIMILAR, n: int = GRAM) -> DataFrame:
     """One row of ``docs`` for each component, that with the smallest doc_id; empty sets all stay."""
     found = components(docs, similar, n)
