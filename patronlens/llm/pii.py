@@ -2,7 +2,7 @@
 
 The four base kinds (email, ip, card, phone) follow fixed patterns and keep every span
 that passes its check. The further kinds are account numbers (iban, confirmed by
-mod-97) and social security numbers (ssn, without a checksum, so that only context
+mod-97, which also decides where one ends) and social security numbers (ssn, without a checksum, so that only context
 words can lift them over the threshold).
 
 Defined results: null and empty texts have no spans; positions are code points, end
@@ -29,8 +29,20 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
 _SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
+_ALPHANUMERIC = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+# Length of an account number by its country; others may have any from 15 to 34.
+_IBAN_LENGTH = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+        26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+        30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
 _DIGIT = re.compile(r"[0-9]")
 _LOCAL_CHARACTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
@@ -73,6 +85,25 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(at + 1, free))
 
 
+def _accounts(text: str) -> Iterator[tuple[int, int]]:
+    """Account numbers. Of the ends of words that one may have, the country's comes first, then the others, longest first."""
+    at = 0
+    while m := _IBAN.search(text, at):
+        start, size, ends = m.start(), 0, {}
+        for i in range(start, m.end()):
+            if text[i] != " ":
+                size += 1
+                if text[i + 1 : i + 2] not in _ALPHANUMERIC:
+                    ends[size] = i + 1
+        lengths = sorted((n for n in ends if n >= 15), key=lambda n: (n != _IBAN_LENGTH.get(text[start : start + 2]), -n))
+        at = start + 1
+        for n in lengths:
+            if mod97(text[start : ends[n]].replace(" ", "")):
+                yield start, ends[n]
+                at = ends[n]
+                break
+
+
 def _candidates(text: str) -> Iterator[tuple[str, int, int]]:
     for start, end in _emails(text):
         yield "email", start, end
@@ -88,9 +119,8 @@ def _candidates(text: str) -> Iterator[tuple[str, int, int]]:
     for m in _PHONE.finditer(text):
         if 9 <= sum(c.isdigit() for c in m[0]) <= 15:
             yield "phone", m.start(), m.end()
-    for m in _IBAN.finditer(text):
-        if 15 <= len(account := m[0].replace(" ", "")) <= 34 and mod97(account):
-            yield "iban", m.start(), m.end()
+    for start, end in _accounts(text):
+        yield "iban", start, end
     for m in _SSN.finditer(text):
         yield "ssn", m.start(), m.end()
 
