@@ -13,6 +13,8 @@ may have any name that does not start with two underscores.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,15 +67,32 @@ def grouped(narrow: DataFrame) -> DataFrame:
     )
 
 
-def decide(docs: DataFrame, index: DigestIndex) -> DataFrame:
+def batched(narrow: DataFrame, batches: int) -> list[DataFrame]:
+    """``narrow`` in batches of some equal size, the largest doc_id first and those without one in the last.
+
+    So the first batch that has a text has the largest doc_id of all its rows, and the index keeps that.
+    """
+    shares = [1 - i / batches for i in range(1, batches)]
+    cuts = narrow.agg(F.percentile_approx("doc_id", shares, 1_000)).first()[0] if shares else None
+    cuts = sorted(set(cuts or []), reverse=True)
+    passed = sum(((F.col("doc_id") <= c).cast("int") for c in cuts), F.lit(0))
+    turn = F.coalesce(passed, F.lit(len(cuts)))
+    return [narrow.where(turn == i) for i in range(len(cuts) + 1)]
+
+
+def decide(docs: DataFrame, index: DigestIndex, batches: int = 1) -> DataFrame:
     """Add ``docs`` to the index and say for each row which doc_id stays for its text.
 
     (doc_id, digest, keep_id, group_size, kept): group_size counts the rows of ``docs`` with
     the text; kept is true for the staying row of a text that the index did not hold before.
+    Each of several ``batches`` is joined to what the index holds with the ones before; the result is the same.
     """
     narrow = settle(docs.select("doc_id", digest("text").alias("digest")))
-    sizes = grouped(narrow)
-    appended = index.append(sizes)
+    each = [grouped(batch) for batch in batched(narrow, batches)]
+    appended = reduce(DataFrame.unionByName, [index.append(sizes) for sizes in each])
+    sizes = reduce(DataFrame.unionByName, each)
+    if len(each) > 1:
+        sizes = settle(sizes.groupBy("digest").agg(F.sum("group_size").alias("group_size")))
     # Read by path, not as buckets: adaptive execution may then split a digest with many rows.
     stays = index.spark.read.schema("digest binary, keep_id bigint").parquet(index.path)
     groups = settle(

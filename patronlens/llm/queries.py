@@ -120,7 +120,7 @@ FROM placed
 @_query
 def op5_exact_dedup(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    decided = exact_dedup.decide(docs, exact_dedup.new_index(spark))
+    decided = exact_dedup.decide(docs, exact_dedup.new_index(spark), batches=2)
     return decided.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
