@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from patronlens.operators.lineage import new_folder
 from patronlens.llm.common import reachable
-from patronlens.llm import exact_dedup, html_text, language_id, mixing, ngram_join, packing, pii, substring_dedup, topk_search, warc
+from patronlens.llm import exact_dedup, hard_negatives, html_text, language_id, mixing, ngram_join, packing, pii, substring_dedup, topk_search, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -170,3 +170,31 @@ def op9_language_id(spark, sf_dir):
 @_query
 def op10_ngram_join(spark, sf_dir):
     return ngram_join.components(documents(spark, sf_dir)).drop("k1", "k2")
+
+
+@_query
+def op11_hard_negatives(spark, sf_dir):
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op11_hard_negatives"] = f"""
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM rows a JOIN rows b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= {hard_negatives.POSITIVES}
+)
+SELECT anchor_id, positive_id, row_number() OVER best::INTEGER AS rank, other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)
+QUALIFY row_number() OVER best <= {hard_negatives.NEGATIVES}
+"""
