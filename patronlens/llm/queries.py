@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from patronlens.operators.lineage import new_folder
 from patronlens.llm.common import reachable
-from patronlens.llm import exact_dedup, hard_negatives, html_text, language_id, mixing, ngram_join, packing, pii, substring_dedup, topk_search, warc
+from patronlens.llm import exact_dedup, fingerprints, hard_negatives, html_text, language_id, mixing, ngram_join, packing, pii, substring_dedup, topk_search, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -198,3 +198,8 @@ WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * po
 WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)
 QUALIFY row_number() OVER best <= {hard_negatives.NEGATIVES}
 """
+
+
+@_query
+def op12_fingerprints(spark, sf_dir):
+    return fingerprints.report(documents(spark, sf_dir))
