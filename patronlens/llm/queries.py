@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from patronlens.operators.lineage import new_folder
 from patronlens.llm.common import reachable
-from patronlens.llm import exact_dedup, fingerprints, hard_negatives, html_text, language_id, mixing, ngram_join, packing, pii, substring_dedup, topk_search, warc
+from patronlens.llm import divergence, exact_dedup, fingerprints, hard_negatives, html_text, language_id, mixing, ngram_join, packing, pii, substring_dedup, topk_search, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -203,3 +203,49 @@ QUALIFY row_number() OVER best <= {hard_negatives.NEGATIVES}
 @_query
 def op12_fingerprints(spark, sf_dir):
     return fingerprints.report(documents(spark, sf_dir))
+
+
+@_query
+def op13_source_divergence(spark, sf_dir):
+    return divergence.audit(documents(spark, sf_dir))
+
+
+ORACLES["op13_source_divergence"] = rf"""
+WITH docs AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, list_transform(
+    regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+'),
+    lambda t: translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS terms
+  FROM documents
+), groups AS (
+  SELECT DISTINCT lang, source FROM docs
+), kept AS (
+  SELECT lang, term FROM (SELECT lang, unnest(list_distinct(terms)) AS term FROM docs)
+  GROUP BY lang, term HAVING count(*) >= {divergence.LEAST_DOCS}
+), counts AS (
+  SELECT lang, source, term, count(*)::HUGEINT AS n
+  FROM (SELECT lang, source, unnest(terms) AS term FROM docs) JOIN kept USING (lang, term) GROUP BY lang, source, term
+), sizes AS (
+  SELECT lang, source, (SELECT count(*) FROM kept k WHERE k.lang = g.lang)::HUGEINT * 2
+    + coalesce((SELECT sum(n) FROM counts c WHERE c.lang = g.lang AND c.source = g.source), 0) AS size FROM groups g
+), shares AS (
+  SELECT s.lang, s.source, k.term, coalesce(n, 0) AS n, 1 + 1000000000 * (coalesce(n, 0) + 2) // size AS p
+  FROM sizes s JOIN kept k ON k.lang = s.lang LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term
+), whole AS (
+  SELECT lang, term, 1 + 1000000000 * (sum(n) + 2) // (sum(sum(n)) OVER (PARTITION BY lang) + 2 * count(*) OVER (PARTITION BY lang)) AS q
+  FROM counts GROUP BY lang, term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)), 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY a.lang, a.source, b.source
+), terms AS (
+  SELECT lang, source, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value
+  FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS rank FROM pairs
+UNION ALL
+SELECT lang, source, 'term', item, value, row_number() OVER best::INTEGER FROM terms
+WINDOW best AS (PARTITION BY lang, source ORDER BY value DESC, item)
+QUALIFY row_number() OVER best <= {divergence.TOP}
+"""
