@@ -10,8 +10,9 @@ expected counts, and the driver only sees one number for each language and piece
 The sample is bounded: at most ``SAMPLE`` labelled documents a language (rounded up to a
 multiple of ``STRATA``), chosen by their id hashes. Prediction reads every text whole.
 
-Words are runs of letters in lower case; runs above ``LONGEST`` letters are scored in
-parts of that length.
+Words are runs of letters in lower case, of any length. Those up to ``LONGEST`` letters are scored many at a
+time; longer ones one at a time in logarithms, with a window as wide as the longest piece, so that neither
+numbers nor memory run out. Both sum all segmentations.
 
 Defined results: a null text and one without a letter is ``und`` with score 0, as is every
 text when there is nothing to learn from; rows with a null label are predicted and not
@@ -39,7 +40,8 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLE = 1_024
 STRATA = 256  # classes by the last two hex digits of the id hash
 ROUNDS = 3
-LONGEST = 32
+LONGEST = 32  # letters of words that are scored many at a time
+CHUNK = 4_096  # positions of a long word whose pieces are looked up at once
 SMOOTHING = 0.05  # added to the expected count of every piece
 UNKNOWN = 1e-8  # probability of a character that no piece covers
 UNDETERMINED = "und"
@@ -65,9 +67,7 @@ def words_of(text: str | None) -> list[str]:
     found = _LETTERS.findall((text or "").lower())
     if not all(map(str.isalpha, found)):
         found = "".join(c if c.isalpha() else " " for c in " ".join(found)).split()
-    if max(map(len, found), default=0) <= LONGEST:
-        return found
-    return [w[i : i + LONGEST] for w in found for i in range(0, len(w), LONGEST)]
+    return found
 
 
 class Lattice:
@@ -130,8 +130,51 @@ class Lattice:
             alpha[rows, end] += alpha[rows, start] * chances[ids]
         return alpha
 
+    def steps(self, word: str, backward: bool = False) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(start, lengths, pieces) at each position of one word."""
+        codes = np.frombuffer((_BEGIN + word).encode("utf-32-le"), dtype=np.uint32)
+        n, longest = len(codes), max(1, self.longest)
+        chunks = range(0, n, CHUNK)
+        for a in reversed(chunks) if backward else chunks:
+            size = min(CHUNK, n - a)
+            piece = codes[a : a + size + longest - 1].astype(np.uint64)
+            table, hashes = np.full((longest, size), -1), np.zeros_like(piece)
+            for length in range(1, min(longest, len(piece)) + 1):
+                hashes = hashes[: len(piece) - length + 1] * _FACTOR + piece[length - 1 :]
+                ids = self._find(hashes[:size])
+                table[length - 1, : len(ids)] = np.where(ids < 0, self.n, ids) if length == 1 else ids
+            for i in reversed(range(size)) if backward else range(size):
+                lengths = np.flatnonzero(table[:, i] >= 0)
+                yield a + i, lengths + 1, table[lengths, i]
+
+    def score(self, word: str, logs: np.ndarray) -> np.ndarray:
+        """Log probability of one word of any length, from the logarithms of the chances."""
+        window = np.full((max(1, self.longest) + 1, logs.shape[1]), -np.inf)
+        window[0] = 0
+        for _, lengths, ids in self.steps(word):
+            window[lengths] = np.logaddexp(window[lengths], window[0] + logs[ids])
+            window[:-1] = window[1:]
+            window[-1] = -np.inf
+        return window[0]
+
+    def expected_long(self, word: str, times: float, logs: np.ndarray) -> np.ndarray:
+        """``expected`` for one word of any length; ``logs`` of one language."""
+        alpha = np.full(len(word) + 2, -np.inf)
+        beta, counts = alpha.copy(), np.zeros(self.n + 1)
+        alpha[0] = beta[-1] = 0
+        for start, lengths, ids in self.steps(word):
+            alpha[start + lengths] = np.logaddexp(alpha[start + lengths], alpha[start] + logs[ids])
+        for start, lengths, ids in self.steps(word, backward=True):
+            each = logs[ids] + beta[start + lengths]
+            beta[start] = np.logaddexp.reduce(each)
+            counts[ids] += times * np.exp(alpha[start] + each - alpha[-1])
+        return counts
+
     def expected(self, words: list[str], times: np.ndarray, chances: np.ndarray) -> np.ndarray:
-        """Expected uses of each piece over all segmentations of the words; ``chances`` of one language."""
+        """Expected uses of each piece over all segmentations of the words, all of one length; ``chances`` of one language."""
+        if len(words[0]) > LONGEST:
+            logs = np.log(chances[:, 0])
+            return sum(self.expected_long(w, n, logs) for w, n in zip(words, times, strict=True))
         edges = self.edges(words)
         alpha = self.forward(words, chances, edges)[:, :, 0]
         beta = np.zeros_like(alpha)
@@ -163,6 +206,10 @@ class Model:
         """Log probability of each word in each language."""
         out = np.empty((len(words), len(self.languages)))
         for rows in _by_length(words):
+            if len(words[rows[0]]) > LONGEST:
+                logs = np.log(self.chances)
+                out[rows] = [self.lattice.score(words[i], logs) for i in rows]
+                continue
             out[rows] = np.log(self.lattice.forward([words[i] for i in rows], self.chances)[:, -1])
         return out
 
@@ -208,6 +255,11 @@ class Scorer:
         return labels, scores
 
 
+def _strings(values: list[str]) -> pd.Series:
+    """Plain strings: columns of pandas' own string type reach Arrow in chunks at times, which Spark refuses."""
+    return pd.Series(values, dtype=object)
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
@@ -242,7 +294,7 @@ def train(
             for lang, text in zip(batch["lang"], batch["text"], strict=True):
                 counts[lang].update(words_of(text))
             for lang, words in counts.items():
-                yield pd.DataFrame({"lang": lang, "word": list(words), "n": list(words.values())})
+                yield pd.DataFrame({"lang": _strings([lang] * len(words)), "word": _strings(list(words)), "n": list(words.values())})
 
     words = sampled(labelled, sample).mapInPandas(count, "lang string, word string, n long")
     words = settle(words.groupBy("lang", "word").agg(F.sum("n").alias("n")))
@@ -286,7 +338,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> Column:
         scorer = Scorer(shared.value)
         for batch in texts:
             labels, scores = scorer.predict(batch.tolist())
-            yield pd.DataFrame({"lang": labels, "score": scores})
+            yield pd.DataFrame({"lang": _strings(labels), "score": scores})
 
     return score(F.col(text))
 

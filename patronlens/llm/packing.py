@@ -4,9 +4,10 @@ Lengths go into a global histogram; dynamic programming over it chooses the buck
 that minimise padding; batches of at most ``budget`` padded tokens form inside each
 bucket, in hash order.
 
-Lengths above 256 are counted under the next length with ``digits`` significant binary
-digits, which bounds the histogram (some 130 bins for each doubling) whatever the corpus,
-and is the only approximation: bucket lengths are optimal among those bins.
+Lengths up to ``EXACT`` are bins of their own. Longer ones are counted with the next length of ``digits`` significant
+binary digits, which bounds the histogram (``EXACT`` bins and some 130 for each doubling) whatever the corpus. A
+bin is as long as its longest document, so the padding of the chosen buckets is exact, and least among all buckets
+that don't cut a bin of lengths above ``EXACT``; below, among all.
 
 Defined results: null and empty texts have length 0 and are packed with the shortest; a
 document longer than the budget is a batch of its own, whole; rows that repeat a doc_id
@@ -24,12 +25,13 @@ from patronlens.operators.lineage import settle
 
 BUCKETS = 8
 BUDGET = 16_384  # padded tokens of a batch
+EXACT = 16_384
 DIGITS = 8
 
 
 def length_bin(length: Column, digits: int = DIGITS) -> Column:
-    """The smallest number with at most ``digits`` significant binary digits that is not below ``length``."""
-    bits = F.when(length > 0, F.length(F.bin(length))).otherwise(0)
+    """``length`` up to ``EXACT``, else the smallest number with at most ``digits`` significant binary digits that is not below it."""
+    bits = F.when(length > EXACT, F.length(F.bin(length))).otherwise(0)
     step = F.expr("1L") * F.pow(F.lit(2), F.greatest(bits - digits, F.lit(0))).cast("long")
     return (F.ceil(length / step) * step).cast("long")
 
@@ -50,11 +52,20 @@ def boundaries(bins: list[int], counts: list[int], totals: list[int], buckets: i
     cuts = []
     for _ in range(min(buckets, n) - 1):
         now, cut = best.copy(), np.full(n, -1)
-        for j in range(1, n):
-            cost = best[:j] + size[j] * (rows[j + 1] - rows[1 : j + 1]) - (tokens[j + 1] - tokens[1 : j + 1])
-            i = int(np.argmin(cost))
-            if cost[i] < best[j]:
-                now[j], cut[j] = cost[i], i
+        # The best cut of a longer prefix is no earlier, so each one halves what is left to try on both sides.
+        open_ = [(1, n - 1, 0, n - 2)]
+        while open_:
+            first, last, low, high = open_.pop()
+            j = (first + last) // 2
+            i = np.arange(low, min(high, j - 1) + 1)
+            cost = best[i] + size[j] * (rows[j + 1] - rows[i + 1]) - (tokens[j + 1] - tokens[i + 1])
+            least = int(np.argmin(cost))
+            if cost[least] < best[j]:
+                now[j], cut[j] = cost[least], low + least
+            if first < j:
+                open_.append((first, j - 1, low, low + least))
+            if j < last:
+                open_.append((j + 1, last, low + least, high))
         best = now
         cuts.append(cut)
     ends, j = [n - 1], n - 1
@@ -72,16 +83,16 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET, length:
     batches and slots from 0; (bucket, batch) names a batch.
     """
     length = word_count("text") if length is None else length
-    rows = settle(
-        docs.select("doc_id", length.alias("n_tokens"), id_hash("doc_id").alias("key"))
-        .withColumn("bin", length_bin(F.col("n_tokens")))
+    rows = settle(docs.select("doc_id", length.alias("n_tokens"), id_hash("doc_id").alias("key")))
+    # Bounded by the definition of a bin.
+    histogram = (
+        rows.groupBy(length_bin(F.col("n_tokens")).alias("bin"))
+        .agg(F.max("n_tokens").alias("longest"), F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("t")).orderBy("bin").collect()
     )
-    # At most some thousand bins, by the definition of a bin.
-    histogram = rows.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("t")).orderBy("bin").collect()
-    ends = boundaries([h.bin for h in histogram], [h.n for h in histogram], [h.t for h in histogram], buckets)
+    ends = boundaries([h.longest for h in histogram], [h.n for h in histogram], [h.t for h in histogram], buckets)
     bucket, bucket_len = F.lit(1), F.lit(ends[0] if ends else 0)
     for i, end in enumerate(ends[1:], 2):
-        above = F.col("bin") > ends[i - 2]
+        above = F.col("n_tokens") > ends[i - 2]
         bucket, bucket_len = F.when(above, i).otherwise(bucket), F.when(above, F.lit(end)).otherwise(bucket_len)
     rows = rows.select("*", bucket.alias("bucket"), bucket_len.cast("long").alias("bucket_len"), F.lit(1).alias("one"))
     placed = with_prefix(rows, "bucket", "key", "one", ["doc_id", "n_tokens"], "place")

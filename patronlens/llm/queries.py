@@ -54,12 +54,12 @@ ORACLES["op3_packing"] = rf"""
 WITH RECURSIVE rows AS (
   SELECT doc_id, {SQL_WORDS}::BIGINT AS n, md5(doc_id::VARCHAR) AS key FROM documents
 ), binned AS (
-  SELECT *, CASE WHEN n <= 256 THEN n
-    ELSE (ceil(n / pow(2, length(bin(n)) - {packing.DIGITS})) * pow(2, length(bin(n)) - {packing.DIGITS}))::BIGINT END AS bound
+  SELECT *, CASE WHEN n <= {packing.EXACT} THEN n
+    ELSE (ceil(n / pow(2, length(bin(n)) - {packing.DIGITS})) * pow(2, length(bin(n)) - {packing.DIGITS}))::BIGINT END AS bin
   FROM rows
 ), histogram AS (
   SELECT row_number() OVER (ORDER BY bound) AS j, bound, sum(c) OVER (ORDER BY bound)::BIGINT AS c, sum(t) OVER (ORDER BY bound)::BIGINT AS t
-  FROM (SELECT bound, count(*) AS c, sum(n) AS t FROM binned GROUP BY bound)
+  FROM (SELECT max(n) AS bound, count(*) AS c, sum(n) AS t FROM binned GROUP BY bin)
 ), best AS (
   SELECT 1 AS k, j, bound * c - t AS cost, [bound] AS ends FROM histogram
   UNION ALL
@@ -70,7 +70,7 @@ WITH RECURSIVE rows AS (
 ), chosen AS (
   SELECT ends FROM best WHERE j = (SELECT max(j) FROM histogram) ORDER BY cost, k LIMIT 1
 ), placed AS (
-  SELECT doc_id, n, key, len(list_filter(ends, lambda e: e < bound)) + 1 AS bucket, list_min(list_filter(ends, lambda e: e >= bound)) AS bucket_len
+  SELECT doc_id, n, key, len(list_filter(ends, lambda e: e < n)) + 1 AS bucket, list_min(list_filter(ends, lambda e: e >= n)) AS bucket_len
   FROM binned, chosen
 ), numbered AS (
   SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY key, doc_id, n) - 1 AS place,

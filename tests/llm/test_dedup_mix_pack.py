@@ -3,6 +3,7 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 from compare import SMALL, difference
 
@@ -99,6 +100,24 @@ def test_boundaries_are_optimal():
             assert len(ends) <= k and padding(ends, lengths) == best
 
 
+def test_padding_is_least_over_thousands_of_lengths(spark):
+    rnd = random.Random(8)
+    lengths = [min(40_000, int(rnd.lognormvariate(6, 1.2)) + 1) for _ in range(9_000)] + [20_000 + 7 * i for i in range(30)]
+    docs = spark.createDataFrame([(i, "", n) for i, n in enumerate(lengths)], "doc_id long, text string, n long")
+    out = packing.pack(docs, buckets=6, length=docs["n"])
+    found = out.groupBy("bucket").agg({"bucket_len": "max", "n_tokens": "max", "padding": "sum"}).collect()
+    assert all(r["max(bucket_len)"] == r["max(n_tokens)"] for r in found)
+    exact = sorted(set(lengths))
+    counts = [lengths.count(n) for n in exact]
+    assert len(exact) > 2_000
+    # Plain dynamic programming over all lengths.
+    rows, tokens = np.append(0, np.cumsum(counts)), np.append(0, np.cumsum(np.array(exact) * counts))
+    best = np.append(0, np.array(exact) * rows[1:] - tokens[1:]).astype(float)
+    for _ in range(5):
+        best = np.array([0.0] + [(best[:j] + exact[j - 1] * (rows[j] - rows[:j]) - (tokens[j] - tokens[:j])).min() for j in range(1, len(exact) + 1)])
+    assert sum(r["sum(padding)"] for r in found) == best[-1]
+
+
 def test_packing_of_odd_rows(spark):
     out = packing.pack(odd(spark), buckets=3, budget=8).collect()
     assert len(out) == 10 and all(r.padding == r.bucket_len - r.n_tokens >= 0 for r in out)

@@ -55,7 +55,82 @@ def test_expected_counts_weigh_all_segmentations(lattice):
 def test_words():
     assert li.words_of("The END, it's 3x²!") == ["the", "end", "it", "s", "x"]
     assert li.words_of(None) == li.words_of("12 ...") == []
-    assert li.words_of("a" * 70) == ["a" * 32, "a" * 32, "a" * 6]
+    assert li.words_of("a" * 70) == ["a" * 70]
+
+
+@pytest.mark.parametrize("chunk", [4_096, 5])
+def test_long_words_are_scored_whole(lattice, monkeypatch, chunk):
+    monkeypatch.setattr(li, "CHUNK", chunk)
+    chances = np.random.default_rng(4).random((len(PIECES) + 1, 3)) * 0.1
+    words = ["".join(random.Random(n).choices("abcd", k=n)) for n in (1, 4, 5, 6, 31, 32, 33, 42, 60)]
+    whole = np.array([np.log(lattice.forward([w], chances)[0, -1]) for w in words])
+    assert np.array([lattice.score(w, np.log(chances)) for w in words]) == pytest.approx(whole)
+    assert li.Model(["x", "y", "z"], lattice, chances).word_scores(words) == pytest.approx(whole)
+    for w in words[:6]:
+        one = chances[:, [0]]
+        assert lattice.expected_long(w, 3.0, np.log(one[:, 0])) == pytest.approx(lattice.expected([w], np.array([3.0]), one))
+    long = "abcab" * 4_000
+    assert np.isfinite(lattice.score(long, np.log(chances))).all()
+    assert lattice.expected_long(long, 1.0, np.log(chances[:, 0])).sum() > len(long) / 3
+
+
+def plain_query(rows):
+    """(held_out, lang_pred, score) by a plain model that learns from the same words, in logarithms, word by word."""
+    pieces = li.read_vocabulary()
+    number, longest = {p: i for i, p in enumerate(pieces)}, max(map(len, pieces))
+    held = {i: zlib.crc32(str(i).encode()) % 4 == 2 for i, _, _ in rows}
+    learned = [(t, l) for i, t, l in rows if not held[i] and l is not None and t is not None]
+    languages = sorted({l for t, l in learned if li.words_of(t)})
+
+    def edges(word):
+        text = "▁" + word
+        for a in range(len(text)):
+            for b in range(a + 1, min(len(text), a + longest) + 1):
+                if text[a:b] in number or b == a + 1:
+                    yield a, b, number.get(text[a:b], len(pieces))
+
+    chances = {l: [1 / len(pieces)] * len(pieces) + [li.UNKNOWN] for l in languages}
+    for _ in range(li.ROUNDS):
+        for l in languages:
+            counts = [0.0] * (len(pieces) + 1)
+            for text in (t for t, own in learned if own == l):
+                for w in li.words_of(text):
+                    own, size = list(edges(w)), len(w) + 2
+                    alpha, beta = [1.0] + [0.0] * (size - 1), [0.0] * (size - 1) + [1.0]
+                    for a, b, p in own:
+                        alpha[b] += alpha[a] * chances[l][p]
+                    for a, b, p in reversed(own):
+                        beta[a] += beta[b] * chances[l][p]
+                    for a, b, p in own:
+                        counts[p] += alpha[a] * chances[l][p] * beta[b] / alpha[-1]
+            counts = [c + li.SMOOTHING for c in counts[:-1]]
+            chances[l] = [c / sum(counts) for c in counts] + [li.UNKNOWN]
+    out = {}
+    for i, text, _ in rows:
+        words, total = li.words_of(text), {}
+        for l in languages:
+            total[l] = 0.0
+            for w in words:
+                alpha = [1.0] + [0.0] * (len(w) + 1)
+                for a, b, p in edges(w):
+                    alpha[b] += alpha[a] * chances[l][p]
+                total[l] += math.log(alpha[-1])
+        best = max(total.values(), default=0)
+        sure = 1 / sum(math.exp(t - best) for t in total.values()) if words and languages else 0.0
+        out[i] = held[i], min(l for l in languages if total[l] == best) if words and languages else "und", sure
+    return out
+
+
+def test_query_equals_a_plain_model(spark):
+    rnd = random.Random(9)
+    words = {"en": "the house and garden are green near old rivers", "de": "das haus und der garten sind grün am fluß", "fr": "la maison et le jardin sont très verts"}
+    rows = [(i, " ".join(rnd.choices(words[l].split(), k=rnd.randint(1, 12))), l) for i in range(60) for l in [rnd.choice("en de fr".split())]]
+    rows += [(100, "donaudampfschifffahrtsgesellschaftskapitaensmuetze haus", "de"), (101, None, "de"), (102, "", None), (103, "42", "en"), (104, "漢字 garten", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r.doc_id: (r.held_out, r.lang_pred, r.score) for r in li.identify(docs).collect()}
+    expected = plain_query(rows)
+    assert {i: f[:2] for i, f in found.items()} == {i: e[:2] for i, e in expected.items()}
+    assert {i: f[2] for i, f in found.items()} == pytest.approx({i: e[2] for i, e in expected.items()})
 
 
 def test_held_out_accuracy(spark):
