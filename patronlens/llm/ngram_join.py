@@ -42,6 +42,10 @@ GRAM = 3
 SIMILAR = (90, 100)  # linked when 100 * intersection >= 90 * union
 ALLOWED = 1  # parts of a first-level range that may differ (k2)
 PARTS = 2  # parts of a first-level range (n2)
+SPLIT = 63  # parts of a signature that very many sets have
+TAGS = SPLIT + 1
+SAMPLE = 2_048  # documents, about, that tell which signatures these are
+HOT = 0.02  # share of them
 BLOCK = 4_096  # members of a bucket compared in one task against as many others
 
 
@@ -171,41 +175,91 @@ def classes(docs: DataFrame, n: int = GRAM) -> DataFrame:
     return keyed.mapInArrow(name, "k1 long, k2 long, doc_id long, n_shingles long, class long")
 
 
-def buckets(docs: DataFrame, scheme: Scheme, n: int = GRAM) -> DataFrame:
-    """(signature, instance, class): memberships in signatures that several classes share."""
+def signed(docs: DataFrame, scheme: Scheme, n: int, hot: np.ndarray) -> DataFrame:
+    """(signature, tag, class): all signatures of all sets, each class once a task.
+
+    ``tag`` is the instance and, for signatures in ``hot``, the part that the class belongs to.
+    """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        found: dict[int, list[tuple[int, np.ndarray]]] = {}
+        waiting = 0
         for batch in batches:
-            found: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-            waiting = 0
             for _, hashes in gram_sets(batch.column("text"), n):
-                if not len(hashes) or (own := class_of(hashes)) in found:
+                if not len(hashes) or (own := class_of(hashes)) in seen:
                     continue
-                each = [(i, scheme.signatures(scheme.content(hashes, i), i).ravel()) for i in scheme.instances(len(hashes))]
-                found[own] = (
-                    np.concatenate([s for _, s in each]),
-                    np.concatenate([np.full(len(s), i, dtype=np.int32) for i, s in each]),
-                )
-                waiting += len(found[own][0])
+                seen.add(own)
+                found[own] = [(i, scheme.signatures(scheme.content(hashes, i), i).ravel()) for i in scheme.instances(len(hashes))]
+                waiting += sum(len(s) for _, s in found[own])
                 if waiting > 200_000:
-                    yield _signature_rows(found)
+                    yield _signature_rows(found, hot)
                     found, waiting = {}, 0
-            if found:
-                yield _signature_rows(found)
+        if found:
+            yield _signature_rows(found, hot)
+
+    return docs.select("text").mapInArrow(sign, "signature long, tag int, class long")
+
+
+def _signature_rows(found: dict[int, list[tuple[int, np.ndarray]]], hot: np.ndarray) -> pa.RecordBatch:
+    signature = np.concatenate([s for each in found.values() for _, s in each])
+    instance = np.concatenate([np.full(len(s), i, dtype=np.int32) for each in found.values() for i, s in each])
+    name = np.repeat(np.fromiter(found, dtype=np.int64, count=len(found)), [sum(len(s) for _, s in each) for each in found.values()])
+    part = np.where(np.isin(signature, hot), 1 + name % SPLIT, 0)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(signature), pa.array((instance * TAGS + part).astype(np.int32)), pa.array(name)], ["signature", "tag", "class"]
+    )
+
+
+def hot_signatures(docs: DataFrame, scheme: Scheme, n: int = GRAM) -> np.ndarray:
+    """Signatures that several classes and ``HOT`` of some ``SAMPLE`` documents have.
 
-    all_ = settle(docs.select("text").mapInArrow(sign, "signature long, instance int, class long"))
-    # min and max tell whether a signature has several classes, with one row from each task.
-    shared = (
-        all_.groupBy("signature").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
+    They only decide which signatures are split over tasks, not what is found. A document
+    has as many signatures on average as its sets differ, so they are few: at most that number over ``HOT``.
+    """
+    every = max(1, docs.count() // SAMPLE)
+    sample = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(every)) == 0)
+    counted = (
+        signed(sample, scheme, n, np.empty(0, dtype=np.int64)).groupBy("signature")
+        .agg(F.count_distinct("class").alias("classes")).where(F.col("classes") >= max(2, HOT * SAMPLE))
+    )
+    return np.array([r.signature for r in counted.select("signature").collect()], dtype=np.int64)
+
+
+def buckets(docs: DataFrame, scheme: Scheme, n: int = GRAM) -> DataFrame:
+    """(signature, instance, class): memberships in signatures that several classes share.
+
+    All signatures are shuffled and sorted once; lonely ones go while they stream by, with one
+    row held. Signatures known to be shared by very many are split by class, as none of their rows is lonely.
+    """
+    hot = hot_signatures(docs, scheme, n)
+
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.empty(0, dtype=kind) for kind in (np.int64, np.int32, np.int64, bool)]
+        for batch in batches:
+            signature, tag, name = (batch.column(c).to_numpy() for c in ("signature", "tag", "class"))
+            rows = [np.concatenate(pair) for pair in zip(held, (signature, tag, name, tag % TAGS > 0))]
+            if not len(rows[0]):
+                continue
+            same = rows[0][1:] == rows[0][:-1]
+            new = np.append(True, ~same | (rows[2][1:] != rows[2][:-1]))
+            signature, tag, name, sure = (c[new] for c in rows)
+            same = signature[1:] == signature[:-1]
+            sure[1:] |= same
+            sure[:-1] |= same
+            held = [c[-1:] for c in (signature, tag, name, sure)]
+            yield _members(signature[:-1], tag[:-1], name[:-1], sure[:-1])
+        yield _members(*held)
+
+    rows = signed(docs, scheme, n, hot).repartition(F.col("signature"), F.col("tag") % TAGS)
+    return settle(
+        rows.sortWithinPartitions("signature", "class").mapInArrow(shared, "signature long, instance int, class long")
     )
-    return settle(all_.join(settle(shared.select("signature")), "signature", "left_semi").distinct())
 
 
-def _signature_rows(found: dict) -> pa.RecordBatch:
-    names = np.repeat(np.fromiter(found, dtype=np.int64, count=len(found)), [len(s) for s, _ in found.values()])
+def _members(signature: np.ndarray, tag: np.ndarray, name: np.ndarray, sure: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate([s for s, _ in found.values()])), pa.array(np.concatenate([i for _, i in found.values()])), pa.array(names)],
-        ["signature", "instance", "class"],
+        [pa.array(signature[sure]), pa.array(tag[sure] // TAGS), pa.array(name[sure])], ["signature", "instance", "class"]
     )
 
 
