@@ -29,6 +29,7 @@ from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,8 +38,9 @@ from patronlens.operators.lineage import settle
 LEAST_DOCS = 10
 TOP = 10
 SHARES = 1_000_000_000  # shares are counted in billionths
-BLOCK_POSTINGS = 400_000  # of a block in memory
+BLOCK_POSTINGS = 600_000  # of a block in memory
 BLOCK_BYTES = 32_000_000  # of its terms
+DOCUMENT = 2**40  # one document, in numbers that hold occurrences and documents
 PIECE = 4_000_000  # bytes of a text that are cut into terms at once
 CHUNK = 20_000  # postings of a row of the frequencies
 
@@ -59,23 +61,25 @@ def terms_of(text: bytes) -> Iterator[list[bytes]]:
 
 
 class Block:
-    """Postings in memory: occurrences by language, source and term, and documents by language and term."""
+    """Postings in memory: for each language and source the terms with their occurrences and documents.
+
+    Both counts are one number, documents above the bits of the occurrences.
+    """
 
     def __init__(self):
-        self.occurrences: dict[tuple[str, str], Counter] = defaultdict(Counter)
-        self.documents: dict[str, Counter] = defaultdict(Counter)
+        self.counts: dict[tuple[str, str], dict[bytes, int]] = defaultdict(dict)
         self.size = self.bytes = 0
 
     def add(self, lang: str, source: str, text: bytes) -> None:
-        occurrences, documents, seen = self.occurrences[lang, source], self.documents[lang], set()
-        before, known = len(occurrences), len(documents)
+        counts, own = self.counts[lang, source], Counter()
         for terms in terms_of(text):
-            occurrences.update(terms)
-            seen.update(terms)
-        documents.update(seen)
-        self.size += len(occurrences) - before
-        if len(documents) > known:
-            self.bytes += sum(map(len, seen))  # at least what the new ones take
+            own.update(terms)
+        before, get = len(counts), counts.get
+        for term, n in own.items():
+            counts[term] = get(term, 0) + n + DOCUMENT
+        if len(counts) > before:
+            self.size += len(counts) - before
+            self.bytes += sum(map(len, own))  # at least what the new ones take
 
     def full(self) -> bool:
         return self.size > BLOCK_POSTINGS or self.bytes > BLOCK_BYTES
@@ -83,25 +87,32 @@ class Block:
     def runs(self, shards: int) -> Iterator[pa.RecordBatch]:
         """The block sorted by term, as one row for each language and shard."""
         by_lang = defaultdict(list)
-        for (lang, source), counts in self.occurrences.items():
-            by_lang[lang].append((source, counts))
+        for (lang, source), counts in self.counts.items():
+            if counts:
+                by_lang[lang].append((source, counts))
         for lang, sources in by_lang.items():
-            postings = defaultdict(list)
-            for source, counts in sorted(sources):
-                for term, n in counts.items():
-                    postings[term].append((source, n))
-            slices = defaultdict(lambda: ([], [], [], [], []))
-            documents = self.documents[lang]
-            for term in sorted(postings):
-                terms, docs, widths, names, times = slices[shard_of(lang, term, shards)]
-                terms.append(term)
-                docs.append(documents[term])
-                widths.append(len(postings[term]))
-                for source, n in postings[term]:
-                    names.append(source)
-                    times.append(n)
-            for shard, columns in slices.items():
-                yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip((shard, lang, *columns), _RUN.types)], schema=_RUN)
+            encoded = pa.array([t for _, counts in sources for t in counts], pa.binary()).dictionary_encode()
+            both = np.fromiter((n for _, counts in sources for n in counts.values()), np.int64, len(encoded))
+            source = np.repeat(np.arange(len(sources)), [len(counts) for _, counts in sources])
+            known, code, start = encoded.dictionary, encoded.indices.to_numpy(), zlib.crc32(lang.encode())
+            shard = np.array([zlib.crc32(t, start) % shards for t in _listed(known)], dtype=np.int64)  # the same in every process
+            rank = np.empty(len(known), dtype=np.int64)
+            rank[pa.compute.sort_indices(known).to_numpy()] = np.arange(len(known))
+            order = np.lexsort((rank, shard))
+            place = np.empty(len(known), dtype=np.int64)
+            place[order] = np.arange(len(known))
+            docs = np.zeros(len(known), dtype=np.int64)
+            np.add.at(docs, place[code], both // DOCUMENT)
+            widths = np.bincount(place[code], minlength=len(known))
+            postings = np.argsort(place[code], kind="stable")
+            names = pa.array([s for s, _ in sources], pa.string()).take(pa.array(source[postings]))
+            times, terms, ends = pa.array(both[postings] % DOCUMENT), known.take(pa.array(order)), np.append(0, np.cumsum(widths))
+            cuts = [0, *(np.flatnonzero(np.diff(shard[order])) + 1).tolist(), len(known)]
+            for a, b in zip(cuts, cuts[1:]):
+                c, d = int(ends[a]), int(ends[b])
+                lists = (terms.slice(a, b - a), pa.array(docs[a:b]), pa.array(widths[a:b], pa.int32()), names.slice(c, d - c), times.slice(c, d - c))
+                row = [pa.array([shard[order[a]]], pa.int32()), pa.array([lang]), *(pa.ListArray.from_arrays([0, len(x)], x) for x in lists)]
+                yield pa.RecordBatch.from_arrays(row, schema=_RUN)
 
 
 _RUN = pa.schema([
@@ -116,11 +127,6 @@ _CHUNK = pa.schema([
 _CHUNK_TYPES = "lang string, n_terms long, terms array<string>, sums array<long>, sources array<string>, times array<long>"
 
 
-def shard_of(lang: str, term: bytes, shards: int) -> int:
-    """The same in every process."""
-    return zlib.crc32(term, zlib.crc32(lang.encode())) % shards
-
-
 def runs(docs: DataFrame, shards: int) -> DataFrame:
     """Term-sorted runs of ``docs`` (lang, source, text as bytes), cut into shards."""
 
@@ -137,20 +143,24 @@ def runs(docs: DataFrame, shards: int) -> DataFrame:
     return docs.mapInArrow(index, _RUN_TYPES)
 
 
-def _postings(run: pa.RecordBatch, order: int, step: int = 1_000) -> Iterator[tuple[bytes, int, int, list[str], list[int]]]:
-    """(term, number of the run, documents, sources, occurrences) of a run, of which only ``step`` terms are unpacked."""
+def _postings(run: pa.RecordBatch, order: int, step: int = 1_000) -> Iterator[tuple[bytes, int, int, range, list[str], list[int]]]:
+    """(term, number of the run, documents, range in the lists that follow) of a run, of which only ``step`` terms are unpacked."""
     terms, docs, widths, sources, times = (run.column(c)[0].values for c in ("terms", "docs", "widths", "sources", "times"))
     at = 0
     for i in range(0, len(terms), step):
-        cut = [c.slice(i, step).to_pylist() for c in (terms, docs, widths)]
+        cut = [_listed(c.slice(i, step)) for c in (terms, docs, widths)]
         size, place = sum(cut[2]), 0
-        names, counts = (c.slice(at, size).to_pylist() for c in (sources, times))
+        names, counts = (_listed(c.slice(at, size)) for c in (sources, times))
         at += size
         for term, n, width in zip(*cut):
-            yield term, order, n, names[place : place + width], counts[place : place + width]
+            yield term, order, n, range(place, place + width), names, counts
             place += width
 
 
+def _listed(column: pa.Array) -> list:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return (batch.slice(i, 1) for batch in batches for i in range(batch.num_rows))
 
@@ -168,13 +178,13 @@ def frequencies(found: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
             merged = heapq.merge(*(_postings(run, order) for order, run in enumerate(same)))
             n_terms, terms, sums, names, times = 0, [], [], [], []
             for term, entries in groupby(merged, key=itemgetter(0)):
-                docs, counts = 0, Counter()
-                for _, _, n, sources, own in entries:
-                    docs += n
-                    for source, k in zip(sources, own):
-                        counts[source] += k
-                if docs < least:
+                entries = list(entries)
+                if sum(n for _, _, n, *_ in entries) < least:
                     continue
+                counts = Counter()
+                for _, _, _, places, sources, own in entries:
+                    for i in places:
+                        counts[sources[i]] += own[i]
                 n_terms += 1
                 terms += [term.decode()] * len(counts)
                 sums += [counts.total()] * len(counts)
@@ -228,38 +238,49 @@ def _of_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for n, times in zip(row["ns"] or [], row["counts"] or []):
                     own += n * (divergence(share(np.array([times + 2]), np.array([mine])), absent) - base)
                 values = own + terms * base
-            others = [i for i, s in enumerate(row["all_sources"]) if s != row["source"]]
-            names, k = [row["all_sources"][i] for i in others], len(others)
-            for first, second, value in (([row["source"]] * k, names, values[others]), (names, [row["source"]] * k, own[others])):
-                yield _pairs([row["lang"]] * k, first, second, value)
+            place = row["all_sources"].index(row["source"])
+            value = own + np.where(np.arange(len(own)) > place, values - own, 0)  # the constant once for a pair
+            for part in (slice(0, place), slice(place + 1, None)):
+                names = row["all_sources"][part]
+                mine = [row["source"]] * len(names)
+                yield _pairs([row["lang"]] * len(names), *((names, mine) if part.stop == place else (mine, names)), value[part])
 
 
 def _of_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Corrections of pairs of sources that share a term."""
+    """Corrections of pairs of sources that share a term, summed over what a task reads."""
+    found: dict[str, tuple[list[str], list, list]] = {}
     for one in _each(batches):
-        for row in one.to_pylist():
-            number = {s: i for i, s in enumerate(row["all_sources"])}
-            source = np.array([number[s] for s in row["sources"]], dtype=np.int64)
-            totals = np.array(row["totals"], dtype=np.int64) + 2 * row["v"]
-            words = row["terms"]
-            term = np.cumsum([0, *(a != b for a, b in zip(words, words[1:]))])
-            zero = share(np.full(len(totals), 2), totals)
-            p, absent = share(np.array(row["times"], dtype=np.int64) + 2, totals[source]), zero[source]
-            keys, values, left, step = [], [], np.arange(len(term)), 0
-            while len(left):
-                step += 1
-                left = left[left + step < len(term)]
-                left = left[term[left] == term[left + step]]
-                a, b = left, left + step
-                value = divergence(p[a], p[b]) - divergence(p[a], absent[b]) - divergence(absent[a], p[b]) + divergence(absent[a], absent[b])
-                keys.append(np.minimum(source[a], source[b]) * len(totals) + np.maximum(source[a], source[b]))
-                values.append(value)
-                if sum(map(len, keys)) > 1_000_000 or not len(left):
-                    keys, values = _summed(keys, values)
-            for key, value in zip(keys, values):
-                a, b = (np.array(row["all_sources"], dtype=object)[x].tolist() for x in np.divmod(key, len(totals)))
-                yield _pairs([row["lang"]] * len(a), a, b, value)
-                yield _pairs([row["lang"]] * len(a), b, a, value)
+        row = one.to_pylist()[0]
+        number = {s: i for i, s in enumerate(row["all_sources"])}
+        source = np.array([number[s] for s in row["sources"]], dtype=np.int64)
+        totals = np.array(row["totals"], dtype=np.int64) + 2 * row["v"]
+        words = row["terms"]
+        term = np.cumsum([0, *(a != b for a, b in zip(words, words[1:]))])
+        zero = share(np.full(len(totals), 2), totals)
+        p, absent = share(np.array(row["times"], dtype=np.int64) + 2, totals[source]), zero[source]
+        _, keys, values = found.setdefault(row["lang"], (row["all_sources"], [], []))
+        left, step = np.arange(len(term)), 0
+        while len(left):
+            step += 1
+            left = left[left + step < len(term)]
+            left = left[term[left] == term[left + step]]
+            a, b = left, left + step
+            value = divergence(p[a], p[b]) - divergence(p[a], absent[b]) - divergence(absent[a], p[b]) + divergence(absent[a], absent[b])
+            keys.append(np.minimum(source[a], source[b]) * len(totals) + np.maximum(source[a], source[b]))
+            values.append(value)
+            if sum(map(len, keys)) > 1_000_000 or not len(left):
+                keys[:], values[:] = _summed(keys, values)
+        if sum(len(k) for _, keys, _ in found.values() for k in keys) > 2_000_000:
+            yield from _of_found(found)
+            found = {}
+    yield from _of_found(found)
+
+
+def _of_found(found: dict[str, tuple[list[str], list, list]]) -> Iterator[pa.RecordBatch]:
+    for lang, (names, keys, values) in found.items():
+        for key, value in zip(*_summed(keys, values)):
+            first, second = (np.array(names, dtype=object)[x].tolist() for x in np.divmod(key, len(names)))
+            yield _pairs([lang] * len(first), first, second, value)
 
 
 def _summed(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -327,6 +348,9 @@ def audit(docs: DataFrame, least: int = LEAST_DOCS, top: int = TOP) -> DataFrame
         alone.mapInArrow(_of_counts, _PAIR_TYPES).unionByName(shared.mapInArrow(_of_shared, _PAIR_TYPES))
         .groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
     )
+    # Each pair was looked at once; both of its sources report it.
+    sides = F.array(F.struct("source", "item"), F.struct(F.col("item").alias("source"), F.col("source").alias("item")))
+    pairs = pairs.select("lang", F.explode(sides).alias("side"), "value").select("lang", "side.source", "side.item", "value")
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), F.asc("item"))
     ranked = lambda rows, part: rows.select("lang", "source", F.lit(part).alias("part"), "item", "value", F.row_number().over(order).alias("rank"))
     return ranked(pairs, "pair").unionByName(ranked(terms, "term").where(F.col("rank") <= top))
