@@ -11,8 +11,8 @@ set on such a choice of parts; sets that are similar enough share one.
 Sets that are equal form a class, which is joined once. Signatures that several classes
 share make buckets. In each bucket the class that meets most others is the centre, and only
 centre pairs are compared first; what they link falls into components. Then a bucket only needs the
-pairs whose sides are still in different components, each in one of its buckets. A sketch of
-part hashes, which never rejects a true pair, sorts out most of these before sets are fetched. So groups of near
+pairs whose sides are still in different components. The outline of a set, how many of its hashes lie
+in each of some ranges, never rejects a true pair and sorts out most others before sets are fetched. So groups of near
 copies cost a star and not all pairs, and no link between components is lost. ``links`` gives all
 links, those inside components too, by the same buckets and blocks.
 
@@ -97,17 +97,12 @@ class Scheme:
         label = np.arange(sums.size, dtype=np.uint64).reshape(sums.shape) + np.uint64(instance << 32)
         return mix(sums + mix(label)).view(np.int64)
 
-    def first_shared(self, contents: np.ndarray, own: np.ndarray, instance: int) -> tuple[np.ndarray, np.ndarray]:
-        """Range and choice of the first signature that each of ``contents`` shares with ``own``; they share one."""
-        _, n2, k2 = self.shape(instance)
-        equal = contents == own
-        first = (equal.sum(axis=2) >= n2 - k2).argmax(axis=1)
-        there = equal[np.arange(len(equal)), first]
-        return first, (there[:, None, :] | (_choices(n2, n2 - k2)[None] == 0)).all(axis=2).argmax(axis=1)
+    def similar_sizes(self, a: np.ndarray | int, b: np.ndarray) -> np.ndarray:
+        return self.den * np.minimum(a, b) >= self.num * np.maximum(a, b)
 
-    def sketch(self, hashes: np.ndarray, instance: int) -> np.ndarray:
-        """One byte for each of some 8k parts: the sets differ at least as often as their bytes."""
-        return (mix(part_sums(hashes, 8 * self.bound(instance) + 8)) >> np.uint64(56)).astype(np.uint8)
+    def difference(self, a: np.ndarray | int, b: np.ndarray) -> np.ndarray:
+        """Largest symmetric difference of linked sets of these sizes."""
+        return (self.den - self.num) * (a + b) // (self.den + self.num)
 
     def linked(self, a: np.ndarray, b: np.ndarray) -> bool:
         both = len(np.intersect1d(a, b, assume_unique=True))
@@ -132,6 +127,24 @@ def part_sums(hashes: np.ndarray, parts: int) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
+def outline(hashes: np.ndarray) -> np.ndarray:
+    """How many hashes of a set lie in each of some size / 8 equal ranges, one byte for each.
+
+    Two sets differ at least as often as their outlines do, so these never reject a true pair.
+    """
+    parts = max(0, (len(hashes) - 1).bit_length() - 3)
+    counts = np.bincount((hashes >> np.uint64(64 - parts)).astype(np.int64), minlength=1 << parts) if parts else np.array([len(hashes)])
+    return np.minimum(counts, 255).astype(np.uint8)
+
+
+def folded(outlines: list[bytes], width: int) -> np.ndarray:
+    """Outlines brought to ``width`` ranges, which each of them has at least."""
+    out = np.empty((len(outlines), width), dtype=np.int32)
+    for i, o in enumerate(outlines):
+        out[i] = np.frombuffer(o, np.uint8).reshape(width, -1).sum(axis=1)
+    return out
+
+
 def gram_sets(texts: pa.Array, n: int = GRAM) -> Iterator[tuple[int, np.ndarray]]:
     """(row, sorted distinct hashes of its word n-grams)."""
     for a, b in slices(texts):
@@ -158,21 +171,22 @@ def class_of(hashes: np.ndarray) -> int:
 
 
 def classes(docs: DataFrame, n: int = GRAM) -> DataFrame:
-    """(k1, k2, doc_id, n_shingles, class) for every row; the class is null for empty sets."""
+    """(k1, k2, doc_id, n_shingles, class, outline) for every row; class and outline are null for empty sets."""
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, names = [], []
+            sizes, names, outlines = [], [], []
             for _, hashes in gram_sets(batch.column("text"), n):
                 sizes.append(len(hashes))
                 names.append(class_of(hashes) if len(hashes) else None)
+                outlines.append(outline(hashes).tobytes() if len(hashes) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("k1"), batch.column("k2"), batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(names, pa.int64())],
-                ["k1", "k2", "doc_id", "n_shingles", "class"],
+                [*(batch.column(c) for c in ("k1", "k2", "doc_id")), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.array(outlines, pa.binary())],
+                ["k1", "k2", "doc_id", "n_shingles", "class", "outline"],
             )
 
     keyed = docs.select(*row_key("doc_id", "text"), "doc_id", "text")
-    return keyed.mapInArrow(name, "k1 long, k2 long, doc_id long, n_shingles long, class long")
+    return keyed.mapInArrow(name, "k1 long, k2 long, doc_id long, n_shingles long, class long, outline binary")
 
 
 def signed(docs: DataFrame, scheme: Scheme, n: int, hot: np.ndarray) -> DataFrame:
@@ -263,10 +277,35 @@ def _members(signature: np.ndarray, tag: np.ndarray, name: np.ndarray, sure: np.
     )
 
 
-def sets_of(docs: DataFrame, named: DataFrame, members: DataFrame, n: int = GRAM) -> DataFrame:
-    """(class, hashes): the sets of the classes in ``members``, each from one of its rows."""
-    wanted = members.select("class").distinct()
-    one = named.groupBy("class").agg(F.min(F.struct("k1", "k2")).alias("k")).join(wanted, "class", "left_semi")
+def shapes(named: DataFrame) -> DataFrame:
+    """(class, size, outline) of every class."""
+    rows = named.where("class IS NOT NULL").select("class", F.col("n_shingles").alias("size"), "outline")
+    return settle(rows.dropDuplicates(["class"]))
+
+
+def plausible(pairs: DataFrame, shape: DataFrame, scheme: Scheme) -> DataFrame:
+    """The pairs (a, b) whose sizes and outlines allow a link."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (batch.column(c).to_numpy() for c in ("size_a", "size_b"))
+            good = scheme.similar_sizes(a, b)
+            most = scheme.difference(a, b)
+            left, right = batch.column("outline_a"), batch.column("outline_b")
+            for i in np.flatnonzero(good).tolist():
+                both = [left[i].as_py(), right[i].as_py()]
+                x, y = folded(both, min(map(len, both)))
+                good[i] = abs(x - y).sum() <= most[i]
+            yield batch.select(["a", "b"]).filter(pa.array(good))
+
+    side = lambda c: shape.select(F.col("class").alias(c), F.col("size").alias(f"size_{c}"), F.col("outline").alias(f"outline_{c}"))
+    return settle(pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").mapInArrow(check, "a long, b long"))
+
+
+def sets_of(docs: DataFrame, named: DataFrame, pairs: DataFrame, n: int = GRAM) -> DataFrame:
+    """(class, hashes): the sets of the classes in ``pairs``, each from one of its rows."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    one = named.where("class IS NOT NULL").groupBy("class").agg(F.min(F.struct("k1", "k2")).alias("k")).join(wanted, "class", "left_semi")
     chosen = settle(one.select("class", F.col("k.k1").alias("k1"), F.col("k.k2").alias("k2")))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,13 +317,13 @@ def sets_of(docs: DataFrame, named: DataFrame, members: DataFrame, n: int = GRAM
                     yield pa.RecordBatch.from_arrays([names.slice(start, len(packed)), pa.array(packed, pa.binary())], ["class", "hashes"])
                     start, packed = i + 1, []
 
-    # The keys grow with the corpus, so they are joined by sort-merge and never broadcast.
-    texts = docs.select(*row_key("doc_id", "text"), "text").join(chosen.hint("merge"), ["k1", "k2"]).select("class", "text")
+    # The keys are a written table: Spark knows its size and moves the texts only if it is too large to send along.
+    texts = docs.select(*row_key("doc_id", "text"), "text").join(chosen, ["k1", "k2"]).select("class", "text")
     # Rows that repeat share their key; one of them is enough.
     return settle(texts.mapInArrow(pack, "class long, hashes binary").dropDuplicates(["class"]))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, named: DataFrame, scheme: Scheme, n: int) -> DataFrame:
     """The pairs (a, b) of classes whose sets are similar enough."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,6 +335,7 @@ def verified(pairs: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
             ]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
+    sets = sets_of(docs, named, pairs, n)
     # Pairs grow with the corpus: joined by sort-merge at every size, never broadcast.
     both = (
         pairs.hint("merge").join(sets.select(F.col("class").alias("a"), F.col("hashes").alias("left")), "a")
@@ -317,13 +357,12 @@ def star_pairs(members: DataFrame) -> DataFrame:
 
 
 def remaining_pairs(
-    members: DataFrame, sets: DataFrame, parts: DataFrame, tested: DataFrame, scheme: Scheme
+    members: DataFrame, shape: DataFrame, parts: DataFrame, tested: DataFrame, scheme: Scheme
 ) -> DataFrame:
-    """(a, b): pairs that share a bucket, lie in different components, and pass the sketches.
+    """(a, b): pairs that share a bucket, lie in different components, and whose outlines allow a link.
 
     In each bucket the largest component is at home; the other members visit it and one
-    another. Both are dealt into blocks, so that no task holds more than two blocks. A pair
-    is only given by the bucket of its first shared signature.
+    another. Both are dealt into blocks, so that no task holds more than two blocks.
     """
     labelled = members.join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "component", F.coalesce("component", "class")
@@ -350,10 +389,8 @@ def remaining_pairs(
     visiting = member.where("visitor").withColumn("other", F.pmod("place", F.col("columns")).cast("int")).withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.col("rows") - 1))
     ).withColumn("visits", F.lit(True))
-    fields = ["signature", "block", "other", "instance", "class", "component", "visits"]
-    dealt = at_home.select(fields).unionByName(visiting.select(fields))
-    wanted = member.select("class", "instance").distinct()
-    dealt = dealt.join(_features(sets.join(wanted.hint("merge"), "class"), scheme), ["class", "instance"])
+    fields = ["signature", "block", "other", "class", "component", "visits"]
+    dealt = at_home.select(fields).unionByName(visiting.select(fields)).join(shape, "class")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches, ["signature", "block", "other"]):
@@ -366,48 +403,20 @@ def remaining_pairs(
     return found.join(tested, ["a", "b"], "left_anti")
 
 
-def _features(sets: DataFrame, scheme: Scheme) -> DataFrame:
-    """(class, instance, hashes) to (class, instance, size, content, sketch)."""
-
-    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, contents, sketches = [], [], []
-            for packed, instance in zip(batch.column("hashes"), batch.column("instance").to_pylist(), strict=True):
-                hashes = np.frombuffer(packed.as_buffer(), np.uint64)
-                scheme.instances(len(hashes))  # so that the bands reach this size
-                sizes.append(len(hashes))
-                contents.append(scheme.content(hashes, instance).tobytes())
-                sketches.append(scheme.sketch(hashes, instance).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("class"), batch.column("instance"), pa.array(sizes, pa.int64()), pa.array(contents, pa.binary()), pa.array(sketches, pa.binary())],
-                ["class", "instance", "size", "content", "sketch"],
-            )
-
-    rows = sets.select("class", "instance", "hashes")
-    return settle(rows.mapInArrow(compute, "class long, instance int, size long, content binary, sketch binary"))
-
-
 def _candidates(group: pa.Table, scheme: Scheme) -> pa.RecordBatch:
-    """Pairs of a visitor and one at home whose components differ and whose sketches allow a link."""
+    """Pairs of a visitor and one at home whose components differ and whose outlines allow a link."""
     visits = group.column("visits").to_numpy()
     size, component, name = (group.column(c).to_numpy() for c in ("size", "component", "class"))
     home, out = np.flatnonzero(~visits), []
     if len(home) and visits.any():
-        instance, bucket = group.column("instance")[0].as_py(), group.column("signature")[0].as_py()
-        scheme.instances(int(size.max()))
-        n1, n2, _ = scheme.shape(instance)
-        table = lambda c, kind: np.frombuffer(b"".join(group.column(c).to_pylist()), kind).reshape(len(size), -1)
-        sketch, content = table("sketch", np.uint8), table("content", np.uint64).reshape(len(size), n1, n2)
-        at_home, home_size, home_component = sketch[home], size[home], component[home]
+        outlines = group.column("outline").to_pylist()
+        table = folded(outlines, min(map(len, outlines)))
+        at_home, home_size, home_component = table[home], size[home], component[home]
         for v in np.flatnonzero(visits).tolist():
-            bound = (scheme.den - scheme.num) * (home_size + size[v]) // (scheme.den + scheme.num)
-            far = (at_home != sketch[v]).sum(axis=1)
-            fits = np.flatnonzero((home_component != component[v]) & (abs(home_size - size[v]) <= bound) & (far <= bound))
-            if len(fits):
-                signatures = scheme.signatures(content[v], instance)
-                fits = fits[signatures[scheme.first_shared(content[home[fits]], content[v], instance)] == bucket]
-            if len(fits):
-                other = name[home[fits]]
+            fits = np.flatnonzero((home_component != component[v]) & scheme.similar_sizes(size[v], home_size))
+            far = abs(at_home[fits] - table[v]).sum(axis=1)
+            other = name[home[fits[far <= scheme.difference(size[v], home_size[fits])]]]
+            if len(other):
                 out.append((np.minimum(other, name[v]), np.maximum(other, name[v])))
     a, b = (np.concatenate([o[i] for o in out] or [np.empty(0, np.int64)]) for i in (0, 1))
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
@@ -418,13 +427,13 @@ def components(docs: DataFrame, similar: tuple[int, int] = SIMILAR, n: int = GRA
     scheme = Scheme(similar)
     named = settle(classes(docs, n))
     members = buckets(docs, scheme, n)
-    sets = sets_of(docs, named.where("class IS NOT NULL"), members, n)
+    shape = shapes(named)
     tested = settle(star_pairs(members))
-    links = verified(tested, sets, scheme)
+    links = verified(plausible(tested, shape, scheme), docs, named, scheme, n)
     parts = connected_components(links)
-    more = verified(remaining_pairs(members, sets, parts, tested, scheme), sets, scheme)
-    if not more.isEmpty():
-        parts = connected_components(links.unionByName(more))
+    left = settle(remaining_pairs(members, shape, parts, tested, scheme))
+    if not left.isEmpty():
+        parts = connected_components(links.unionByName(verified(left, docs, named, scheme, n)))
     ids = settle(named.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("own")))
     labelled = ids.join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "component", F.coalesce("component", "class")
@@ -447,12 +456,12 @@ def links(docs: DataFrame, similar: tuple[int, int] = SIMILAR, n: int = GRAM) ->
     scheme = Scheme(similar)
     named = settle(classes(docs, n))
     members = buckets(docs, scheme, n)
-    sets = sets_of(docs, named.where("class IS NOT NULL"), members, n)
+    shape = shapes(named)
     tested = settle(star_pairs(members))
     # Without components every class is one of its own, so no pair of a bucket is left out.
     apart = docs.sparkSession.createDataFrame([], "node long, component long")
-    more = remaining_pairs(members, sets, apart, tested, scheme)
-    pairs = verified(tested.unionByName(more), sets, scheme)
+    more = remaining_pairs(members, shape, apart, tested, scheme)
+    pairs = verified(settle(plausible(tested, shape, scheme).unionByName(more)), docs, named, scheme, n)
     return pairs, named.select("k1", "k2", "doc_id", "class")
 
 
