@@ -12,15 +12,19 @@ from patronlens.functions.labels import band, classify_like, first_match, ratio
 from patronlens.operators.lineage import settle
 from patronlens.operators.orders import completed
 from patronlens.operators.sequence import place
+from patronlens.operators.skew import split_join
 from patronlens.operators.topk import top_k_per_group
 
 LIST_PART = 10_000  # entries per row of a list column; longer lists go on in further rows
 
 
 def purchased_lines(orders: DataFrame, goods: DataFrame, *order_columns: str) -> DataFrame:
-    """Order lines with columns of their order. Filter ``orders`` first where possible."""
+    """Order lines with columns of their order. Filter ``orders`` first where possible.
+
+    An order with very many lines is split over tasks.
+    """
     kept = orders.select("orderSn", "memberId", *order_columns)
-    return goods.join(kept, F.col("cOrderSn") == F.col("orderSn")).drop("orderSn", "cOrderSn")
+    return split_join(goods, kept, "cOrderSn", "orderSn").drop("orderSn", "cOrderSn")
 
 
 def _per_order(orders: DataFrame, goods: DataFrame, sums: Sequence[Column], how: str = "inner") -> DataFrame:

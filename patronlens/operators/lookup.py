@@ -5,10 +5,11 @@ from __future__ import annotations
 import json
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronlens.functions import rules
+from patronlens.sources.tables import BucketedTable
 
 ANY = "none"  # fixed value: a search field left open
 
@@ -36,6 +37,32 @@ def by_contact(rows: DataFrame, contact: str) -> DataFrame:
     return where_equal(rows, **{"email" if "@" in contact else "mobile": contact})
 
 
+def contact_index(spark: SparkSession, path: str, buckets: int = 64) -> BucketedTable:
+    """The table (contact, id) below ``path``, in buckets by contact."""
+    return BucketedTable(spark, path, "contact STRING, id BIGINT", "contact", buckets)
+
+
+def contacts_of(users: DataFrame) -> DataFrame:
+    """(contact, id): what each user can be found by, an e-mail address (has an @) and a mobile number."""
+    return users.select(F.explode(_offers()).alias("contact"), "id")
+
+
+def by_indexed_contact(rows: DataFrame, index: BucketedTable, contact: str) -> DataFrame:
+    """Rows of one contact: one bucket of the index is read, then ``rows`` by id."""
+    return rows.join(index.rows().where(F.col("contact") == contact).select("id"), "id", "left_semi")
+
+
+def by_indexed_contacts(rows: DataFrame, index: BucketedTable, requests: DataFrame) -> DataFrame:
+    """``by_contacts`` through the index: requests meet it where it lies, and users are met by id only."""
+    asked = requests.select("contact").distinct()
+    return rows.join(index.rows().join(asked, "contact"), "id").select(*rows.columns, "contact")
+
+
+def _offers() -> Column:
+    is_email = lambda c: F.contains(F.col(c), F.lit("@"))
+    return F.array_compact(F.array(F.when(is_email("email"), F.col("email")), F.when(~is_email("mobile"), F.col("mobile"))))
+
+
 def by_contacts(rows: DataFrame, requests: DataFrame, users: DataFrame | None = None) -> DataFrame:
     """The same for a table of requests (column ``contact``): each is answered from its own column.
 
@@ -44,12 +71,8 @@ def by_contacts(rows: DataFrame, requests: DataFrame, users: DataFrame | None =
     may be wide, are met by id; else ``rows`` offer their own contacts. Equal
     requests are answered once.
     """
-    is_email = lambda c: F.contains(F.col(c), F.lit("@"))
-    offers = F.array_compact(
-        F.array(F.when(is_email("email"), F.col("email")), F.when(~is_email("mobile"), F.col("mobile")))
-    )
     offering = rows if users is None else users.select("id", "email", "mobile")
-    found = offering.select("*", F.explode(offers).alias("contact")).join(requests.select("contact").distinct(), "contact")
+    found = offering.select("*", F.explode(_offers()).alias("contact")).join(requests.select("contact").distinct(), "contact")
     if users is not None:
         found = rows.join(found.select("id", "contact"), "id")
     return found.select(*rows.columns, "contact")

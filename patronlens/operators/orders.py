@@ -145,17 +145,33 @@ def consumer_profile(
     )
     # Sorts above every rival: more completed orders first, then the lower name.
     used = F.when((F.col("done") > 0) & F.col("paymentName").isNotNull(), F.struct(-F.col("done"), "paymentName"))
-    fold = {"id": F.min, "started": F.min, "ended": F.max, "largest": F.max}
     facts = _with_days(
         per_payment.groupBy("memberId").agg(
-            *[
-                (F.bit_or if n.startswith("_days") else fold.get(n, F.sum))(n).alias(n)
-                for n in per_payment.columns
-                if n not in ("memberId", "paymentName")
-            ],
+            *[_folding(n)(n).alias(n) for n in per_payment.columns if n not in ("memberId", "paymentName")],
             F.min(used)["paymentName"].alias("paymentName"),
         )
-    ).filter(F.col("done") > 0)
+    )
+    return labels_of_facts(facts, value, cycle, average, largest, largest_else, frequency, returns)
+
+
+def _folding(fact: str):
+    """The aggregate that puts together a fact of several parts of a member's orders."""
+    kinds = {"id": F.min, "started": F.min, "ended": F.max, "largest": F.max, "finished": F.max}
+    return F.bit_or if fact.startswith("_days") else kinds.get(fact, F.sum)
+
+
+def labels_of_facts(
+    facts: DataFrame,
+    value: DataFrame | None = None,
+    cycle=rules.CYCLE,
+    average=rules.ORDER_VALUE,
+    largest=rules.ORDER_VALUE,
+    largest_else=rules.MAX_ORDER_ELSE,
+    frequency=rules.FREQUENCY,
+    returns=rules.RETURN_RATE,
+) -> DataFrame:
+    """The labels of ``consumer_profile`` from one row of facts per member."""
+    facts = facts.filter(F.col("done") > 0)
     labelled = facts.select(
         "id",
         "memberId",

@@ -95,6 +95,7 @@ def dense_ids(rows: DataFrame, column: str) -> DataFrame:
 
 def recommend(ratings: DataFrame, item: str, k: int, user: str = "user_id", **options) -> DataFrame:
     """The ``k`` best items per user, for ids of any size or type: (id, items, favorites)."""
+    ratings = settle(ratings)  # numbered twice and joined: computed once
     users, items = dense_ids(ratings, user), dense_ids(ratings, item)
     numbered = (
         ratings.join(users.withColumnRenamed("dense", "_user"), user)

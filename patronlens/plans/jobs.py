@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronlens.functions import rules
-from patronlens.operators import activity, baskets, lineage, orders, profile, recommend, reports, segment
+from patronlens.operators import activity, baskets, lineage, lookup, orders, profile, recommend, reports, segment
 from patronlens.sources import tables
 from patronlens.sources.typed import TypedSources
 
@@ -29,6 +29,7 @@ class Job(NamedTuple):
     key: list[str]
     needs: list[str]
     lookups: tuple[str, ...] = ()
+    owner: str | None = None  # whose rows are replaced together
 
 
 class Run:
@@ -67,7 +68,9 @@ class Run:
             self.check_members()
         for needed in job.needs:
             self.write(needed)
-        tables.write(job.build(self), f"{self.out}/{name}", job.key, self.mode, unique=True, lookups=job.lookups)
+        tables.write(job.build(self), f"{self.out}/{name}", job.key, self.mode, unique=True, lookups=job.lookups, owner=job.owner)
+        if name == "user":
+            lookup.contact_index(self.sources.spark, f"{self.out}/contacts").replace(lookup.contacts_of(self.sources.spark.read.parquet(f"{self.out}/user")))
         self.written.add(name)
 
 
@@ -121,7 +124,7 @@ JOBS: dict[str, Job] = {
     "pre_product": Job(lambda r: baskets.product_preference(r.sources.done, r.sources.goods), ["memberId"], []),
     "cycle": Job(
         lambda r: baskets.weekly_basket(r.sources.done, r.sources.goods, r.table("user")),
-        ["id", "cycle", "part"], ["user"], CONTACTS,
+        ["id", "cycle", "part"], ["user"], CONTACTS, "id",
     ),
     "agegender": Job(_value("age", "gender"), ["age", "gender"], ["user", "consumer_rfm"]),
     "provincerf": Job(_value("province", truncate=True), ["province"], ["user", "consumer_rfm"]),
@@ -139,9 +142,9 @@ JOBS: dict[str, Job] = {
         ),
         ["id"], ["user"],
     ),
-    "log_scan": Job(lambda r: activity.browse_history(r.sources.logs), ["user_id", "part"], []),
+    "log_scan": Job(lambda r: activity.browse_history(r.sources.logs), ["user_id", "part"], [], owner="user_id"),
     "log_consumer": Job(
-        lambda r: baskets.purchase_history(r.sources.orders, r.sources.goods), ["memberId", "part"], []
+        lambda r: baskets.purchase_history(r.sources.orders, r.sources.goods), ["memberId", "part"], [], owner="memberId",
     ),
 }
 

@@ -593,6 +593,7 @@ _CONTACTS = """,
 contacts AS (SELECT CASE WHEN id % 2 = 0 THEN email ELSE mobile END AS contact FROM u)"""
 ORACLES["lookup_profile"] = _sql("u l r", _PROFILES_LEFT + _CONTACTS + """
 SELECT profiles.*, contact FROM profiles JOIN contacts ON CASE WHEN contact LIKE '%@%' THEN email ELSE mobile END = contact""")
+ORACLES["lookup_profile_indexed"] = ORACLES["lookup_profile"]
 ORACLES["lookup_basket"] = _sql("u o g", _baskets(10000) + _CONTACTS + """
 SELECT cycle, part, products, count, email, mobile, contact
 FROM baskets JOIN u ON u.id = baskets.member
@@ -667,3 +668,7 @@ users AS (SELECT count(DISTINCT user_id) AS n FROM ratings)
 SELECT 'lists' AS measure, n FROM users UNION ALL SELECT 'users', n FROM users
 UNION ALL SELECT 'shortest', n FROM items UNION ALL SELECT 'longest', n FROM items
 UNION ALL SELECT unnest(['repeats', 'misprinted', 'unknown', 'strangers']), 0"""
+
+# Merged batches give what one run over all orders gives.
+ORACLES["consumer_profile_merged"] = ORACLES["consumer_profile_scaled"]
+ORACLES["rfm_metrics_merged"] = ORACLES["rfm_metrics"]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from patronlens.functions import rules
 from patronlens.functions.keys import member_key
-from patronlens.operators import activity, baskets, lookup, orders, profile, recommend, reports, segment
+from patronlens.operators import activity, baskets, lineage, lookup, order_state, orders, profile, recommend, reports, segment
 from patronlens.sources.standins import LOGS_AS_OF, ORDERS_AS_OF, StandIns
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -203,6 +203,26 @@ def consumer_profile_scaled(x):
     return orders.consumer_profile(x.orders, **SCALED_CUTS)
 
 
+def _state_of_batches(x):
+    """The state after three batches of orders by their day, each merged into what the ones before left."""
+    state = order_state.OrderState(x.spark, lineage.new_folder(x.spark, "state"), x.orders, 8)
+    day = F.coalesce(F.to_date("modified"), F.lit("1900-01-01").cast("date"))
+    for first, last in (("0001-01-01", "1994-06-30"), ("1994-07-01", "1996-12-31"), ("1997-01-01", "9999-12-31")):
+        state.add(x.orders.where(day.between(F.lit(first).cast("date"), F.lit(last).cast("date"))))
+    return state
+
+
+@_query
+def consumer_profile_merged(x):
+    """All order labels from a state that each batch of orders is merged into."""
+    return _state_of_batches(x).profile(**SCALED_CUTS)
+
+
+@_query
+def rfm_metrics_merged(x):
+    return _doubles(_state_of_batches(x).rfm_metrics(ORDERS_AS_OF), "money")
+
+
 @_query
 def rfm_metrics(x):
     return _doubles(orders.rfm_metrics(x.orders, ORDERS_AS_OF), "money")
@@ -511,6 +531,14 @@ def lookup_profile(x):
     return _day(lookup.by_contacts(_profiles(x, "left"), _contacts(x)), "birthday")
 
 
+@_query
+def lookup_profile_indexed(x):
+    """Requests met through the contact index."""
+    index = lookup.contact_index(x.spark, lineage.new_folder(x.spark, "contacts"), 8)
+    index.replace(lookup.contacts_of(x.users))
+    return _day(lookup.by_indexed_contacts(_profiles(x, "left"), index, _contacts(x)), "birthday")
+
+
 @_query
 def lookup_basket(x):
     found = lookup.by_contacts(baskets.weekly_basket(x.done, x.goods, x.users), _contacts(x), x.users)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
@@ -94,9 +95,12 @@ def latest_by_key(rows: DataFrame, key: str | Sequence[str], newest: str | None
 
 
 def merge_by_key(current: DataFrame, updates: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """``current`` with the rows of ``updates`` put in place of those with an equal key; null equals null."""
+    """``current`` with the rows of ``updates`` put in place of those with an equal key; null equals null.
+
+    The key may name an owner of several rows: all its rows go when any of it is put.
+    """
     keys = [key] if isinstance(key, str) else list(key)
-    new = updates.select([F.col(c).alias(f"_new_{c}") for c in keys])
+    new = updates.select([F.col(c).alias(f"_new_{c}") for c in keys]).distinct()
     same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_new_{c}")) for c in keys])
     return current.join(new, same, "left_anti").unionByName(updates)
 
@@ -121,6 +125,7 @@ def write(
     unique: bool = False,
     sort: bool = True,
     lookups: Sequence[str] = (),
+    owner: str | Sequence[str] | None = None,
 ) -> None:
     """Write a table with one row per key.
 
@@ -131,6 +136,9 @@ def write(
     range of the key, so a lookup by key reads few row groups; ``lookups`` names further
     columns that get Bloom filters, so that a lookup by one of them skips row groups too.
 
+    ``owner`` names the columns of the key whose rows belong together, such as the parts of one list:
+    an upsert replaces all rows of an owner, so a list that shrinks keeps no part of its former state.
+
     An upsert writes the merged table beside the old one and swaps the two names. A job
     that dies on the way leaves the old table whole, under its name or, between the two
     renames, as ``.old``, which the next write puts back first.
@@ -142,7 +150,7 @@ def write(
         rows = latest_by_key(rows, keys, newest)
     swap = mode in ("upsert", "append") and table_exists(spark, path)
     if swap:
-        rows = merge_by_key(spark.read.parquet(path), rows, keys)
+        rows = merge_by_key(spark.read.parquet(path), rows, keys if owner is None else owner)
     if sort:
         rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
     writer = rows.write.options(**{f"parquet.bloom.filter.enabled#{c}": "true" for c in lookups})
@@ -203,3 +211,50 @@ def export_jdbc(
         .option("batchsize", 10000)
         .jdbc(url, table, properties=dict(properties or {}))
     )
+
+
+class BucketedTable:
+    """A table in buckets by one key, sorted inside, whose whole content is replaced at once.
+
+    Lookups by the key read one bucket, and joins on it don't move the table. Each content is a
+    numbered folder below ``path`` that counts once Spark has marked it as complete, so a
+    writer that dies leaves the former content in force. The one before is kept for readers that are under way.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, key: str, buckets: int = 64):
+        self.spark, self.path, self.schema, self.key, self.buckets = spark, path.rstrip("/"), schema, key, buckets
+        self.name = "bucketed_" + hashlib.md5(self.path.encode()).hexdigest()
+
+    def versions(self) -> list[int]:
+        fs, jvm_path = _files(self.spark, self.path)
+        if not fs.exists(jvm_path(self.path)):
+            return []
+        names = [f.getPath().getName() for f in fs.listStatus(jvm_path(self.path))]
+        return sorted(int(n[1:]) for n in names if n[1:].isdigit() and fs.exists(jvm_path(f"{self.path}/{n}/_SUCCESS")))
+
+    def rows(self) -> DataFrame:
+        """The content in force; empty before the first."""
+        known = self.versions()
+        if not known:
+            return self.spark.createDataFrame([], self.schema)
+        table = f"{self.name}_{known[-1]}"
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {table} ({self.schema}) USING parquet "
+            f"CLUSTERED BY ({self.key}) SORTED BY ({self.key}) INTO {self.buckets} BUCKETS LOCATION '{self.path}/v{known[-1]}'"
+        )
+        return self.spark.table(table)
+
+    def replace(self, rows: DataFrame) -> None:
+        """Put ``rows`` in place of the content; they may be made from it."""
+        known = self.versions()
+        number = known[-1] + 1 if known else 1
+        target, fields = f"{self.name}_{number}", T.StructType.fromDDL(self.schema).fieldNames()
+        self.spark.sql(f"DROP TABLE IF EXISTS {target}")
+        _delete(self.spark, f"{self.path}/v{number}")  # what a dead writer left
+        (
+            rows.select(*fields).repartition(self.buckets, self.key).sortWithinPartitions(self.key)
+            .write.bucketBy(self.buckets, self.key).sortBy(self.key).option("path", f"{self.path}/v{number}").saveAsTable(target)
+        )
+        for old in known[:-1]:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name}_{old}")
+            _delete(self.spark, f"{self.path}/v{old}")

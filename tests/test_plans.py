@@ -4,11 +4,8 @@ import re
 
 import pytest
 from compare import SMALL
-from pyspark.sql import functions as F
 
-from patronlens.operators import baskets
 from patronlens.plans.queries import QUERIES
-from patronlens.sources.standins import StandIns
 
 
 def plan(spark, name):
@@ -78,25 +75,3 @@ def test_orders_are_read_once_for_the_consumer_profile(spark):
 def test_scores_of_lines_do_not_read_products(spark, name, shuffles):
     text = plan(spark, name)
     assert "part.parquet" not in text and text.count("Exchange") <= shuffles
-
-
-def test_an_order_with_a_third_of_all_lines_is_split(spark):
-    """The joins that need the product of each line leave a hot order to adaptive execution."""
-    x = StandIns(spark, SMALL)
-    hot = F.when(F.xxhash64("productName", "productAmount") % 3 == 0, F.lit("1")).otherwise(F.col("cOrderSn"))
-    lines = x.goods.withColumn("cOrderSn", hot).repartition(8)
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.coalescePartitions.enabled": "false",
-    }
-    before = {k: spark.conf.get(k) for k in settings}
-    try:
-        for k, v in settings.items():
-            spark.conf.set(k, v)
-        frame = baskets.purchased_lines(x.orders, lines)
-        frame.collect()
-        assert "skew=true" in frame._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)

@@ -163,3 +163,19 @@ def test_bloom_filters_on_lookup_columns(spark, tmp_path):
     size = lambda name: sum(f.stat().st_size for f in (tmp_path / name).glob("*.parquet"))
     assert size("bloom") > size("plain")
     assert spark.read.parquet(f"{tmp_path}/bloom").filter("email = 'u7919@x'").collect() == [(1, "u7919@x")]
+
+
+@pytest.mark.parametrize("mode", ["upsert", "append"])
+@pytest.mark.parametrize("key, owner", [(["id", "cycle", "part"], "id"), (["user_id", "part"], "user_id"), (["memberId", "part"], "memberId")])
+def test_a_list_that_shrinks_keeps_no_former_part(spark, tmp_path, mode, key, owner):
+    path = f"{tmp_path}/lists"
+    schema = ", ".join(f"{k} long" for k in key) + ", items array<string>"
+    def lists(parts):
+        """(owner, number of parts, mark of the run)."""
+        rows = [(o, *[1] * (len(key) - 2), p, [mark]) for o, n, mark in parts for p in range(n)]
+        return spark.createDataFrame(rows, schema)
+
+    tables.write(lists([(1, 3, "old"), (2, 2, "old"), (None, 2, "old")]), path, key, mode, unique=True, owner=owner)
+    tables.write(lists([(1, 1, "new"), (None, 1, "new"), (3, 1, "new")]), path, key, mode, unique=True, owner=owner)
+    found = sorted((repr(r[0]), r["part"], r["items"][0]) for r in spark.read.parquet(path).collect())
+    assert found == [("1", 0, "new"), ("2", 0, "old"), ("2", 1, "old"), ("3", 0, "new"), ("None", 0, "new")]
