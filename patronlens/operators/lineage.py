@@ -8,14 +8,15 @@ import warnings
 from pyspark.sql import DataFrame, SparkSession
 
 _WRITTEN: dict[str, list[str]] = {}  # application id -> folders that it wrote
+_NAMED: dict[str, list[str]] = {}  # application id -> names that it gave to tables in folders
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: ``spark.checkpoint.dir``.
 
-    Where the session names none, the warehouse folder serves instead, with a warning:
-    it is shared too, but nothing there is cleaned by the cluster. One rule for every
-    master.
+    Where the session names none, the warehouse folder serves instead, with a warning: on a
+    cluster it must be set to a shared folder, as its default is one of the driver's machine. One rule for
+    every master.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named is None:
@@ -43,8 +44,19 @@ def settle(rows: DataFrame) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def own_name(spark: SparkSession, name: str) -> str:
+    """Note that this application has given ``name`` to a table in a folder, which ``clear`` takes back."""
+    _NAMED.setdefault(spark.sparkContext.applicationId, []).append(name)
+    return name
+
+
 def clear(spark: SparkSession) -> int:
-    """Delete what this application settled so far; for the end of a job. Returns the number of folders."""
+    """Delete what this application settled so far; for the end of a job. Returns the number of folders.
+
+    Names of tables go too; tables that lie in a folder of the caller keep their files.
+    """
+    for name in _NAMED.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
     jvm = spark.sparkContext._jvm
     for path in paths:

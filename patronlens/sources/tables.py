@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from patronlens.operators.lineage import own_name
 from patronlens.operators.topk import top_rows
 
 _MONEY = T.DecimalType(38, 10)  # wide enough for every amount as it was written
@@ -237,7 +238,7 @@ class BucketedTable:
         known = self.versions()
         if not known:
             return self.spark.createDataFrame([], self.schema)
-        table = f"{self.name}_{known[-1]}"
+        table = own_name(self.spark, f"{self.name}_{known[-1]}")
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {table} ({self.schema}) USING parquet "
             f"CLUSTERED BY ({self.key}) SORTED BY ({self.key}) INTO {self.buckets} BUCKETS LOCATION '{self.path}/v{known[-1]}'"
@@ -248,7 +249,7 @@ class BucketedTable:
         """Put ``rows`` in place of the content; they may be made from it."""
         known = self.versions()
         number = known[-1] + 1 if known else 1
-        target, fields = f"{self.name}_{number}", T.StructType.fromDDL(self.schema).fieldNames()
+        target, fields = own_name(self.spark, f"{self.name}_{number}"), T.StructType.fromDDL(self.schema).fieldNames()
         self.spark.sql(f"DROP TABLE IF EXISTS {target}")
         _delete(self.spark, f"{self.path}/v{number}")  # what a dead writer left
         (

@@ -97,3 +97,15 @@ def test_two_tables_of_one_last_name_are_two(spark):
     one = spark.createDataFrame([("x", 1)], "contact string, id long")
     a.replace(one)
     assert (a.rows().count(), b.rows().count()) == (1, 0)
+
+
+def test_names_of_tables_go_with_the_intermediate_ones(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(lineage, "_WRITTEN", {})
+    monkeypatch.setattr(lineage, "_NAMED", {})
+    index = lookup.contact_index(spark, str(tmp_path / "kept"), 2)
+    index.replace(spark.createDataFrame([("x", 1)], "contact string, id long"))
+    index.rows()
+    assert any(t.name.startswith(index.name) for t in spark.catalog.listTables())
+    lineage.clear(spark)
+    assert not any(t.name.startswith(index.name) for t in spark.catalog.listTables())
+    assert index.rows().count() == 1  # its files are the caller's
