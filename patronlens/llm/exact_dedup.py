@@ -2,7 +2,8 @@
 
 The index is a parquet table bucketed and sorted by the SHA-256 of the text. New documents
 are reduced to one row per digest, anti-joined to the index by sort-merge (the index
-side is read bucket by bucket and not shuffled), and what is new is appended.
+side is read bucket by bucket and not shuffled), and what is new is appended. Every append adds
+one sorted file to a bucket, so Spark sorts a bucket once more when it has several.
 
 Defined results: a null text counts as empty and is a text like any other; of equal texts
 the row with the largest doc_id stays, a null doc_id being smaller than any; rows that
@@ -13,12 +14,13 @@ may have any name that does not start with two underscores.
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.operators.lineage import new_folder, settle
+from patronlens.operators.lineage import new_folder, own_name, settle
 
 
 def digest(text: str) -> Column:
@@ -34,11 +36,15 @@ class DigestIndex:
 
     def __init__(self, spark: SparkSession, path: str, buckets: int):
         self.spark, self.path = spark, path
-        self.table = "digest_index_" + "".join(c if c.isalnum() else "_" for c in path.rsplit("/", 1)[-1])
+        # Named by the whole path: two indexes in folders of one name are two.
+        self.table = own_name(spark, "digest_index_" + hashlib.md5(path.rstrip("/").encode()).hexdigest())
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.table} (digest BINARY, keep_id BIGINT) USING parquet "
             f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'"
         )
+        known = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE FORMATTED {self.table}").collect()}
+        if known["Num Buckets"] != str(buckets):
+            raise ValueError(f"the index in {path} has {known['Num Buckets']} buckets, not {buckets}")
         self.buckets = buckets
 
     def rows(self) -> DataFrame:
@@ -93,10 +99,9 @@ def decide(docs: DataFrame, index: DigestIndex, batches: int = 1) -> DataFrame:
     sizes = reduce(DataFrame.unionByName, each)
     if len(each) > 1:
         sizes = settle(sizes.groupBy("digest").agg(F.sum("group_size").alias("group_size")))
-    # Read by path, not as buckets: adaptive execution may then split a digest with many rows.
-    stays = index.spark.read.schema("digest binary, keep_id bigint").parquet(index.path)
+    # One row a digest on both sides, so the index stays where it is; digests with many rows only meet the written result.
     groups = settle(
-        sizes.select("digest", "group_size").join(stays, "digest")
+        sizes.select("digest", "group_size").repartition(index.buckets, "digest").hint("merge").join(index.rows(), "digest")
         .join(appended.select("digest", F.lit(True).alias("new")), "digest", "left")
     )
     return narrow.join(groups, "digest").select(

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from patronlens.llm.common import row_key
 from patronlens.llm.words import Words, slices, windows_hash
-from patronlens.operators.lineage import new_folder, settle
+from patronlens.operators.lineage import new_folder, own_name, settle
 
 WINDOW = 35
 MER = 5
@@ -117,7 +117,7 @@ def _candidates(docs: DataFrame, signed: DataFrame) -> DataFrame:
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(*row_key("doc_id", "text"), "text").repartition(n, "k1")
     path = new_folder(spark, "passages")
-    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    name = own_name(spark, path.rsplit("/", 1)[-1].replace("-", "_"))
     texts.join(lists.repartition(n, "k1").hint("merge"), "k1").write.bucketBy(n, "k1").option("path", path).saveAsTable(name)
     return spark.table(name)
 
