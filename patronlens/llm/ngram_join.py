@@ -46,6 +46,7 @@ SPLIT = 63  # parts of a signature that very many sets have
 TAGS = SPLIT + 1
 SAMPLE = 2_048  # documents, about, that tell which signatures these are
 HOT = 0.02  # share of them
+FIRSTS = 16  # lowest signatures of a set that tell which bucket gives a pair
 BLOCK = 4_096  # members of a bucket compared in one task against as many others
 
 
@@ -362,7 +363,9 @@ def remaining_pairs(
     """(a, b): pairs that share a bucket, lie in different components, and whose outlines allow a link.
 
     In each bucket the largest component is at home; the other members visit it and one
-    another. Both are dealt into blocks, so that no task holds more than two blocks.
+    another. Both are dealt into blocks, so that no task holds more than two blocks. Sets that
+    share a signature among the lowest of both are only given by the bucket of the lowest one they share there;
+    the few others by each of their buckets.
     """
     labelled = members.join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "component", F.coalesce("component", "class")
@@ -390,7 +393,10 @@ def remaining_pairs(
         "block", F.explode(F.sequence(F.lit(0), F.col("rows") - 1))
     ).withColumn("visits", F.lit(True))
     fields = ["signature", "block", "other", "class", "component", "visits"]
-    dealt = at_home.select(fields).unionByName(visiting.select(fields)).join(shape, "class")
+    firsts = settle(
+        member.groupBy("class").agg(F.slice(F.sort_array(F.collect_list("signature")), 1, FIRSTS).alias("firsts"))
+    )
+    dealt = at_home.select(fields).unionByName(visiting.select(fields)).join(shape.join(firsts, "class"), "class")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches, ["signature", "block", "other"]):
@@ -412,16 +418,26 @@ def _candidates(group: pa.Table, scheme: Scheme) -> pa.RecordBatch:
         outlines = group.column("outline").to_pylist()
         table = folded(outlines, min(map(len, outlines)))
         at_home, home_size, home_component = table[home], size[home], component[home]
+        firsts, bucket = _padded(group.column("firsts").to_pylist()), group.column("signature")[0].as_py()
         for v in np.flatnonzero(visits).tolist():
             fits = np.flatnonzero((home_component != component[v]) & scheme.similar_sizes(size[v], home_size))
             far = abs(at_home[fits] - table[v]).sum(axis=1)
-            other = name[home[fits[far <= scheme.difference(size[v], home_size[fits])]]]
+            fits = home[fits[far <= scheme.difference(size[v], home_size[fits])]]
+            shared = np.isin(firsts[fits], firsts[v])
+            lowest = firsts[fits, shared.argmax(axis=1)] if len(fits) else fits
+            other = name[fits[~shared.any(axis=1) | (lowest == bucket)]]
             if len(other):
                 out.append((np.minimum(other, name[v]), np.maximum(other, name[v])))
     a, b = (np.concatenate([o[i] for o in out] or [np.empty(0, np.int64)]) for i in (0, 1))
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
+def _padded(lists: list[list[int]]) -> np.ndarray:
+    """Rising lists as rows of a table, their last entries repeated."""
+    width = max(map(len, lists))
+    return np.array([x + x[-1:] * (width - len(x)) for x in lists], dtype=np.int64)
+
+
 def components(docs: DataFrame, similar: tuple[int, int] = SIMILAR, n: int = GRAM) -> DataFrame:
     """(k1, k2, doc_id, n_shingles, component_id) for every row of ``docs``; k1, k2 is its ``row_key``."""
     scheme = Scheme(similar)
