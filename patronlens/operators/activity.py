@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from patronlens.functions import dates, rules, web
 from patronlens.functions.labels import band, ratio
+from patronlens.operators.lineage import settle
 from patronlens.operators.sequence import place
 from patronlens.operators.topk import top_k_per_group
 
@@ -91,8 +92,20 @@ def page_frequency(logs: DataFrame) -> DataFrame:
     grouped = views.groupBy("user_id", "page").agg(
         F.datediff(F.max("log_time"), F.min("log_time")).alias("days"), F.count("page").alias("views")
     )
-    label = band(ratio("views", "days"), rules.PAGE_FREQUENCY, rules.PAGE_FREQUENCY_ELSE)
-    return grouped.withColumn("frequency", label)
+    return grouped.withColumn("frequency", _frequency())
+
+
+def _frequency() -> Column:
+    return band(ratio("views", "days"), rules.PAGE_FREQUENCY, rules.PAGE_FREQUENCY_ELSE)
+
+
+def _page_state(logs: DataFrame) -> DataFrame:
+    """What stretches and habits are made of, one row per user, hour and page: views, first and last."""
+    views = logs.select(F.col("global_user_id").alias("user_id"), web.page_type("loc_url").alias("page"), "log_time")
+    return views.groupBy("user_id", F.date_trunc("hour", "log_time").alias("_slice"), "page").agg(
+        F.count(F.lit(1)).alias("_weight"), F.count("page").alias("views"),
+        F.min("log_time").alias("log_time"), F.max("log_time").alias("last"),
+    )
 
 
 def browse_history(logs: DataFrame, part_size: int = LIST_PART) -> DataFrame:
@@ -101,42 +114,48 @@ def browse_history(logs: DataFrame, part_size: int = LIST_PART) -> DataFrame:
     Histories of more than ``part_size`` views go on in rows with a higher ``part``;
     read in part order they give the whole history. Unreadable slots and dwell times
     are not listed.
+
+    The log is read twice: once for the counts per hour and page, from which both the places of the
+    views and the habits follow, and once for the views. Habits meet the views as rows in the grouping that
+    makes the lists, one set for each part, so no list is ever shuffled to a join.
     """
-    labelled = _timeline(
-        logs,
-        web.page_type("loc_url").alias("page"),
-        dates.slot("log_time").alias("slot"),
-        web.device("user_agent").alias("device"),
+    state = settle(_page_state(logs))
+    labelled = place(
+        logs.select(
+            "id", F.col("global_user_id").alias("user_id"), "log_time", web.page_type("loc_url").alias("page"),
+            dates.slot("log_time").alias("slot"), web.device("user_agent").alias("device"),
+        ),
+        ["user_id"], ["log_time", "id"], F.date_trunc("hour", "log_time"), counted=state,
     )
     place_from_end = F.col("total") - F.col("start") - 1
-    parts = (
-        labelled.select(
-            "user_id",
-            F.floor(place_from_end / part_size).alias("part"),
-            F.struct(
-                place_from_end.alias("at"), "page", "slot", "device", _dwell().alias("dwell")
-            ).alias("view"),
-        )
-        .groupBy("user_id", "part")
-        .agg(F.sort_array(F.collect_list("view")).alias("views"))
+    views = labelled.select(
+        "user_id",
+        F.floor(place_from_end / part_size).alias("part"),
+        F.struct(place_from_end.alias("at"), "page", "slot", "device", _dwell().alias("dwell")).alias("view"),
     )
-    column = lambda name: F.array_compact(F.transform("views", lambda v: v[name])).alias(name + "s")
-    habits = (
-        page_frequency(logs)
-        .groupBy(F.struct("user_id").alias("_user"))
-        .agg(F.sort_array(F.collect_list(F.struct("page", "frequency"))).alias("habits"))
+    pages = state.groupBy("user_id", "page").agg(
+        F.datediff(F.max("last"), F.min("log_time")).alias("days"), F.sum("views").alias("views"), F.sum("_weight").alias("n")
     )
-    return (
-        parts.withColumn("_user", F.struct("user_id"))
-        .join(habits, "_user")
-        .select(
-            "user_id",
-            "part",
-            column("page"),
-            column("slot"),
-            column("dwell"),
-            column("device"),
-            F.transform("habits", lambda h: h["page"]).alias("page_kinds"),
-            F.transform("habits", lambda h: h["frequency"]).alias("page_frequencies"),
-        )
+    kinds = F.sort_array(F.collect_list(F.struct("page", _frequency().alias("frequency"))))
+    habits = pages.groupBy("user_id").agg(F.sum("n").alias("total"), kinds.alias("habits"))
+    last_part = F.ceil(F.col("total") / part_size) - 1
+    beside = habits.select("user_id", F.explode(F.sequence(F.lit(0).cast("bigint"), last_part)).alias("part"), "habits").select(
+        "user_id", "part", F.explode("habits").alias("habit")
+    )
+    rows = views.withColumn("habit", F.lit(None).cast(beside.schema["habit"].dataType)).unionByName(
+        beside.withColumn("view", F.lit(None).cast(views.schema["view"].dataType))
+    )
+    parts = rows.groupBy("user_id", "part").agg(
+        F.sort_array(F.collect_list("view")).alias("views"), F.sort_array(F.collect_list("habit")).alias("habits")
+    )
+    column = lambda name: F.array_compact(F.transform("views", lambda v: v[name])).alias(name + "s")
+    return parts.select(
+        "user_id",
+        "part",
+        column("page"),
+        column("slot"),
+        column("dwell"),
+        column("device"),
+        F.transform("habits", lambda h: h["page"]).alias("page_kinds"),
+        F.transform("habits", lambda h: h["frequency"]).alias("page_frequencies"),
     )

@@ -11,7 +11,7 @@ from patronlens.functions import rules
 from patronlens.functions.labels import band, classify_like, first_match, ratio
 from patronlens.operators.lineage import settle
 from patronlens.operators.orders import completed
-from patronlens.operators.sequence import place
+from patronlens.operators.sequence import place, with_stretch
 from patronlens.operators.skew import split_join
 from patronlens.operators.topk import top_k_per_group
 
@@ -101,7 +101,7 @@ def weekly_basket(
     """
     counted, keys = _weekly_counts(orders, goods, with_year)
     counted = settle(counted)
-    placed = place(counted, keys, ["productName"], F.left("productName", F.lit(2)), F.col("n"))
+    placed = place(with_stretch(counted, keys, "productName"), keys, ["productName"], F.col("_stretch"), F.col("n")).drop("_stretch")
     end = F.col("start") + F.col("n")
     last = F.floor((end - 1) / part_size)
     pieces = placed.select(
@@ -358,7 +358,7 @@ def purchase_history(
         .groupBy("memberId", "productName", "_type", "_product", "_brand")
         .agg(F.max((bought > 0) & (F.col("productType") == F.col("_type"))).alias("chosen"))
     )
-    placed = place(products, ["memberId"], ["productName"], F.left("productName", F.lit(2)))
+    placed = place(with_stretch(products, ["memberId"], "productName"), ["memberId"], ["productName"], F.col("_stretch")).drop("_stretch")
     listed = (
         placed.withColumn("part", F.floor(F.col("start") / part_size))
         .groupBy("memberId", "part", "_type", "_product", "_brand")

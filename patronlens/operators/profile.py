@@ -97,6 +97,28 @@ def with_region(users: DataFrame, regions: DataFrame, key: str = "region_key", d
     return joined.withColumns({"province": province, "city": city})
 
 
+def with_prefix_region(users: DataFrame, regions: DataFrame, number: str = "mobile", key: str = "region_key") -> DataFrame:
+    """Province and city of the longest region prefix that ``number`` begins with; null where none does.
+
+    ``regions`` holds prefixes of several lengths, nested ones too; of rows with an equal prefix the one
+    with the highest province, then city, counts. Each distinct number gives one row for each length that
+    occurs among the prefixes (these lengths, at most as many as the longest prefix has characters, reach the
+    driver) and meets the prefixes in one equi-join, so nothing is compared by range or pattern. An empty prefix matches every number.
+    """
+    known = regions.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_prefix")).agg(
+        F.max(F.struct("province", "city")).alias("_region")
+    )
+    lengths = [r[0] for r in known.select(F.length("_prefix")).distinct().collect()]
+    numbers = users.select(F.col(number).alias("_number")).where("_number IS NOT NULL").distinct()
+    fits = F.filter(F.array(*[F.lit(n) for n in sorted(lengths)]).cast("array<int>"), lambda n: n <= F.length("_number"))
+    tried = numbers.select("_number", F.explode(fits).alias("_length")).withColumn("_prefix", F.left("_number", F.col("_length")))
+    best = tried.join(known, "_prefix").groupBy("_number").agg(F.max(F.struct("_length", "_region")).alias("_best"))
+    return users.drop("province", "city").join(best, users[number] == best["_number"], "left").select(
+        *[c for c in users.columns if c not in ("province", "city")],
+        F.col("_best._region.province").alias("province"), F.col("_best._region.city").alias("city"),
+    )
+
+
 def user_profile(
     users: DataFrame,
     logs: DataFrame,

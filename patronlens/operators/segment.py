@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -55,18 +56,51 @@ def rank_clusters(model: KMeansModel, k: int) -> dict[int, int]:
     return {cluster: k - place for place, (cluster, _) in enumerate(_ordered(model))}
 
 
-def centers(rows: DataFrame, model: KMeansModel, columns: Sequence[str], k: int) -> DataFrame:
-    """The ``k`` centres as a table, best first."""
-    values = rank_clusters(model, k)
-    table = [(values[cluster], *centre) for cluster, centre in _ordered(model)]
+MOST_CLUSTERS = 12  # clusters that can be matched to those of a former training
+
+
+def match_clusters(model: KMeansModel, former: DataFrame, columns: Sequence[str], k: int) -> dict[int, int]:
+    """Cluster id to value: that of the centre of ``former`` it is matched to, by least total distance.
+
+    ``former`` is a table as ``centers`` makes it, at most ``MOST_CLUSTERS`` rows. So clusters that trade places in
+    the ranking, or whose centres move a little, keep their names. Clusters beyond the former ones take the
+    values from ``k`` down that are left, in their ranking. Of equally good matches the one that gives better ranks higher values counts.
+    """
+    old = sorted(((r["value"], [float(r[c]) for c in columns]) for r in former.select("value", *columns).limit(MOST_CLUSTERS + 1).collect()), reverse=True)
+    new = _ordered(model)
+    if max(len(old), len(new)) > MOST_CLUSTERS:
+        raise ValueError(f"at most {MOST_CLUSTERS} clusters can be matched")
+    spare = [v for v in range(k, 0, -1) if v not in {value for value, _ in old}]
+    places = [*old, *[(v, None) for v in spare[: max(0, len(new) - len(old))]]]
+    # Least cost of the first clusters over each set of places taken, one cluster more at a time.
+    least: dict[int, tuple[float, list[int]]] = {0: (0.0, [])}
+    for _, centre in new:
+        grown: dict[int, tuple[float, list[int]]] = {}
+        for taken, (cost, chosen) in least.items():
+            for i, (_, place) in enumerate(places):
+                if not taken >> i & 1:
+                    total = cost + (math.dist(centre, place) if place is not None else 0.0)
+                    if taken | 1 << i not in grown or total < grown[taken | 1 << i][0]:
+                        grown[taken | 1 << i] = (total, [*chosen, i])
+        least = grown
+    _, best = min(least.values(), key=lambda c: (c[0], c[1]))
+    return {cluster: places[i][0] for (cluster, _), i in zip(new, best, strict=True)}
+
+
+def centers(
+    rows: DataFrame, model: KMeansModel, columns: Sequence[str], k: int, former: DataFrame | None = None
+) -> DataFrame:
+    """The ``k`` centres as a table, best first; named by rank or, with ``former``, after those of a former training."""
+    values = rank_clusters(model, k) if former is None else match_clusters(model, former, columns, k)
+    table = sorted(((values[cluster], *centre) for cluster, centre in _ordered(model)), reverse=True)
     schema = "value int, " + ", ".join(f"{c} double" for c in columns)
     return rows.sparkSession.createDataFrame(table, schema)
 
 
 def kmeans_segment(
-    scores: DataFrame, columns: Sequence[str], k: int, key: str = "memberId", **options
+    scores: DataFrame, columns: Sequence[str], k: int, key: str = "memberId", former: DataFrame | None = None, **options
 ) -> DataFrame:
-    """(key, value) where value ``k`` is the best-scoring cluster.
+    """(key, value) where value ``k`` is the best-scoring cluster, or the one nearest to the ``former`` one of that value.
 
     Scores are settled first, so the orders behind them are read once and not again
     for the assignment.
@@ -74,7 +108,7 @@ def kmeans_segment(
     scores = settle(scores)
     model = fit(scores, columns, k, **options)
     assigned = model.transform(assemble(scores, columns))
-    return assigned.select(key, decode("cluster", rank_clusters(model, k)).alias("value"))
+    return assigned.select(key, decode("cluster", rank_clusters(model, k) if former is None else match_clusters(model, former, columns, k)).alias("value"))
 
 
 def segment_centers(scores: DataFrame, columns: Sequence[str], k: int, **options) -> DataFrame:

@@ -9,6 +9,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from patronlens.operators.lineage import settle
+
+STRETCH = 200_000  # rows of a group that share a prefix before it is made longer
+
 
 def _stand_in(kind: T.DataType) -> Column:
     """Any value of a type, to fill nulls that a flag beside it tells apart."""
@@ -39,6 +43,7 @@ def place(
     order: Sequence[str],
     slice_by: Column,
     weight: Column | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Number the rows of each group in ascending ``order``.
 
@@ -50,19 +55,21 @@ def place(
     Rows are only ever sorted inside one stretch; the stretches are then chained by
     one small row each. So a group holding a third of the table is spread over as
     many tasks as it has stretches. ``rows`` are read twice: settle them first when
-    they are costly to compute.
+    they are costly to compute, or hand over ``counted``, any aggregate of them that has ``keys``,
+    ``_slice``, ``_weight`` (sum) and the first order column (its least value); then they are read once.
     """
     first = order[0]
     cut = rows.withColumns(
         {"_weight": F.lit(1).cast("bigint") if weight is None else weight, "_slice": slice_by}
     )
     cut, stretch = _solid(cut, [*keys, "_slice"])
+    sums = cut if counted is None else _solid(counted, [*keys, "_slice"])[0]
     owner, place_in_owner = stretch[:-2], [F.desc(stretch[-1]), F.asc(stretch[-2])]  # null slice first
 
     group = W.partitionBy(*owner)
     chain = group.orderBy(*place_in_owner)
     stretches = (
-        cut.groupBy(*stretch)
+        sums.groupBy(*stretch)
         .agg(F.sum("_weight").alias("_sum"), F.min(first).alias("_first"))
         .select(
             *stretch,
@@ -86,3 +93,34 @@ def place(
         "total",
         F.when(F.col("_more"), F.col("_next")).otherwise(F.col("_next_first")).alias("following"),
     )
+
+
+def with_stretch(
+    rows: DataFrame, keys: Sequence[str], column: str, output: str = "_stretch", shortest: int = 2, bound: int = STRETCH
+) -> DataFrame:
+    """Add ``output``, a prefix of the text ``column`` that cuts groups into stretches of at most ``bound`` rows.
+
+    Prefixes have ``shortest`` characters and are doubled only where more than ``bound`` rows of a group
+    share them, level by level, so names with any common beginning are cut as finely as others; only rows with
+    one and the same text stay together. The prefix never falls as the text rises. Only whether a level has
+    stretches above the bound reaches the driver; where the first has none, nothing is joined.
+    """
+    size = shortest
+    done = rows.withColumn(output, F.left(column, F.lit(size)))
+    while True:
+        shared = [*keys, output]
+        # A text that is no longer than its prefix can't be cut further.
+        longer = F.length(column) > size
+        heavy = settle(
+            done.where(longer).groupBy(*shared).agg(F.count(F.lit(1)).alias("_n"), F.min(column).alias("_least"), F.max(column).alias("_most"))
+            .where((F.col("_n") > bound) & (F.col("_least") < F.col("_most"))).select(*shared)
+        )
+        if heavy.isEmpty():
+            return done
+        size *= 2
+        solid, names = _solid(done, shared)
+        marks = _solid(heavy, shared)[0].select(*names, F.lit(True).alias("_heavy"))
+        deeper = F.when(F.col("_heavy"), F.left(column, F.lit(size))).otherwise(F.col(output))
+        done = settle(
+            solid.join(marks, names, "left").select(*rows.columns, deeper.alias(output))
+        )

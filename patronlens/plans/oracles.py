@@ -197,6 +197,35 @@ ORACLES["region_display"] = _sql("u r", """
 SELECT id, coalesce(province, '查询失败') AS province, coalesce(city, province, '查询失败') AS city
 FROM u LEFT JOIN r ON blacklisted = '0' AND u.region_key = r.region_key""")
 
+ORACLES["region_by_prefix"] = """
+WITH areas AS (
+  SELECT '13' || lpad(CAST(r_regionkey AS VARCHAR), 6, '0') AS prefix, r_name AS province, r_name AS city FROM region
+  UNION ALL
+  SELECT '13' || lpad(CAST(n_nationkey AS VARCHAR), 7, '0'), r_name, n_name FROM nation JOIN region ON n_regionkey = r_regionkey
+  UNION ALL
+  SELECT '13' || lpad(CAST(s_suppkey AS VARCHAR), 8, '0'), n_name, s_name
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey % 3 = 0
+), numbers AS (
+  SELECT c_custkey AS id, '13' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS mobile FROM customer
+)
+SELECT id, mobile, province, city FROM numbers LEFT JOIN areas ON starts_with(mobile, prefix)
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY length(prefix) DESC NULLS LAST) = 1"""
+_TEXTS = """
+WITH raw AS (
+  SELECT o_orderkey AS id, CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey END AS member,
+    CASE WHEN o_orderkey % 7 > 1 THEN datediff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) * 86400 END AS finished,
+    CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice END AS amount
+  FROM orders)"""
+ORACLES["ingest_orders"] = _TEXTS + """
+SELECT id, member AS "memberId", CAST(finished AS BIGINT) AS finished, amount, nullif(concat_ws(',', CASE WHEN member IS NULL THEN 'memberId' END,
+  CASE WHEN id % 11 = 0 THEN 'modified' END, CASE WHEN id % 7 = 0 THEN 'finishTime' END,
+  CASE WHEN amount IS NULL THEN 'orderAmount' END), '') AS lost FROM raw"""
+ORACLES["ingest_losses"] = _TEXTS + """
+SELECT unnest(['rows', 'memberId', 'modified', 'finishTime', 'orderAmount', 'id', 'orderSn', 'orderStatus', 'paymentStatus', 'paymentName',
+    'productAmount', 'couponCodeValue', 'giftCardAmount']) AS item,
+  unnest([count(*), count(*) FILTER (id % 5 = 0), count(*) FILTER (id % 11 = 0), count(*) FILTER (id % 7 = 0), count(*) FILTER (id % 3 = 0),
+    0, 0, 0, 0, 0, 0, 0, 0]) AS n FROM raw"""
+
 # --- orders ----------------------------------------------------------------
 
 _DONE = """,

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from patronlens.functions import rules
 from patronlens.functions.keys import member_key
 from patronlens.operators import activity, baskets, lineage, lookup, order_state, orders, profile, recommend, reports, segment
+from patronlens.sources import tables
 from patronlens.sources.standins import LOGS_AS_OF, ORDERS_AS_OF, StandIns
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,6 +114,28 @@ def region_display(x):
     return shown
 
 
+@_query
+def region_by_prefix(x):
+    """Area of each user's number by the longest prefix known."""
+    return profile.with_prefix_region(x.users.select("id", "mobile"), x.prefixes)
+
+
+@_query
+def ingest_orders(x):
+    """Orders typed from text, with what each row lost."""
+    typed, rejects, _ = tables.ingest(x.orders_as_text, "tbl_orders")
+    told = rejects.select("id", F.array_join("lost", ",").alias("lost"))
+    rows = typed.select("id", "memberId", F.col("finishTime").cast("bigint").alias("finished"), F.col("orderAmount").alias("amount"))
+    return _doubles(rows.join(told, "id", "left"), "amount")
+
+
+@_query
+def ingest_losses(x):
+    """Rows read, and values of each column that could not be."""
+    _, _, losses = tables.ingest(x.orders_as_text, "tbl_orders")
+    return x.spark.createDataFrame(sorted(losses.items()), "item string, n bigint")
+
+
 @_query
 def member_key_spend(x):
     """Completed spend per three-digit member suffix: members sharing a suffix are merged."""

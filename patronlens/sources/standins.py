@@ -19,6 +19,7 @@ SCHEMAS = {
     " o_orderdate timestamp_ntz, o_orderpriority string",
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_extendedprice double, l_discount double, l_tax double,"
     " l_returnflag string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
     "part": "p_partkey bigint, p_name string, p_type string",
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string",
 }
@@ -157,3 +158,31 @@ class StandIns:
     @cached_property
     def provinces(self) -> DataFrame:
         return self._table("region").select(F.col("r_name").alias("map_name"))
+
+    @cached_property
+    def prefixes(self) -> DataFrame:
+        """Areas of mobile numbers by prefixes of three lengths, nested in one another."""
+        begin = lambda c, n: F.concat(F.lit("13"), F.lpad(F.col(c).cast("string"), n, "0")).alias("region_key")
+        named = lambda rows, c, n, province, city: rows.select(
+            begin(c, n), F.col(province).alias("province"), F.col(city).alias("city")
+        )
+        nation, region = self._table("nation"), self._table("region")
+        wide = named(region, "r_regionkey", 6, "r_name", "r_name")
+        narrow = named(nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")), "n_nationkey", 7, "r_name", "n_name")
+        offices = self._table("supplier").where("s_suppkey % 3 = 0").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        return wide.unionByName(narrow).unionByName(named(offices, "s_suppkey", 8, "n_name", "s_name"))
+
+    @cached_property
+    def orders_as_text(self) -> DataFrame:
+        """Orders as text, some values of which can't be read."""
+        key, text = F.col("o_orderkey"), lambda c: F.col(c).cast("string")
+        seconds = (F.datediff("o_orderdate", F.lit("1970-01-01").cast("date")).cast("bigint") * 86400).cast("string")
+        money = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+        return self._table("orders").select(
+            text("o_orderkey").alias("id"),
+            F.when(key % 5 == 0, F.concat(F.lit("x"), text("o_custkey"))).otherwise(text("o_custkey")).alias("memberId"),
+            text("o_orderstatus").alias("orderStatus"),
+            F.when(key % 7 == 0, "soon").when(key % 7 != 1, seconds).alias("finishTime"),
+            F.when(key % 3 == 0, F.concat(money, F.lit(" EUR"))).otherwise(money).alias("orderAmount"),
+            F.when(key % 11 == 0, "1998-02-30 00:00:00").otherwise("1998-02-28 00:00:00").alias("modified"),
+        )

@@ -7,11 +7,11 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patronlens.operators.lineage import own_name
+from patronlens.operators.lineage import own_name, settle
 from patronlens.operators.topk import top_rows
 
 _MONEY = T.DecimalType(38, 10)  # wide enough for every amount as it was written
@@ -61,9 +61,7 @@ def read(
     return frame.select(*columns) if columns else frame
 
 
-def conform(raw: DataFrame, name: str) -> DataFrame:
-    """Type an all-text table once, at the door; unreadable values become null."""
-
+def _typed(raw: DataFrame, name: str) -> list[Column]:
     def typed(field: T.StructField):
         if field.name not in raw.columns:
             return F.lit(None).cast(field.dataType).alias(field.name)
@@ -78,7 +76,34 @@ def conform(raw: DataFrame, name: str) -> DataFrame:
             value = value.cast("string").try_cast(field.dataType)
         return value.alias(field.name)
 
-    return raw.select(*[typed(field) for field in SCHEMAS[name]])
+    return [typed(field) for field in SCHEMAS[name]]
+
+
+def conform(raw: DataFrame, name: str) -> DataFrame:
+    """Type an all-text table once, at the door; unreadable values become null."""
+    return raw.select(*_typed(raw, name))
+
+
+def ingest(raw: DataFrame, name: str) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Type an all-text table and tell what it lost: (typed rows, rejects, losses by column).
+
+    A value is lost when it is there and can't be read as its column's type. Rejects are the typed rows that lost
+    something, with ``lost`` (names of the columns, in their order) and ``raw`` (the row as it came, as JSON).
+    The losses, and ``rows`` for the number of rows, are counted by ``DataFrame.observe`` in the pass that
+    writes the typed table to the shared folder; the input is read once. Absent columns lose nothing.
+    """
+    fields = SCHEMAS[name].fieldNames()
+    columns = dict(zip(fields, _typed(raw, name), strict=True))
+    unread = [F.when(F.col(c).isNotNull() & columns[c].isNull(), F.lit(c)) for c in fields if c in raw.columns]
+    lost = F.array_compact(F.array(*unread, F.lit(None).cast("string")))
+    whole = raw.select(
+        *columns.values(), lost.alias("lost"),
+        F.when(F.size(lost) > 0, F.to_json(F.struct(*raw.columns), {"ignoreNullFields": "false"})).alias("raw"),
+    )
+    seen = Observation()
+    counts = [F.count_if(F.array_contains("lost", c)).alias(c) for c in fields]
+    table = settle(whole.observe(seen, F.count(F.lit(1)).alias("rows"), *counts))
+    return table.select(*fields), table.where(F.size("lost") > 0), dict(seen.get)
 
 
 def regions_from_json(raw: DataFrame, key: str = "region_key", body: str = "body") -> DataFrame:
