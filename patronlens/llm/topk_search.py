@@ -1,21 +1,23 @@
-"""Exact BM25 top-k of stated queries: an inverted index per shard with block-max pruning, merged exactly.
+"""Exact BM25 top-k of stated queries: an inverted index per shard, block-max WAND, merged exactly.
 
-Documents are dealt into shards and queries into blocks; a task holds one of each, inverts its
-shard and answers its queries. Document frequencies, document count and mean length are those of
-all documents, so scores of different shards compare and the best k of every shard contain the best
-k of all.
+Documents are dealt into shards. Each shard is one sorted stream, documents first, then queries: the task
+turns documents into postings as they come, keeps no text, and answers the queries one by one. Document
+frequencies, document count and mean length are those of all documents, so scores of different shards
+compare and the best k of every shard contain the best k of all.
 
-Pruning follows WAND with block maxima. Rare lists are the essential ones: their sums give
-candidates, the most promising of which are scored in full and set the threshold. A
-document can only pass if its sum plus the largest contributions that the frequent lists
-make anywhere in its block of ``BLOCK`` documents reach the threshold; only those are
-scored in full. Nothing that could tie with the k-th best is passed over.
+Lists keep the largest contribution in the whole shard and in each block of ``BLOCK`` documents. Per query, lists are
+ordered by their largest contribution; the pivot is the first at which these add up to the
+threshold, the k-th best score so far. A document that only lists before the pivot hold can't pass, so those lists
+give no candidates. Blocks are visited from the highest sum of block maxima down, and none whose
+sum stays below the threshold; in a visited one the lists from the pivot on give candidates, and the lists before it are
+read only in blocks where a candidate can still pass. Nothing that could tie with the k-th best is passed over.
 
 Words are lower-cased in A-Z; a query is the whole text of its row, each distinct word weighted
 by its count. score = sum of count * ln(1 + (N - df + 0.5) / (df + 0.5)) * tf * (K1 + 1) / (tf + K1 * (1 - B +
 B * length / mean length)).
 
-Defined results: a null text has no words, matches nothing and as a query finds nothing; only
+Defined results: a null text has no words, matches nothing and as a query finds nothing; a query without an id
+can't be named in the result and is left out, a document without one is found; only
 documents that share a word with the query are found; ties go to the smaller doc_id, a null
 one last; rows that repeat are found as rows of their own, and are one query; an empty
 table gives no rows.
@@ -38,10 +40,9 @@ from patronlens.operators.lineage import settle
 K = 10
 K1, B = 1.2, 0.75
 SHARD = 16_384  # documents of a shard, on average
-QUERIES = 8_192  # queries of a block
-BLOCK = 64  # documents whose largest contributions are kept for a list
-FREQUENT = 1 / 16  # share of a shard's documents above which a list counts as frequent
-PROMISING = 32  # candidates that set the threshold
+BLOCK = 16  # documents whose largest contributions are kept for a list
+VISIT = 8  # blocks visited at first before the threshold is raised; twice as many each time
+SLACK = 1e-9  # relative error of sums that is allowed for before anything is passed over
 
 
 def bags(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -53,34 +54,51 @@ def bags(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
             yield a + i, *np.unique(hashes[words.of(i)], return_counts=True)
 
 
-class Index:
-    """Inverted lists of a shard."""
-
-    def __init__(self, texts: pa.Array, mean: float):
-        terms, docs, counts, self.n = [], [], [], len(texts)
-        lengths = np.zeros(self.n)
-        for i, own, times in bags(texts):
-            terms.append(own)
-            docs.append(np.full(len(own), i, dtype=np.int32))
-            counts.append(times)
+def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """All places from each start to its end, one range after the other."""
+    sizes = ends - starts
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
+class Postings:
+    """Postings of a shard as its documents stream by."""
+
+    def __init__(self) -> None:
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.lengths: list[np.ndarray] = []
+        self.n = 0
+
+    def add(self, texts: pa.Array) -> None:
+        own, lengths = [], np.zeros(len(texts))
+        for i, terms, times in bags(texts):
+            own.append((terms, np.full(len(terms), self.n + i, dtype=np.int32), times.astype(np.int32)))
             lengths[i] = times.sum()
-        term, doc, tf = (np.concatenate([*parts, np.empty(0, kind)]) for parts, kind in ((terms, np.int64), (docs, np.int32), (counts, np.int64)))
+        self.parts.append(tuple(np.concatenate(c) for c in zip(*own)) if own else tuple(np.empty(0, t) for t in (np.int64, np.int32, np.int32)))
+        self.lengths.append(lengths)
+        self.n += len(texts)
+
+
+class Index:
+    """Inverted lists of a shard with their block maxima. ``read`` counts the postings that queries read, ``held`` those of their lists."""
+
+    def __init__(self, found: Postings, mean: float):
+        term, doc, tf = (np.concatenate(c) for c in zip(*found.parts))
+        found.parts = []
         order = np.argsort(term, kind="stable")  # lists by term, each by document
-        self.doc, tf = doc[order].astype(np.int32), tf[order]
-        self.terms, starts = np.unique(term[order], return_index=True)
-        self.bounds = np.append(starts, len(term))
+        term, self.doc, tf = term[order], doc[order], tf[order]
+        self.n, self.read, self.held = found.n, 0, 0
+        lengths = np.concatenate(found.lengths)
         self.impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[self.doc] / max(mean, 1e-9)))
-        sizes = np.diff(self.bounds)
-        self.frequent = np.flatnonzero(sizes > max(self.n * FREQUENT, 1))
-        self.row = np.full(len(self.terms), -1)
-        self.row[self.frequent] = np.arange(len(self.frequent))
-        blocks = -(-self.n // BLOCK)
-        dense = np.zeros((len(self.frequent), blocks * BLOCK))
-        for r, t in enumerate(self.frequent):
-            own = slice(self.bounds[t], self.bounds[t + 1])
-            dense[r, self.doc[own]] = self.impact[own]
-        self.dense = dense
-        self.block_max = dense.reshape(len(self.frequent), blocks, BLOCK).max(axis=2) if blocks else np.zeros((len(self.frequent), 0))
+        begins = np.append(True, term[1:] != term[:-1])[: len(term)]
+        self.terms = term[begins]
+        # One entry for each block in which a list has documents.
+        entry = begins | np.append(True, self.doc[1:] // BLOCK != self.doc[:-1] // BLOCK)[: len(term)]
+        at = np.flatnonzero(entry)
+        self.starts = np.append(at, len(term))
+        self.block = self.doc[at] // BLOCK
+        self.block_max = np.maximum.reduceat(self.impact, at) if len(at) else np.empty(0)
+        self.lists = np.append(np.flatnonzero(begins[at]), len(at))
+        self.most = np.maximum.reduceat(self.block_max, self.lists[:-1]) if len(at) else np.empty(0)
 
     def best(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Documents and scores of at least the best ``k``, ties with the last one included."""
@@ -88,22 +106,64 @@ class Index:
         known = at < len(self.terms)
         known[known] = self.terms[at[known]] == terms[known]
         at, weights = at[known], weights[known]
-        frequent = self.row[at] >= 0
-        rows, row_weights = self.row[at[frequent]], weights[frequent]
-        rare = at[~frequent]
-        sizes = self.bounds[rare + 1] - self.bounds[rare]
-        places = np.repeat(self.bounds[rare] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-        sums = np.bincount(self.doc[places], np.repeat(weights[~frequent], sizes) * self.impact[places], self.dense.shape[1])
-        bound = sums + np.repeat(row_weights @ self.block_max[rows], BLOCK)
-        promising = np.argpartition(bound, -PROMISING)[-PROMISING:] if len(bound) > PROMISING else np.arange(len(bound))
-        first = sums[promising] + row_weights @ self.dense[np.ix_(rows, promising)]
-        threshold = np.sort(first)[-k] if len(first) >= k else 0.0
-        left = np.flatnonzero((bound >= threshold * (1 - 1e-9)) & (bound > 0))
-        scores = sums[left] + row_weights @ self.dense[np.ix_(rows, left)]
-        if len(scores) > k:
-            threshold = np.partition(scores, -k)[-k]
-        found = scores >= max(threshold * (1 - 1e-12), 1e-12)
-        return left[found], scores[found]
+        order = np.argsort(weights * self.most[at])
+        at, weights = at[order], weights[order]
+        if not len(at):
+            return np.empty(0, np.int64), np.empty(0)
+        reach = np.cumsum(weights * self.most[at])
+        entries = _ranges(self.lists[at], self.lists[at + 1])
+        rank = np.repeat(np.arange(len(at)), self.lists[at + 1] - self.lists[at])  # place of its list in the order
+        block, weight = self.block[entries], weights[rank]
+        most = weight * self.block_max[entries]
+        self.held += int((self.starts[self.lists[at + 1]] - self.starts[self.lists[at]]).sum())
+        blocks = -(-self.n // BLOCK)
+        bound = np.bincount(block, most, blocks)
+        queue = np.argsort(-bound)
+        queue = queue[: np.count_nonzero(bound)]
+        docs, scores, threshold, done, visit = np.empty(0, np.int64), np.empty(0), 0.0, 0, VISIT
+        while done < len(queue):
+            live = queue[done : done + visit]
+            live = live[bound[live] >= threshold * (1 - SLACK)]
+            if not len(live):
+                break
+            done, visit = done + visit, visit * 2
+            pivot = int(np.searchsorted(reach, threshold * (1 - SLACK)))
+            visited = np.zeros(blocks, dtype=bool)
+            visited[live] = True
+            mine = visited[block]
+            late = mine & (rank >= pivot)
+            sums = self._sums(entries[late], weight[late])
+            early = mine & ~late
+            rest = np.bincount(block[early], most[early], blocks)
+            able = (sums > 0) & (sums + np.repeat(rest, BLOCK)[: len(sums)] >= threshold * (1 - SLACK))
+            if early.any():
+                open_ = np.zeros(blocks, dtype=bool)
+                open_[np.flatnonzero(able) // BLOCK] = True
+                early &= open_[block]
+                sums += self._sums(entries[early], weight[early])
+            found = np.flatnonzero(able)
+            docs, scores = np.concatenate([docs, found]), np.concatenate([scores, sums[found]])
+            if len(scores) > k:
+                threshold = np.partition(scores, -k)[-k]
+                keep = scores >= threshold * (1 - SLACK)
+                docs, scores = docs[keep], scores[keep]
+            elif len(scores) == k:
+                threshold = scores.min()
+        # Summed anew in the order of the terms, so that equal texts have equal scores in every block and shard.
+        order = np.argsort(self.terms[at])
+        at, weights = at[order], weights[order]
+        entries = _ranges(self.lists[at], self.lists[at + 1])
+        weight = np.repeat(weights, self.lists[at + 1] - self.lists[at])
+        own = np.zeros(blocks, dtype=bool)
+        own[docs // BLOCK] = True
+        mine = own[self.block[entries]]
+        return docs, self._sums(entries[mine], weight[mine])[docs]
+
+    def _sums(self, entries: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        starts, ends = self.starts[entries], self.starts[entries + 1]
+        places = _ranges(starts, ends)
+        self.read += len(places)
+        return np.bincount(self.doc[places], np.repeat(weights, ends - starts) * self.impact[places], self.n)
 
 
 def search(docs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
@@ -138,33 +198,48 @@ def search(docs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         .agg(F.collect_list(F.struct("term", weight.alias("weight"))).alias("terms"))
         .select("k1", "k2", "query_id", F.col("terms.term").alias("terms"), F.col("terms.weight").alias("weights"))
     )
-    blocks = max(1, math.ceil(weighted.count() / QUERIES))
-
-    def answer(shard: pa.Table, block: pa.Table) -> pa.Table:
-        if not shard.num_rows or not block.num_rows:
-            return _FOUND.empty_table()
-        index = Index(shard.column("text").combine_chunks(), mean)
-        ids, keys = shard.column("doc_id"), shard.column("row")
-        out = []
-        for i in range(block.num_rows):
-            terms, weights = (np.asarray(block.column(c)[i].values) for c in ("terms", "weights"))
-            found, scores = index.best(terms, weights, k)
-            one = lambda c: pa.array([block.column(c)[i].as_py()] * len(found), pa.int64())
-            take = pa.array(found)
-            out.append(pa.table(
-                [one("k1"), one("k2"), one("query_id"), ids.take(take), keys.take(take), pa.array(scores)], schema=_FOUND
-            ))
-        return pa.concat_tables(out)
 
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, found, index, ids, rows = None, Postings(), None, [], []
+        for batch in batches:
+            numbers, tags = (batch.column(c).to_numpy() for c in ("shard", "tag"))
+            cuts = np.flatnonzero((numbers[1:] != numbers[:-1]) | (tags[1:] != tags[:-1])) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(numbers)]):
+                if a == b:
+                    continue
+                part = batch.slice(a, b - a)
+                if numbers[a] != shard:
+                    shard, found, index, ids, rows = numbers[a], Postings(), None, [], []
+                if tags[a] == 0:
+                    found.add(part.column("text"))
+                    ids.append(part.column("id"))
+                    rows.append(part.column("k1"))
+                    continue
+                if not found.n:
+                    continue  # a shard without documents
+                if index is None:
+                    index, ids, rows = Index(found, mean), pa.concat_arrays(ids), pa.concat_arrays(rows)
+                out = []
+                for i in range(part.num_rows):
+                    terms, weights = (np.asarray(part.column(c)[i].values) for c in ("terms", "weights"))
+                    docs_, scores = index.best(terms, weights, k)
+                    one = lambda c: pa.array([part.column(c)[i].as_py()] * len(docs_), pa.int64())  # noqa: B023, E731
+                    out.append(pa.record_batch(
+                        [one("k1"), one("k2"), one("id"), ids.take(pa.array(docs_)), rows.take(pa.array(docs_)), pa.array(scores)], schema=_FOUND
+                    ))
+                yield from out
+
+    none = lambda kind: F.lit(None).cast(kind)
     dealt = docs.select(
-        "doc_id", "text", F.xxhash64("doc_id", "text").alias("row"), F.pmod(F.xxhash64("text", "doc_id"), F.lit(shards)).cast("int").alias("shard")
-    ).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    sent = weighted.withColumn("block", F.pmod("k1", F.lit(blocks)).cast("int")).withColumn(
-        "shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
+        F.pmod(F.xxhash64("text", "doc_id"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("tag"), F.col("doc_id").cast("long").alias("id"),
+        F.xxhash64("doc_id", "text").alias("k1"), none("long").alias("k2"), "text", none("array<long>").alias("terms"), none("array<double>").alias("weights"),
     )
-    found = dealt.groupBy("shard", "block").cogroup(sent.groupBy("shard", "block")).applyInArrow(
-        answer, "k1 long, k2 long, query_id long, doc_id long, row long, score double"
+    sent = weighted.select(
+        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("tag"), F.col("query_id").alias("id"),
+        "k1", "k2", none("string").alias("text"), "terms", "weights",
     )
+    stream = dealt.unionByName(sent).repartition(shards, "shard").sortWithinPartitions("shard", "tag")
+    found = stream.mapInArrow(answer, "k1 long, k2 long, query_id long, doc_id long, row long, score double")
     order = Window.partitionBy("k1", "k2").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last(), "row")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
 

@@ -5,6 +5,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from compare import SMALL
 
@@ -50,16 +52,15 @@ def compare(found, expected):
             assert [r[1] for r in rows] == [i for i, _ in expected[q]]
 
 
-@pytest.mark.parametrize("shard,block,frequent", [(16_384, 64, 1 / 16), (40, 4, 1 / 3), (25, 8, 2.0)])
-def test_equals_scoring_everything(spark, monkeypatch, shard, block, frequent):
+@pytest.mark.parametrize("shard,block,visit", [(16_384, 64, 8), (40, 4, 1), (25, 8, 2), (16_384, 4, 1)])
+def test_equals_scoring_everything(spark, monkeypatch, shard, block, visit):
     monkeypatch.setattr(ts, "SHARD", shard)
-    monkeypatch.setattr(ts, "QUERIES", 7)
+    monkeypatch.setattr(ts, "VISIT", visit)
     rnd = random.Random(shard)
     words = [f"w{int(rnd.paretovariate(0.7))}" for _ in range(4000)]
     rows = [(i, " ".join(rnd.choices(words, k=rnd.randint(0, 60)))) for i in range(150)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     monkeypatch.setattr(ts, "BLOCK", block)
-    monkeypatch.setattr(ts, "FREQUENT", frequent)
     queries = docs.where("doc_id % 7 = 0")
     compare(ts.search(docs, queries, 5).collect(), brute(rows, [r for r in rows if r[0] % 7 == 0], 5))
 
@@ -80,3 +81,39 @@ def test_odd_rows(spark):
     assert by[5] == [5]
     assert ts.search(docs.limit(0), docs.limit(0)).count() == 0
     assert ts.search(docs, docs.limit(0)).count() == 0
+
+
+def test_query_without_id_is_left_out(spark):
+    rows = spark.createDataFrame([(None, "a b"), (1, "a")], "doc_id long, text string")
+    assert [(r.query_id, r.doc_id) for r in ts.search(rows, rows, 2).orderBy("rank").collect()] == [(1, 1), (1, None)]
+
+
+def test_most_postings_of_frequent_words_are_passed_over():
+    rnd = random.Random(5)
+    words = [f"w{int(rnd.paretovariate(0.6))}" for _ in range(40_000)]
+    texts = [" ".join(rnd.choices(words, k=rnd.randint(20, 200))) for _ in range(4_000)]
+    found = ts.Postings()
+    for a in range(0, len(texts), 1_000):
+        found.add(pa.array(texts[a : a + 1_000]))
+    index = ts.Index(found, sum(len(t.split()) for t in texts) / len(texts))
+    for terms, times in [(t, n) for _, t, n in ts.bags(pa.array([" ".join(rnd.choices(words, k=6)) for _ in range(50)]))]:
+        at = np.searchsorted(index.terms, terms)
+        df = index.starts[index.lists[at + 1]] - index.starts[index.lists[at]]
+        weights = times * np.log(1 + (index.n - df + 0.5) / (df + 0.5))
+        docs, scores = index.best(terms, weights, 10)
+        places = [slice(index.starts[index.lists[t]], index.starts[index.lists[t + 1]]) for t in at]
+        whole = sum(w * np.bincount(index.doc[p], index.impact[p], index.n) for w, p in zip(weights, places))
+        assert sorted(scores)[-10:] == pytest.approx(sorted(whole)[-10:])
+        assert whole[docs] == pytest.approx(scores)
+    assert index.read < index.held / 2
+
+
+def test_equal_texts_go_by_id(spark, monkeypatch):
+    monkeypatch.setattr(ts, "SHARD", 30)
+    monkeypatch.setattr(ts, "BLOCK", 4)
+    monkeypatch.setattr(ts, "VISIT", 1)
+    rnd = random.Random(9)
+    texts = [" ".join(f"w{int(rnd.paretovariate(0.8))}" for _ in range(40)) for _ in range(8)]
+    docs = spark.createDataFrame([(i, texts[i * 7 % 8]) for i in range(200)], "doc_id long, text string").repartition(4)
+    for r in ts.search(docs, docs.where("doc_id < 8"), 10).groupBy("query_id").agg({"doc_id": "collect_list"}).toDF("q", "ids").collect():
+        assert sorted(r.ids) == [i for i in range(200) if i % 8 == r.q % 8][:10]
