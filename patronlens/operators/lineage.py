@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 import warnings
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,15 +34,35 @@ def new_folder(spark: SparkSession, kind: str = "table") -> str:
     return path
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What is written inside leaves no shuffle files: they go when the write ends.
+
+    Else they stay until the driver collects its garbage, and the steps of a long job add up on the disks. An
+    executor lost during the write costs what it always costs; afterwards the written table is there and the files are of no use.
+    The session gets its own setting back.
+    """
+    former = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, former)
+
+
 def settle(rows: DataFrame) -> DataFrame:
     """Write ``rows`` once to the shared folder and go on from the written table.
 
     For frames that are costly to compute and used more than once. The table outlives
-    lost executors, is read column by column, and its size is known to the planner.
+    lost executors, is read column by column, and its size is known to the planner. Its shuffle files go at once.
     """
     spark = rows.sparkSession
     path = new_folder(spark)
-    rows.write.parquet(path)
+    with shuffles_dropped(spark):
+        rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
