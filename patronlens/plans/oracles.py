@@ -701,3 +701,6 @@ UNION ALL SELECT unnest(['repeats', 'misprinted', 'unknown', 'strangers']), 0"""
 # Merged batches give what one run over all orders gives.
 ORACLES["consumer_profile_merged"] = ORACLES["consumer_profile_scaled"]
 ORACLES["rfm_metrics_merged"] = ORACLES["rfm_metrics"]
+
+# Users of the fit get their own factors back, so none strays.
+ORACLES["recommend_products_folded_audit"] = ORACLES["recommend_products_audit"] + " UNION ALL SELECT 'strayed', 0"

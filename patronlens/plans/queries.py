@@ -780,3 +780,9 @@ def recommend_brands_audit(x):
     ratings = baskets.brand_ratings(x.users, x.orders, x.goods, rules.BRAND_CODES_SCALED)
     ratings = ratings.withColumn("user_id", F.col("user_id") + 10_000_000_000)
     return recommend.recommend_audit(ratings, recommend.recommend(ratings, "brand", rules.TOP_BRANDS), "brand", rules.TOP_BRANDS)
+
+
+@_query
+def recommend_products_folded_audit(x):
+    """Lists of users whose factors come from the stored item factors alone."""
+    return recommend.fold_audit(recommend.product_ratings(x.logs), "product", rules.TOP_PRODUCTS)

@@ -131,6 +131,44 @@ def test_scored_items_match_the_factors(spark):
         assert all(score[i] >= third - 1e-4 for i in row["items"])
 
 
+def test_users_of_the_fit_get_their_factors_back_and_new_ones_get_lists(spark):
+    ratings = recommend.product_ratings(StandIns(spark, "/root/testdata/sf0.001").logs)
+    model = recommend.fit(ratings, "product", iterations=3)
+    own = {r["id"]: np.array(r["features"]) for r in model.userFactors.collect()}
+    again = {r["id"]: np.array(r["features"]) for r in recommend.fold_in(model, ratings).userFactors.collect()}
+    assert own.keys() == again.keys()
+    assert all(np.abs(own[u] - again[u]).max() <= 1e-3 * np.abs(own[u]).max() for u in own)
+    product = ratings.orderBy("product").first()["product"]
+    strangers = spark.createDataFrame(
+        [(900_001, product, 3), (900_001, -5, 7), (900_002, -5, 1), (900_003, product, 0), (None, product, 1), (900_004, None, 2), (900_005, product, None)],
+        "user_id long, product long, rating long",
+    )
+    folded = recommend.fold_in(model, strangers)
+    assert [r["id"] for r in folded.userFactors.collect()] == [900_001]
+    # The one new user solves (Y'Y + c y y' + reg) x = (1 + c) y.
+    item = {r["id"]: np.array(r["features"], dtype=float) for r in model.itemFactors.collect()}
+    every, y, c = np.array(list(item.values())), item[product], rules.ALS_ALPHA * 3
+    right = np.linalg.solve(every.T @ every + c * np.outer(y, y) + rules.ALS_REGULARISATION * np.eye(rules.ALS_RANK), (1 + c) * y)
+    assert np.allclose(folded.userFactors.first()["features"], right, rtol=1e-3, atol=1e-5)
+    assert len(recommend.top_items(folded, 4).first()["items"]) == 4
+    assert recommend.top_items(recommend.fold_in(model, strangers.where("false")), 4).count() == 0
+
+
+def test_folding_takes_ids_of_any_size_and_heavy_users_and_items(spark):
+    ratings = recommend.product_ratings(StandIns(spark, "/root/testdata/sf0.001").logs)
+    named = ratings.selectExpr("concat('u', user_id) AS user_id", "product + 5000000000 AS product", "rating")
+    model, _, items = recommend.train(named, "product", iterations=2)
+    first = named.orderBy("product").first()["product"]
+    fresh = named.selectExpr("'heavy' AS user_id", "product", "rating").unionByName(
+        named.selectExpr("concat(user_id, '+') AS user_id", f"{first} AS product", "rating")
+    ).unionByName(named.selectExpr("'unknown' AS user_id", "7L AS product", "1L AS rating"))
+    best = {r["id"]: r["items"] for r in recommend.recommend_folded(model, items, fresh, "product", 3).collect()}
+    users = {f"{r[0]}+" for r in named.select("user_id").distinct().collect()}
+    assert best.keys() == users | {"heavy"}
+    known = {r[0] for r in named.select("product").distinct().collect()}
+    assert all(len(set(found)) == 3 and set(found) <= known for found in best.values())
+
+
 def test_rfm_constants():
     assert (rules.RFM_CLUSTERS, rules.KMEANS_SEED, rules.KMEANS_ITERATIONS) == (7, 100, 2)
     assert ORDERS_AS_OF == "2001-08-02"
