@@ -1,14 +1,17 @@
 """Main text of web pages: structure first, repeated runs of the host for the rest.
 
-A tolerant reader cuts a page into blocks. What lies inside an article or inside ``main``
-is its main text and stays as it is, also where other pages repeat it.
-Menus, headers, footers, sidebars, notices, adverts, forms and comments are told by their
-elements, classes and roles. The blocks of a page without an article that are neither are
+A tolerant reader cuts a page into blocks. Menus, headers, footers, sidebars, notices, adverts,
+forms and comments are told by their elements, classes and roles. All other blocks are
 decided by the host: the token streams of its pages outside articles are concatenated and a
 suffix array sorts them. Boilerplate are runs of whole blocks, ``RUN`` tokens or more, whose
 windows of ``RUN`` tokens are all on ``needed`` distinct texts of the host. Anything less stays:
 phrases, parts of blocks, and passages that a few pages share.
 
+What lies inside an article or inside ``main`` is its main text. Runs of whole blocks there go if all
+their windows are such boilerplate of the host outside articles, and lie inside the articles of
+``needed`` distinct texts too: a notice or menu that is set into the articles as well. Passages that
+articles share among themselves stay, and so does a lead that other pages show as a teaser.
+
 A host is dealt into shards of some ``SHARD`` texts, each with a suffix array of its own. All
 copies of a text are in one shard, so the counts of the shards add up, by the digests of the
 windows, and the result does not depend on the shards.
@@ -181,40 +184,41 @@ def _name(text: str) -> int:
 
 
 def _streams(pages: DataFrame) -> DataFrame:
-    """(page_id, url, host, whole, stream, text, tokens, chrome, sizes, words): main text, or null, and the blocks outside it.
+    """(page_id, url, host, whole, stream, told, tokens, chrome, sizes, words): the blocks to decide on, and those outside articles.
 
     ``whole`` names the text of the page with all its blocks, ``stream`` that outside the main text, and
     ``tokens`` are hashes of the words there. ``words`` (the words), ``sizes`` (words of each block) and
-    ``chrome`` (whether a block is chrome) are given where the text is null.
+    ``chrome`` (whether a block is chrome) are of the blocks inside the article where there is one
+    (``told``), else of all.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, streams, wholes, chrome, sizes, kept = [], [], [], [], [], []
+            told, streams, wholes, chrome, sizes, kept = [], [], [], [], [], []
             for source in batch.column("html"):
                 page = parse(source.as_py())
-                undecided = page.content() is None
+                told.append(page.content() is not None)
                 outside = page.outside()
-                texts.append(None if undecided else page.main_text())
+                candidates = [b for b in page.blocks if b[1] >= Page.MAIN] if told[-1] else outside
                 streams.append(" ".join(text for text, _ in outside))
                 wholes.append(_name(" ".join(text for text, _ in page.blocks)))
-                kept.append(streams[-1] if undecided else None)
-                sizes.append([len(text.split()) for text, _ in outside] if undecided else None)
-                chrome.append([k == Page.CHROME for _, k in outside] if undecided else None)
+                kept.append(" ".join(text for text, _ in candidates))
+                sizes.append([len(text.split()) for text, _ in candidates])
+                chrome.append([k == Page.CHROME for _, k in candidates])
             words = Words(pa.array(streams, pa.large_string()))
             hashes = [words.hashes[words.of(i)].view(np.int64) for i in range(len(streams))]
             ends = np.concatenate([[0], np.cumsum([len(h) for h in hashes])])
             tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*hashes, np.empty(0, np.int64)])))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("page_id", "url", "host")), pa.array(wholes, pa.int64()),
-                 pa.array([_name(t) for t in streams], pa.int64()), pa.array(texts, pa.string()), tokens,
+                 pa.array([_name(t) for t in streams], pa.int64()), pa.array(told, pa.bool_()), tokens,
                  pa.array(chrome, pa.list_(pa.bool_())), pa.array(sizes, pa.list_(pa.int32())), pa.array(kept, pa.string())],
-                ["page_id", "url", "host", "whole", "stream", "text", "tokens", "chrome", "sizes", "words"],
+                ["page_id", "url", "host", "whole", "stream", "told", "tokens", "chrome", "sizes", "words"],
             )
 
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)", 1))
     return settle(pages.select("page_id", "url", host.alias("host"), "html").mapInArrow(
-        read, "page_id long, url string, host string, whole long, stream long, text string, tokens array<long>, "
+        read, "page_id long, url string, host string, whole long, stream long, told boolean, tokens array<long>, "
         "chrome array<boolean>, sizes array<int>, words string"
     ))
 
@@ -272,12 +276,15 @@ def needed(texts: Column) -> Column:
     return F.greatest(F.lit(FEWEST), F.least(F.lit(MAJORITY), F.ceil(texts / 2)), F.ceil(texts / SHARE)).cast("long")
 
 
-def _covered(streams: DataFrame, run: int) -> DataFrame:
-    """(host, whole, stream, places): where windows begin that are on enough texts of the host, for undecided pages."""
+def _covered(streams: DataFrame, run: int) -> tuple[DataFrame, DataFrame]:
+    """Windows outside articles that are on enough texts of the host.
+
+    (host, whole, stream, places), where they begin, for undecided pages; and (host, digest, needed), the windows.
+    """
     texts = streams.groupBy("host", "whole").agg(F.count(F.lit(1)).alias("copies")).groupBy("host").agg(F.count(F.lit(1)).alias("texts"))
     counts = settle(texts.select("host", F.ceil(F.col("texts") / SHARD).cast("int").alias("shards"), needed(F.col("texts")).alias("needed")))
     pages = streams.where(F.size("tokens") >= run).groupBy("host", "whole", "stream").agg(
-        F.first("tokens").alias("tokens"), F.max(F.col("text").isNull()).alias("undecided")
+        F.first("tokens").alias("tokens"), F.max(~F.col("told")).alias("undecided")
     )
     dealt = pages.join(counts.hint("merge"), "host").withColumn("shard", F.pmod("whole", "shards").cast("int"))
 
@@ -294,11 +301,47 @@ def _covered(streams: DataFrame, run: int) -> DataFrame:
     # What grows with the pages is joined by sort-merge and never broadcast, however well its file is packed.
     common = settle(
         found.where("holders IS NOT NULL").groupBy("host", "digest").agg(F.sum("holders").alias("holders"), F.max("needed").alias("needed"))
-        .where("holders >= needed").select("host", "digest")
+        .where("holders >= needed").select("host", "digest", "needed")
     )
     between = found.where("digest IS NOT NULL AND place IS NOT NULL")
     other = between.join(common.hint("merge"), ["host", "digest"]).select("host", "whole", "stream", "place")
-    return local.unionByName(other).groupBy("host", "whole", "stream").agg(F.collect_set("place").alias("places"))
+    return local.unionByName(other).groupBy("host", "whole", "stream").agg(F.collect_set("place").alias("places")), common
+
+
+def _by_window(windows: DataFrame) -> DataFrame:
+    """One row a host with its boilerplate: at most as many windows as ten of its texts have on average, for a large host."""
+    return settle(windows.groupBy("host").agg(F.collect_set("digest").alias("digests")))
+
+
+def _set_in(streams: DataFrame, common: DataFrame, run: int) -> DataFrame:
+    """(host, digests): boilerplate windows of the host that enough distinct texts have inside their article too."""
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hosts, wholes, digests = [], [], []
+            for i, (each, found) in enumerate(_matches(batch.column("words"), batch.column("digests"), run)):
+                seen = np.unique(each[found])
+                hosts += [batch.column("host")[i].as_py()] * len(seen)
+                wholes += [batch.column("whole")[i].as_py()] * len(seen)
+                digests.append(seen)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hosts, pa.string()), pa.array(wholes, pa.int64()), pa.array(np.concatenate([*digests, np.empty(0, np.int64)]))],
+                ["host", "whole", "digest"],
+            )
+
+    articles = streams.where("told AND host <> ''").select("host", "whole", "words").join(_by_window(common), "host")
+    found = articles.mapInArrow(match, "host string, whole long, digest long").distinct().groupBy("host", "digest").agg(F.count(F.lit(1)).alias("texts"))
+    return _by_window(found.join(common, ["host", "digest"]).where("texts >= needed"))
+
+
+def _matches(words: pa.Array, digests: pa.Array, run: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each text the digests of its windows, and the places of those that are among the ``digests`` beside it."""
+    read = Words(pa.compute.if_else(digests.is_valid(), words, pa.scalar(None, pa.string())).cast(pa.large_string()))
+    for i in range(len(words)):
+        each = np.empty(0, np.int64)
+        if digests[i].is_valid and len(hashes := read.hashes[read.of(i)]) >= run:
+            each = windows_hash(hashes, run).view(np.int64)
+        yield each, np.flatnonzero(np.isin(each, np.asarray(digests[i].values))) if len(each) else np.empty(0, np.int64)
 
 
 def _by_host(group: pa.Table) -> dict[str, pa.Table]:
@@ -308,7 +351,7 @@ def _by_host(group: pa.Table) -> dict[str, pa.Table]:
 
 
 def _shard_rows(part: pa.Table, run: int) -> Iterator[pa.RecordBatch]:
-    """A host's only shard gives the places of undecided pages whose windows are on enough texts.
+    """A host's only shard gives the windows that are on enough texts, and their places in undecided pages.
 
     One of several gives the number of its texts for each window, and all places of undecided pages with their digests.
     """
@@ -329,9 +372,10 @@ def _shard_rows(part: pa.Table, run: int) -> Iterator[pa.RecordBatch]:
         places = np.arange(len(counts[i])) if several > 1 else np.flatnonzero(counts[i] >= enough)
         shown = {"digest": digests[i][places]} if several > 1 else {}
         yield rows(len(places), whole=np.full(len(places), whole[i]), stream=np.full(len(places), stream[i]), place=places, **shown)
-    if several > 1:
-        each, at = np.unique(np.concatenate(digests), return_index=True)
-        yield rows(len(each), digest=each, holders=np.concatenate(counts)[at])
+    each, at = np.unique(np.concatenate(digests), return_index=True)
+    held = np.concatenate(counts)[at]
+    shown = np.flatnonzero(held >= (1 if several > 1 else enough))
+    yield rows(len(shown), digest=each[shown], holders=held[shown])
 
 
 _FOUND = pa.schema([
@@ -363,16 +407,23 @@ def unique_runs(words: str, chrome: list[bool], sizes: list[int], places: list[i
 def extract(pages: DataFrame, run: int = RUN) -> DataFrame:
     """(page_id, url, text, n_chars) for every row of ``pages`` (page_id, url, html)."""
     streams = _streams(pages)
-    covered = settle(_covered(streams.where("host <> ''"), run))
+    covered, common = _covered(streams.where("host <> ''"), run)
+    covered, set_in = settle(covered), _set_in(streams, common, run)
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("words", "chrome", "sizes", "places")]
-            texts = [unique_runs(*row, run) for row in zip(*columns, strict=True)]
+            inside = _matches(batch.column("words"), batch.column("digests"), run)
+            texts = [
+                unique_runs(words, chrome, sizes, places if places is not None else found.tolist(), run)
+                for words, chrome, sizes, places, (_, found) in zip(*columns, inside, strict=True)
+            ]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
-    told = streams.where("text IS NOT NULL").select("page_id", "url", "text")
     key = ["host", "whole", "stream"]
-    untold = streams.where("text IS NULL").select(*key, "page_id", "url", "words", "chrome", "sizes").join(covered.hint("merge"), key, "left")
-    decided = untold.select("page_id", "url", "words", "chrome", "sizes", "places").mapInArrow(decide, "page_id long, url string, text string")
-    return told.unionByName(decided).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+    fields = ["page_id", "url", "words", "chrome", "sizes", "places", "digests"]
+    none = F.lit(None)
+    told = streams.where("told").join(set_in, "host", "left").withColumn("places", none.cast("array<int>")).select(fields)
+    untold = streams.where("NOT told").join(covered.hint("merge"), key, "left").withColumn("digests", none.cast("array<long>")).select(fields)
+    decided = told.unionByName(untold).mapInArrow(decide, "page_id long, url string, text string")
+    return decided.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
