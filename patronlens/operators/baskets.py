@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,20 +11,31 @@ from patronlens.functions import rules
 from patronlens.functions.labels import band, classify_like, first_match, ratio
 from patronlens.operators.lineage import settle
 from patronlens.operators.orders import completed
-from patronlens.operators.sequence import place, with_stretch
+from patronlens.operators.sequence import place, place_small, split_by_size, with_stretch
 from patronlens.operators.skew import split_join
 from patronlens.operators.topk import top_k_per_group
 
 LIST_PART = 10_000  # entries per row of a list column; longer lists go on in further rows
 
 
-def purchased_lines(orders: DataFrame, goods: DataFrame, *order_columns: str) -> DataFrame:
+def purchased_lines(orders: DataFrame, goods: DataFrame, *order_columns: str, lines: DataFrame | None = None) -> DataFrame:
     """Order lines with columns of their order. Filter ``orders`` first where possible.
 
-    An order with very many lines is split over tasks.
+    An order with very many lines is split over tasks. Such orders are looked for in ``lines``,
+    if given: the lines in a form that is cheaper to read, as before they are joined to their products.
     """
     kept = orders.select("orderSn", "memberId", *order_columns)
-    return split_join(goods, kept, "cOrderSn", "orderSn").drop("orderSn", "cOrderSn")
+    return split_join(goods, kept, "cOrderSn", "orderSn", lines).drop("orderSn", "cOrderSn")
+
+
+def _by_member(rows: DataFrame, small: Callable[[DataFrame], DataFrame], large: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``small`` of the members that one task may hold, whose rows are shuffled once for all its steps, and ``large`` of the others.
+
+    ``rows`` are settled ones.
+    """
+    few, many = split_by_size(rows, "memberId")
+    done = small(few.repartition("memberId"))
+    return done if many is None else done.unionByName((large or small)(many))
 
 
 def _per_order(orders: DataFrame, goods: DataFrame, sums: Sequence[Column], how: str = "inner") -> DataFrame:
@@ -101,7 +112,11 @@ def weekly_basket(
     """
     counted, keys = _weekly_counts(orders, goods, with_year)
     counted = settle(counted)
-    placed = place(with_stretch(counted, keys, "productName"), keys, ["productName"], F.col("_stretch"), F.col("n")).drop("_stretch")
+    few, many = split_by_size(counted, *keys)
+    placed = place_small(few, keys, ["productName"], F.col("n"))
+    if many is not None:
+        stretched = place(with_stretch(many, keys, "productName"), keys, ["productName"], F.col("_stretch"), F.col("n"))
+        placed = placed.unionByName(stretched.drop("_stretch", "following"))
     end = F.col("start") + F.col("n")
     last = F.floor((end - 1) / part_size)
     pieces = placed.select(
@@ -316,19 +331,45 @@ def purchase_history(
     house: str = rules.HOUSE_BRAND,
     otherwise: str = rules.BRAND_ELSE,
     part_size: int = LIST_PART,
+    lines: DataFrame | None = None,
 ) -> DataFrame:
     """Per member: products seen in any order, products bought of the favourite type, favourites.
 
     ``product_scan`` and ``product_buy`` are arrays in name order. Members with more
     than ``part_size`` products have further rows with a higher ``part``. Members
-    without a completed order are left out.
+    without a completed order are left out. ``lines`` as in ``purchased_lines``.
+
+    The lines are counted per member, type and product, and written. A member's counts are then
+    shuffled once for all that follows; only members too large for one task are
+    sorted in stretches.
     """
     done = F.col("orderStatus") == rules.COMPLETED
     owned = settle(
-        purchased_lines(orders, goods, "orderStatus")
+        purchased_lines(orders.where("memberId IS NOT NULL"), goods, "orderStatus", lines=lines)
         .groupBy("memberId", "productType", "productName")
         .agg(F.count_if(done).alias("bought"))
     )
+
+    def in_stretches(rows: DataFrame) -> DataFrame:
+        return place(with_stretch(rows, ["memberId"], "productName"), ["memberId"], ["productName"], F.col("_stretch"))
+
+    return _by_member(
+        owned,
+        lambda rows: _histories(rows, lambda r: r, lambda r: place_small(r, ["memberId"], ["productName"]), brands, house, otherwise, part_size),
+        lambda rows: _histories(rows, settle, in_stretches, brands, house, otherwise, part_size),
+    )
+
+
+def _histories(
+    owned: DataFrame,
+    kept: Callable[[DataFrame], DataFrame],
+    placed_by: Callable[[DataFrame], DataFrame],
+    brands: Sequence[tuple[str, str]],
+    house: str,
+    otherwise: str,
+    part_size: int,
+) -> DataFrame:
+    """Histories from (memberId, productType, productName, bought); ``kept`` keeps the favourites, ``placed_by`` numbers products."""
     brand = brand_class(brands, otherwise)
     weight = _brand_weight(brand, house, otherwise, rules.HISTORY_NO_BRAND_WEIGHT)
     entry = lambda kind, value, n: F.struct(
@@ -354,13 +395,12 @@ def purchase_history(
 
     products = (
         owned.filter(F.col("productName").isNotNull())
-        .join(settle(favourites), "memberId")
+        .join(kept(favourites), "memberId")
         .groupBy("memberId", "productName", "_type", "_product", "_brand")
         .agg(F.max((bought > 0) & (F.col("productType") == F.col("_type"))).alias("chosen"))
     )
-    placed = place(with_stretch(products, ["memberId"], "productName"), ["memberId"], ["productName"], F.col("_stretch")).drop("_stretch")
     listed = (
-        placed.withColumn("part", F.floor(F.col("start") / part_size))
+        placed_by(products).withColumn("part", F.floor(F.col("start") / part_size))
         .groupBy("memberId", "part", "_type", "_product", "_brand")
         .agg(F.sort_array(F.collect_list(F.struct("productName", "chosen"))).alias("entries"))
     )

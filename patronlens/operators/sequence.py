@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from patronlens.operators.lineage import settle
 
 STRETCH = 200_000  # rows of a group that share a prefix before it is made longer
+GROUPINGS = 1 << 16  # hash buckets in which groups are counted to find the large ones
 
 
 def _stand_in(kind: T.DataType) -> Column:
@@ -37,6 +38,32 @@ def _solid(rows: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str
     return rows.withColumns(filled), names
 
 
+def split_by_size(rows: DataFrame, *keys: str, bound: int | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of groups that one task may hold, and those of the others, if there are any.
+
+    Groups are counted together by hash bucket, one small row a bucket and task, so nothing large is
+    shuffled to tell. A group of more than ``bound`` rows is never among the first; small
+    ones in a bucket with more rows than that are among the others. Only the numbers
+    of such buckets, at most one for ``bound`` rows, reach the driver.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(GROUPINGS))
+    sizes = rows.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    large = [r["bucket"] for r in sizes.where(F.col("n") > (STRETCH if bound is None else bound)).collect()]
+    if not large:
+        return rows, None
+    return rows.where(~bucket.isin(large)), rows.where(bucket.isin(large))
+
+
+def place_small(rows: DataFrame, keys: Sequence[str], order: Sequence[str], weight: Column | None = None) -> DataFrame:
+    """``start`` and ``total`` as ``place`` gives them, for groups that one task may hold: one shuffle, no join."""
+    group = W.partitionBy(*keys)
+    before = group.orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    weight = F.lit(1).cast("bigint") if weight is None else weight
+    return rows.select(
+        "*", F.coalesce(F.sum(weight).over(before), F.lit(0)).alias("start"), F.sum(weight).over(group).alias("total")
+    )
+
+
 def place(
     rows: DataFrame,
     keys: Sequence[str],

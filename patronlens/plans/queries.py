@@ -372,7 +372,7 @@ def brand_preference(x):
 
 @_query
 def purchase_history(x):
-    history = baskets.purchase_history(x.orders, x.goods, rules.BRANDS_SCALED, rules.HOUSE_BRAND_SCALED)
+    history = baskets.purchase_history(x.orders, x.goods, rules.BRANDS_SCALED, rules.HOUSE_BRAND_SCALED, lines=x.lines)
     return _texts(history, "product_scan", "product_buy")
 
 
@@ -380,7 +380,7 @@ def purchase_history(x):
 def purchase_history_parts(x):
     """Long lists cut into parts of five."""
     history = baskets.purchase_history(
-        x.orders, x.goods, rules.BRANDS_SCALED, rules.HOUSE_BRAND_SCALED, part_size=5
+        x.orders, x.goods, rules.BRANDS_SCALED, rules.HOUSE_BRAND_SCALED, part_size=5, lines=x.lines
     )
     return _texts(history, "product_scan", "product_buy")
 
