@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from patronlens.functions import rules
@@ -39,13 +40,13 @@ def _by_member(rows: DataFrame, small: Callable[[DataFrame], DataFrame], large:
 
 
 def _per_order(orders: DataFrame, goods: DataFrame, sums: Sequence[Column], how: str = "inner") -> DataFrame:
-    """Orders with sums over their lines.
+    """Orders with sums over their lines, or over ``goods`` that are such sums already (they have ``_lines``).
 
     The lines shrink to one row per order before they are shuffled, and the join uses
     the partitioning of that aggregation. So it costs no shuffle of its own, and an
     order with very many lines is no hot key.
     """
-    summed = goods.groupBy("cOrderSn").agg(*sums)
+    summed = goods if "_lines" in goods.columns else goods.groupBy("cOrderSn").agg(*sums)
     return orders.join(summed, F.col("orderSn") == F.col("cOrderSn"), how).drop("cOrderSn")
 
 
@@ -65,16 +66,20 @@ def product_preference(orders: DataFrame, goods: DataFrame, k: int = 3) -> DataF
     Types and products are counted in one pass over the join. Members with fewer
     than ``k`` products are left out.
     """
-    lines = purchased_lines(completed(orders), goods)
+    return _preferred(purchased_lines(completed(orders), goods).withColumn("n", F.lit(1).cast("bigint")), k)
+
+
+def _preferred(lines: DataFrame, k: int) -> DataFrame:
+    """``product_preference`` of (memberId, productType, productName, n) rows that stand for ``n`` lines each."""
     kinds = F.array(
         F.struct(F.lit("type").alias("kind"), F.col("productType").alias("value")),
         F.struct(F.lit("product").alias("kind"), F.col("productName").alias("value")),
     )
     counted = (
-        lines.select("memberId", F.explode(kinds).alias("k"))
-        .select("memberId", "k.kind", "k.value")
+        lines.select("memberId", "n", F.explode(kinds).alias("k"))
+        .select("memberId", "k.kind", "k.value", "n")
         .groupBy("memberId", "kind", "value")
-        .agg(F.count("value").alias("n"))
+        .agg(F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("n"))
     )
     ranked = top_k_per_group(counted, ["memberId", "kind"], "value", k)
     names = {("type", 1): "productType"}
@@ -148,8 +153,24 @@ def basket_preview(
 
     Only the first ``items`` names of a week are ever gathered.
     """
-    counted, keys = _weekly_counts(orders, goods, False)
-    counted = settle(counted)
+    counted, _ = _weekly_counts(orders, goods, False)
+    return _known_previews(_previews(settle(counted), items), users)
+
+
+def _known_previews(previews: DataFrame, users: DataFrame) -> DataFrame:
+    known = users.select("id")
+    return previews.join(known, F.col("memberId") == F.col("id")).select("id", "cycle", "count", "preview")
+
+
+def _shown(items: int) -> Column:
+    """First products of a week from its ``head`` of (productName, n) and ``_named``, the number of its lines that have a name."""
+    shown = F.slice(F.flatten(F.transform("head", lambda e: F.array_repeat(e["productName"], e["n"]))), 1, items)
+    return F.concat(F.array_join(shown, ","), F.when(F.col("_named") > items, rules.PREVIEW_MORE).otherwise(""))
+
+
+def _previews(counted: DataFrame, items: int) -> DataFrame:
+    """(memberId, cycle, count, preview) from (memberId, cycle, productName, n); of a week only the first names are gathered."""
+    keys = ["memberId", "cycle"]
     week = F.struct(*keys).alias("_week")  # null-safe as one key
     named = F.col("productName").isNotNull()
     by_name = top_k_per_group(
@@ -163,15 +184,48 @@ def basket_preview(
     totals = counted.groupBy(week).agg(
         F.sum("n").alias("count"), F.sum(F.when(named, F.col("n")).otherwise(0)).alias("_named")
     )
-    shown = F.slice(
-        F.flatten(F.transform("head", lambda e: F.array_repeat(e["productName"], e["n"]))), 1, items
-    )
-    more = F.when(F.col("_named") > items, rules.PREVIEW_MORE).otherwise("")
-    previews = totals.join(heads, "_week", "left").select(
-        "_week.*", "count", F.concat(F.array_join(shown, ","), more).alias("preview")
+    return totals.join(heads, "_week", "left").select(
+        "_week.*", "count", _shown(items).alias("preview")
     ).withColumn("count", _week_total(F.col("count")))
-    known = users.select("id")
-    return previews.join(known, F.col("memberId") == F.col("id")).select("id", "cycle", "count", "preview")
+
+
+def _previews_small(counted: DataFrame, items: int) -> DataFrame:
+    """The same for weeks that one task may hold: one window and one aggregation, no join."""
+    keys = ["memberId", "cycle"]
+    named = F.col("productName").isNotNull()
+    rank = F.row_number().over(W.partitionBy(*keys).orderBy(F.asc_nulls_last("productName")))
+    first = F.struct("productName", F.least("n", F.lit(items)).cast("int").alias("n"))
+    weeks = counted.withColumn("_rank", rank).groupBy(*keys).agg(
+        F.sum("n").alias("count"),
+        F.sum(F.when(named, F.col("n")).otherwise(0)).alias("_named"),
+        F.sort_array(F.collect_list(F.when(named & (F.col("_rank") <= items), first))).alias("_head"),
+    )
+    weeks = weeks.withColumn("head", F.when(F.size("_head") > 0, F.col("_head")))
+    return weeks.select(*keys, _week_total(F.col("count")).alias("count"), _shown(items).alias("preview"))
+
+
+def preview_and_preference(
+    orders: DataFrame, goods: DataFrame, users: DataFrame, items: int = rules.PREVIEW_ITEMS, k: int = 3, lines: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """``basket_preview`` and ``product_preference`` of the same lines, which are joined and counted once.
+
+    The counts per member, week, type and product are written; a member's counts are shuffled once
+    for both, unless they are too many for one task. ``lines`` as in ``purchased_lines``.
+    """
+    done = completed(orders).where("memberId IS NOT NULL").withColumn("cycle", F.weekofyear("modified"))
+    counted = settle(
+        purchased_lines(done, goods, "cycle", lines=lines)
+        .groupBy("memberId", "cycle", "productType", "productName").agg(F.count(F.lit(1)).alias("n"))
+    )
+    weekly = lambda rows: rows.groupBy("memberId", "cycle", "productName").agg(F.sum("n").alias("n"))
+    previews = _by_member(counted, lambda rows: _previews_small(weekly(rows), items), lambda rows: _previews(settle(weekly(rows)), items))
+    return _known_previews(previews, users), _by_member(counted, lambda rows: _preferred(rows, k))
+
+
+def coupon_sums(columns: Sequence[str]) -> list[Column]:
+    """What ``coupon_scores`` needs of the lines of an order: their number, and how many have each of ``columns``."""
+    used = lambda c: F.count_if(F.col(c).cast("double") != 0).alias(c)
+    return [F.count(F.lit(1)).alias("_lines"), *[used(c) for c in columns]]
 
 
 def coupon_scores(
@@ -184,16 +238,15 @@ def coupon_scores(
     """Scores for completed lines bought with a coupon, a gift card or at an activity price.
 
     Every member has a row. A gift card kept on the order counts once per line, as
-    joined rows would.
+    joined rows would. ``goods`` may be lines, or their ``coupon_sums`` by cOrderSn.
     """
-    used = lambda c: F.count_if(F.col(c).cast("double") != 0).alias(c)
     on_line = "giftCardAmount" in goods.columns
     flags = ["couponAmount", "activityPrice"] + (["giftCardAmount"] if on_line else [])
     card_column = [] if on_line else [F.col("giftCardAmount").alias("_card")]
     joined = _per_order(
         orders.select("orderSn", "memberId", "orderStatus", *card_column),
-        goods,
-        [F.count(F.lit(1)).alias("_lines"), *[used(c) for c in flags]],
+        goods.select("cOrderSn", *(c for c in ["_lines", *flags] if c in goods.columns)),
+        coupon_sums(flags),
         "left",
     )
     cards = (

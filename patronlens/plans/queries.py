@@ -612,8 +612,7 @@ def profiles_as_json(x):
 def _whole_view(x, consumer, titles=None):
     whole = lookup.customer_360(
         _profiles(x),
-        baskets.basket_preview(x.done, x.goods, x.users),
-        baskets.product_preference(x.done, x.goods),
+        *baskets.preview_and_preference(x.done, x.goods, x.users, lines=x.lines),
         consumer,
         activity.slot_series(x.logs),
         titles,
@@ -675,9 +674,11 @@ def discount_segment(x):
 
 
 def _titles(x):
-    return segment.user_titles(
-        x.users, segment.discount_segment(_discount_scores(x)), segment.coupon_segment(_coupon_scores(x, *COUPON_CUTS))
-    )
+    """Both scores from one pass over the lines."""
+    sums = lineage.settle(x.lines.groupBy("cOrderSn").agg(*baskets.coupon_sums(["couponAmount", "activityPrice"]), *x.listed_sums()))
+    thrift = baskets.discount_scores(x.listed(sums), bought=rules.BUY_SCORE_SCALED)
+    coupon = baskets.coupon_scores(x.orders_with_card, sums, *COUPON_CUTS)
+    return segment.user_titles(x.users, segment.discount_segment(thrift), segment.coupon_segment(coupon))
 
 
 @_query

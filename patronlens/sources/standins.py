@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LOGS_AS_OF = "2024-01-31"
@@ -118,11 +118,17 @@ class StandIns:
     @cached_property
     def orders_listed(self) -> DataFrame:
         """Completed orders that have lines, with list amount and paid amount summed over these."""
+        return self.listed(self.lines.groupBy("cOrderSn").agg(*self.listed_sums()))
+
+    @staticmethod
+    def listed_sums() -> list[Column]:
         paid = F.col("productAmount") * (1 - F.col("couponAmount"))
-        sums = self.lines.groupBy("cOrderSn").agg(
-            F.sum("productAmount").alias("productAmount"), F.sum(paid).alias("orderAmount")
-        )
+        return [F.sum("productAmount").alias("productAmount"), F.sum(paid).alias("orderAmount")]
+
+    def listed(self, sums: DataFrame) -> DataFrame:
+        """Completed orders with the ``listed_sums`` of their lines."""
         kept = self.done.drop("orderAmount")
+        sums = sums.select("cOrderSn", "productAmount", "orderAmount")
         return kept.join(sums, F.col("orderSn") == F.col("cOrderSn")).drop("cOrderSn")
 
     @cached_property
