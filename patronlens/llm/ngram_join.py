@@ -11,10 +11,11 @@ set on such a choice of parts; sets that are similar enough share one.
 Sets that are equal form a class, which is joined once. Signatures that several classes
 share make buckets. In each bucket the class that meets most others is the centre, and only
 centre pairs are compared first; what they link falls into components. Then a bucket only needs the
-pairs whose sides are still in different components. The outline of a set, how many of its hashes lie
-in each of some ranges, never rejects a true pair and sorts out most others before sets are fetched. So groups of near
-copies cost a star and not all pairs, and no link between components is lost. ``links`` gives all
-links, those inside components too, by the same buckets and blocks.
+pairs whose sides are still in different components. The outline of a set, an odd sketch, never rejects a true pair
+and sorts out nearly all others before sets are fetched. Of the rest each member first gives its nearest ``NEAREST``;
+buckets where one had more are gone through again with the components that these leave, and more pairs a member,
+until none has more. So groups of near copies cost a few pairs a member and not all pairs, and no link
+between components is lost. ``links`` gives all links, those inside components too, by the same buckets and blocks.
 
 Defined results: words are lower-cased in A-Z; a null text and one without words has an
 empty set and is linked with nothing; fewer words than ``n`` are one gram; rows that
@@ -48,6 +49,7 @@ SAMPLE = 2_048  # documents, about, that tell which signatures these are
 HOT = 0.02  # share of them
 FIRSTS = 16  # lowest signatures of a set that tell which bucket gives a pair
 BLOCK = 4_096  # members of a bucket compared in one task against as many others
+NEAREST = 16  # pairs that a member of a block gives at first; each round NEAREST times as many
 
 
 class Scheme:
@@ -129,21 +131,26 @@ def part_sums(hashes: np.ndarray, parts: int) -> np.ndarray:
 
 
 def outline(hashes: np.ndarray) -> np.ndarray:
-    """How many hashes of a set lie in each of some size / 8 equal ranges, one byte for each.
+    """Odd sketch of a set, in 64-bit words: a bit for each of at least as many residues as it has hashes, set where their number is odd.
 
-    Two sets differ at least as often as their outlines do, so these never reject a true pair.
+    Each hash that only one of two sets has turns one bit, so two sets differ at least as often as their
+    outlines do, and these never reject a true pair.
     """
-    parts = max(0, (len(hashes) - 1).bit_length() - 3)
-    counts = np.bincount((hashes >> np.uint64(64 - parts)).astype(np.int64), minlength=1 << parts) if parts else np.array([len(hashes)])
-    return np.minimum(counts, 255).astype(np.uint8)
+    bits = max(64, 1 << (len(hashes) - 1).bit_length())
+    odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
 
-def folded(outlines: list[bytes], width: int) -> np.ndarray:
-    """Outlines brought to ``width`` ranges, which each of them has at least."""
-    out = np.empty((len(outlines), width), dtype=np.int32)
-    for i, o in enumerate(outlines):
-        out[i] = np.frombuffer(o, np.uint8).reshape(width, -1).sum(axis=1)
-    return out
+def folded(outlines: list[bytes]) -> np.ndarray:
+    """Outlines as rows of a table, brought to the width of the shortest one."""
+    words = [np.frombuffer(o, np.uint64) for o in outlines]
+    width = min(map(len, words))
+    return np.array([w if len(w) == width else np.bitwise_xor.reduce(w.reshape(-1, width)) for w in words], dtype=np.uint64)
+
+
+def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits that differ in rows of outlines."""
+    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
 
 
 def gram_sets(texts: pa.Array, n: int = GRAM) -> Iterator[tuple[int, np.ndarray]]:
@@ -294,9 +301,7 @@ def plausible(pairs: DataFrame, shape: DataFrame, scheme: Scheme) -> DataFrame:
             most = scheme.difference(a, b)
             left, right = batch.column("outline_a"), batch.column("outline_b")
             for i in np.flatnonzero(good).tolist():
-                both = [left[i].as_py(), right[i].as_py()]
-                x, y = folded(both, min(map(len, both)))
-                good[i] = abs(x - y).sum() <= most[i]
+                good[i] = differing(*folded([left[i].as_py(), right[i].as_py()])) <= most[i]
             yield batch.select(["a", "b"]).filter(pa.array(good))
 
     side = lambda c: shape.select(F.col("class").alias(c), F.col("size").alias(f"size_{c}"), F.col("outline").alias(f"outline_{c}"))
@@ -358,14 +363,15 @@ def star_pairs(members: DataFrame) -> DataFrame:
 
 
 def remaining_pairs(
-    members: DataFrame, shape: DataFrame, parts: DataFrame, tested: DataFrame, scheme: Scheme
+    members: DataFrame, shape: DataFrame, parts: DataFrame, scheme: Scheme, most: int = BLOCK
 ) -> DataFrame:
-    """(a, b): pairs that share a bucket, lie in different components, and whose outlines allow a link.
+    """(a, b, cut): pairs that share a bucket, lie in different components, and whose outlines allow a link.
 
     In each bucket the largest component is at home; the other members visit it and one
     another. Both are dealt into blocks, so that no task holds more than two blocks. Sets that
     share a signature among the lowest of both are only given by the bucket of the lowest one they share there;
-    the few others by each of their buckets.
+    the few others by each of their buckets. A member gives its nearest ``most`` of a block; where it had more,
+    ``cut`` is the signature of the bucket, else null.
     """
     labelled = members.join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "component", F.coalesce("component", "class")
@@ -400,36 +406,40 @@ def remaining_pairs(
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches, ["signature", "block", "other"]):
-            pairs = _candidates(group, scheme)
+            pairs = _candidates(group, scheme, most)
             if pairs.num_rows:
                 yield pairs
 
     tasks = dealt.repartition("signature", "block", "other").sortWithinPartitions("signature", "block", "other")
-    found = tasks.mapInArrow(compare, "a long, b long").distinct()
-    return found.join(tested, ["a", "b"], "left_anti")
+    return tasks.mapInArrow(compare, "a long, b long, cut long").distinct()
 
 
-def _candidates(group: pa.Table, scheme: Scheme) -> pa.RecordBatch:
-    """Pairs of a visitor and one at home whose components differ and whose outlines allow a link."""
+def _candidates(group: pa.Table, scheme: Scheme, most: int) -> pa.RecordBatch:
+    """Pairs of a visitor and one at home whose components differ and whose outlines allow a link: the nearest ``most`` of each visitor."""
     visits = group.column("visits").to_numpy()
     size, component, name = (group.column(c).to_numpy() for c in ("size", "component", "class"))
     home, out = np.flatnonzero(~visits), []
     if len(home) and visits.any():
-        outlines = group.column("outline").to_pylist()
-        table = folded(outlines, min(map(len, outlines)))
+        table = folded(group.column("outline").to_pylist())
         at_home, home_size, home_component = table[home], size[home], component[home]
         firsts, bucket = _padded(group.column("firsts").to_pylist()), group.column("signature")[0].as_py()
         for v in np.flatnonzero(visits).tolist():
             fits = np.flatnonzero((home_component != component[v]) & scheme.similar_sizes(size[v], home_size))
-            far = abs(at_home[fits] - table[v]).sum(axis=1)
-            fits = home[fits[far <= scheme.difference(size[v], home_size[fits])]]
+            far = differing(at_home[fits], table[v])
+            near = far <= scheme.difference(size[v], home_size[fits])
+            fits, far = home[fits[near]], far[near]
             shared = np.isin(firsts[fits], firsts[v])
             lowest = firsts[fits, shared.argmax(axis=1)] if len(fits) else fits
-            other = name[fits[~shared.any(axis=1) | (lowest == bucket)]]
+            own = ~shared.any(axis=1) | (lowest == bucket)
+            other, far = name[fits[own]], far[own]
+            more = len(other) > most
+            if more:
+                other = other[np.lexsort((other, far))[:most]]
             if len(other):
-                out.append((np.minimum(other, name[v]), np.maximum(other, name[v])))
-    a, b = (np.concatenate([o[i] for o in out] or [np.empty(0, np.int64)]) for i in (0, 1))
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                out.append((np.minimum(other, name[v]), np.maximum(other, name[v]), np.full(len(other), more)))
+    a, b, cut = (np.concatenate([o[i] for o in out] or [np.empty(0, kind)]) for i, kind in enumerate((np.int64, np.int64, bool)))
+    cut = pa.array(np.full(len(a), bucket if out else 0), pa.int64(), mask=~cut)
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), cut], ["a", "b", "cut"])
 
 
 def _padded(lists: list[list[int]]) -> np.ndarray:
@@ -446,10 +456,20 @@ def components(docs: DataFrame, similar: tuple[int, int] = SIMILAR, n: int = GRA
     shape = shapes(named)
     tested = settle(star_pairs(members))
     links = verified(plausible(tested, shape, scheme), docs, named, scheme, n)
-    parts = connected_components(links)
-    left = settle(remaining_pairs(members, shape, parts, tested, scheme))
-    if not left.isEmpty():
-        parts = connected_components(links.unionByName(verified(left, docs, named, scheme, n)))
+    parts, most = connected_components(links), NEAREST
+    while True:
+        given = settle(remaining_pairs(members, shape, parts, scheme, most))
+        left = settle(given.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"))
+        if not left.isEmpty():
+            more = verified(left, docs, named, scheme, n)
+            if not more.isEmpty():
+                links = links.unionByName(more)
+                parts = connected_components(links)
+        again = given.where("cut IS NOT NULL").select(F.col("cut").alias("signature")).distinct()
+        if again.isEmpty():
+            break
+        # At BLOCK pairs a member no block is cut any more.
+        tested, members, most = tested.unionByName(left), settle(members.join(again, "signature", "left_semi")), most * NEAREST
     ids = settle(named.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("own")))
     labelled = ids.join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "component", F.coalesce("component", "class")
@@ -476,7 +496,7 @@ def links(docs: DataFrame, similar: tuple[int, int] = SIMILAR, n: int = GRAM) ->
     tested = settle(star_pairs(members))
     # Without components every class is one of its own, so no pair of a bucket is left out.
     apart = docs.sparkSession.createDataFrame([], "node long, component long")
-    more = remaining_pairs(members, shape, apart, tested, scheme)
+    more = remaining_pairs(members, shape, apart, scheme).select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
     pairs = verified(settle(plausible(tested, shape, scheme).unionByName(more)), docs, named, scheme, n)
     return pairs, named.select("k1", "k2", "doc_id", "class")
 
