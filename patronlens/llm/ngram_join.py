@@ -49,6 +49,7 @@ SAMPLE = 2_048  # documents, about, that tell which signatures these are
 HOT = 0.02  # share of them
 FIRSTS = 16  # lowest signatures of a set that tell which bucket gives a pair
 BLOCK = 4_096  # members of a bucket compared in one task against as many others
+MARKS = 1 << 26  # bits, at most, that tell which rows' sets are fetched
 NEAREST = 16  # pairs that a member of a block gives at first; each round NEAREST times as many
 
 
@@ -308,25 +309,45 @@ def plausible(pairs: DataFrame, shape: DataFrame, scheme: Scheme) -> DataFrame:
     return settle(pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").mapInArrow(check, "a long, b long"))
 
 
+def marks(keys: DataFrame) -> np.ndarray:
+    """A bit for each residue of the column k1 of ``keys``, in bytes: a key without its bit is not among them.
+
+    Only these bits reach the driver, some 8 bytes a key and at most ``MARKS`` bits; with more keys more pass.
+    """
+    bits = min(MARKS, max(1 << 15, 1 << (64 * keys.count()).bit_length()))
+    place = keys.select((F.pmod("k1", F.lit(bits)) + 1).alias("place"))
+    pieces = (
+        place.select(F.bitmap_bucket_number("place").alias("piece"), F.bitmap_bit_position("place").alias("bit")).repartition("piece")
+        .groupBy("piece").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    )
+    found = np.zeros((bits >> 15, 1 << 12), dtype=np.uint8)
+    for row in pieces.collect():
+        found[row.piece - 1] = np.frombuffer(row.bits, np.uint8)
+    return found.ravel()
+
+
 def sets_of(docs: DataFrame, named: DataFrame, pairs: DataFrame, n: int = GRAM) -> DataFrame:
-    """(class, hashes): the sets of the classes in ``pairs``, each from one of its rows."""
+    """(class, hashes): the sets of the classes in ``pairs``, and of few others. Texts stay where they are read."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    one = named.where("class IS NOT NULL").groupBy("class").agg(F.min(F.struct("k1", "k2")).alias("k")).join(wanted, "class", "left_semi")
-    chosen = settle(one.select("class", F.col("k.k1").alias("k1"), F.col("k.k2").alias("k2")))
+    one = named.where("class IS NOT NULL").groupBy("class").agg(F.min("k1").alias("k1")).join(wanted, "class", "left_semi")
+    marked = marks(settle(one))
+    last = len(marked) * 8 - 1
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, packed, start = batch.column("class"), [], 0
-            for i, hashes in gram_sets(batch.column("text"), n):
-                packed.append(hashes.tobytes())
-                if len(packed) == 1_000 or i == len(names) - 1:
-                    yield pa.RecordBatch.from_arrays([names.slice(start, len(packed)), pa.array(packed, pa.binary())], ["class", "hashes"])
-                    start, packed = i + 1, []
-
-    # The keys are a written table: Spark knows its size and moves the texts only if it is too large to send along.
-    texts = docs.select(*row_key("doc_id", "text"), "text").join(chosen, ["k1", "k2"]).select("class", "text")
-    # Rows that repeat share their key; one of them is enough.
-    return settle(texts.mapInArrow(pack, "class long, hashes binary").dropDuplicates(["class"]))
+            place = batch.column("k1").to_numpy() & last
+            texts = batch.column("text").filter(pa.array((marked[place >> 3] >> (place & 7) & 1).astype(bool)))
+            names, packed = [], []
+            for i, hashes in gram_sets(texts, n):
+                if len(hashes):
+                    names.append(class_of(hashes))
+                    packed.append(hashes.tobytes())
+                if len(packed) == 1_000 or i == len(texts) - 1:
+                    yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(packed, pa.binary())], ["class", "hashes"])
+                    names, packed = [], []
+
+    # Rows of a class hold the same set; one of them is enough.
+    return settle(docs.select(row_key("doc_id", "text")[0], "text").mapInArrow(pack, "class long, hashes binary").dropDuplicates(["class"]))
 
 
 def verified(pairs: DataFrame, docs: DataFrame, named: DataFrame, scheme: Scheme, n: int) -> DataFrame:

@@ -55,3 +55,25 @@ def test_outline_never_rejects_and_is_close():
             far = int(nj.differing(*nj.folded([nj.outline(a).tobytes(), nj.outline(b).tobytes()])))
             true = len(np.setxor1d(a, b))
             assert far <= true and (size < 300 or far >= 0.6 * true)
+
+
+def test_texts_are_not_shuffled_for_their_sets(spark, monkeypatch):
+    plans, real = [], nj.settle
+
+    def settled(rows):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return real(rows)
+
+    monkeypatch.setattr(nj, "settle", settled)
+    monkeypatch.setattr(nj, "MARKS", 1 << 15, raising=False)
+    check(spark, near_copies(8, 3, 30, 60))
+    fetching = [p for p in plans if "hashes" in p and "text" in p and "Join" in p]
+    assert not fetching
+
+
+def test_marks(spark):
+    keys = spark.range(-50, 50).selectExpr("id * 7919 AS k1")
+    marked = nj.marks(keys)
+    bits = np.unpackbits(marked, bitorder="little")
+    assert bits.sum() == 100 and all(bits[i * 7919 % len(bits)] for i in range(-50, 50))
+    assert not nj.marks(keys.limit(0)).any()
