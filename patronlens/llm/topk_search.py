@@ -39,7 +39,7 @@ from patronlens.operators.lineage import settle
 
 K = 10
 K1, B = 1.2, 0.75
-SHARD = 16_384  # documents of a shard, on average
+SHARD = 8_192  # documents of a shard, on average
 BLOCK = 16  # documents whose largest contributions are kept for a list
 VISIT = 8  # blocks visited at first before the threshold is raised; twice as many each time
 SLACK = 1e-9  # relative error of sums that is allowed for before anything is passed over
@@ -64,7 +64,7 @@ class Postings:
     """Postings of a shard as its documents stream by."""
 
     def __init__(self) -> None:
-        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.parts: tuple[list[np.ndarray], ...] = ([], [], [])  # term, document, count
         self.lengths: list[np.ndarray] = []
         self.n = 0
 
@@ -73,28 +73,42 @@ class Postings:
         for i, terms, times in bags(texts):
             own.append((terms, np.full(len(terms), self.n + i, dtype=np.int32), times.astype(np.int32)))
             lengths[i] = times.sum()
-        self.parts.append(tuple(np.concatenate(c) for c in zip(*own)) if own else tuple(np.empty(0, t) for t in (np.int64, np.int32, np.int32)))
+        for part, columns, kind in zip(self.parts, zip(*own) if own else [()] * 3, (np.int64, np.int32, np.int32)):
+            part.append(np.concatenate([*columns, np.empty(0, kind)]))
         self.lengths.append(lengths)
         self.n += len(texts)
 
+    def take(self, column: int) -> np.ndarray:
+        """A whole column, whose parts are given up."""
+        whole = np.concatenate(self.parts[column])
+        self.parts[column].clear()
+        return whole
+
 
 class Index:
     """Inverted lists of a shard with their block maxima. ``read`` counts the postings that queries read, ``held`` those of their lists."""
 
     def __init__(self, found: Postings, mean: float):
-        term, doc, tf = (np.concatenate(c) for c in zip(*found.parts))
-        found.parts = []
-        order = np.argsort(term, kind="stable")  # lists by term, each by document
-        term, self.doc, tf = term[order], doc[order], tf[order]
+        # One column at a time, and its parts go as it is made: the peak is far below three columns twice.
+        term = found.take(0)
+        order = np.argsort(term, kind="stable").astype(np.int32)  # lists by term, each by document
+        term = term[order]
+        self.doc, tf = found.take(1)[order], found.take(2)[order]
+        del order
         self.n, self.read, self.held = found.n, 0, 0
-        lengths = np.concatenate(found.lengths)
-        self.impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[self.doc] / max(mean, 1e-9)))
+        norm = K1 * (1 - B + B * np.concatenate(found.lengths) / max(mean, 1e-9))
+        self.impact = tf * (K1 + 1)
+        below = norm[self.doc]
+        below += tf
+        self.impact /= below
+        del below, tf
         begins = np.append(True, term[1:] != term[:-1])[: len(term)]
         self.terms = term[begins]
+        del term
         # One entry for each block in which a list has documents.
-        entry = begins | np.append(True, self.doc[1:] // BLOCK != self.doc[:-1] // BLOCK)[: len(term)]
+        entry = begins | np.append(True, self.doc[1:] // BLOCK != self.doc[:-1] // BLOCK)[: len(begins)]
         at = np.flatnonzero(entry)
-        self.starts = np.append(at, len(term))
+        self.starts = np.append(at, len(begins))
         self.block = self.doc[at] // BLOCK
         self.block_max = np.maximum.reduceat(self.impact, at) if len(at) else np.empty(0)
         self.lists = np.append(np.flatnonzero(begins[at]), len(at))

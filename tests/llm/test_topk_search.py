@@ -117,3 +117,17 @@ def test_equal_texts_go_by_id(spark, monkeypatch):
     docs = spark.createDataFrame([(i, texts[i * 7 % 8]) for i in range(200)], "doc_id long, text string").repartition(4)
     for r in ts.search(docs, docs.where("doc_id < 8"), 10).groupBy("query_id").agg({"doc_id": "collect_list"}).toDF("q", "ids").collect():
         assert sorted(r.ids) == [i for i in range(200) if i % 8 == r.q % 8][:10]
+
+
+def test_building_a_shard_takes_little_beside_its_postings():
+    import tracemalloc
+
+    rnd = random.Random(4)
+    texts = [" ".join(rnd.choices([f"w{i}" for i in range(20_000)], k=200)) for _ in range(1_000)]
+    found = ts.Postings()
+    found.add(pa.array(texts))
+    tracemalloc.start()
+    index = ts.Index(found, 200.0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 45 * len(index.doc)  # bytes a posting
