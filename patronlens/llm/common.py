@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from patronlens.operators.lineage import settle
+from patronlens.operators.lineage import gathered, settle
 
 WORD = r"[^\x20\x09-\x0D]+"
 CHUNK_HEX = 3  # leading hex digits of a hash that name its chunk: 4096 chunks
@@ -102,19 +102,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
     aggregated by ``min`` and ``max``, so a node with a third of all edges is no hot spot. Each
     round is a written table; only whether one is left to do reaches the driver.
     """
-    edges = settle(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
+    edges = settle(gathered(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))))
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = settle(
-            both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = settle(gathered(
+            both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
         )
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(lowest, "a")
-        edges = settle(
+        edges = settle(gathered(
             small.where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .unionByName(lowest.select("a", F.col("m").alias("b")))
-            .distinct()
+            .distinct())
         )
         # A star forest: no centre hangs on another node, and no node on two centres.
         ends = edges.select("a", "b", F.lit(0).alias("centre")).unionByName(

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from patronlens.llm.common import connected_components, row_key, sorted_groups
 from patronlens.llm.words import Words, mix, runs_hash, slices, windows_hash
-from patronlens.operators.lineage import settle
+from patronlens.operators.lineage import gathered, settle
 
 GRAM = 3
 SIMILAR = (90, 100)  # linked when 100 * intersection >= 90 * union
@@ -330,7 +330,7 @@ def sets_of(docs: DataFrame, named: DataFrame, pairs: DataFrame, n: int = GRAM)
     """(class, hashes): the sets of the classes in ``pairs``, and of few others. Texts stay where they are read."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     one = named.where("class IS NOT NULL").groupBy("class").agg(F.min("k1").alias("k1")).join(wanted, "class", "left_semi")
-    marked = marks(settle(one))
+    marked = marks(settle(gathered(one)))
     last = len(marked) * 8 - 1
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -379,7 +379,7 @@ def star_pairs(members: DataFrame) -> DataFrame:
         members.join(degree, "class").groupBy("signature")
         .agg(F.max(F.struct("degree", "class")).alias("centre")).select("signature", F.col("centre.class").alias("centre"))
     )
-    pairs = members.join(settle(centres), "signature").where("class <> centre")
+    pairs = members.join(settle(gathered(centres)), "signature").where("class <> centre")
     return pairs.select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")).distinct()
 
 
@@ -397,8 +397,8 @@ def remaining_pairs(
     labelled = members.join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "component", F.coalesce("component", "class")
     )
-    sizes = settle(labelled.groupBy("signature", "component").agg(F.count(F.lit(1)).alias("size")))
-    open_ = settle(
+    sizes = settle(gathered(labelled.groupBy("signature", "component").agg(F.count(F.lit(1)).alias("size"))))
+    open_ = settle(gathered(
         sizes.groupBy("signature").agg(
             F.max(F.struct("size", "component")).alias("home"), F.sum("size").alias("members"), F.count(F.lit(1)).alias("components")
         ).where("components > 1 AND members > 2")  # the one pair of a bucket of two is a star pair
@@ -406,7 +406,7 @@ def remaining_pairs(
             "signature", F.col("home.component").alias("home"),
             F.ceil(F.col("members") / BLOCK).cast("int").alias("rows"),
             F.ceil((F.col("members") - F.col("home.size")) / BLOCK).cast("int").alias("columns"),
-        )
+        ))
     )
     member = settle(
         labelled.join(open_, "signature")
@@ -475,12 +475,12 @@ def components(docs: DataFrame, similar: tuple[int, int] = SIMILAR, n: int = GRA
     named = settle(classes(docs, n))
     members = buckets(docs, scheme, n)
     shape = shapes(named)
-    tested = settle(star_pairs(members))
+    tested = settle(gathered(star_pairs(members)))
     links = verified(plausible(tested, shape, scheme), docs, named, scheme, n)
     parts, most = connected_components(links), NEAREST
     while True:
         given = settle(remaining_pairs(members, shape, parts, scheme, most))
-        left = settle(given.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"))
+        left = settle(gathered(given.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")))
         if not left.isEmpty():
             more = verified(left, docs, named, scheme, n)
             if not more.isEmpty():
@@ -490,13 +490,13 @@ def components(docs: DataFrame, similar: tuple[int, int] = SIMILAR, n: int = GRA
         if again.isEmpty():
             break
         # At BLOCK pairs a member no block is cut any more.
-        tested, members, most = tested.unionByName(left), settle(members.join(again, "signature", "left_semi")), most * NEAREST
-    ids = settle(named.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("own")))
+        tested, members, most = tested.unionByName(left), settle(gathered(members.join(again, "signature", "left_semi"))), most * NEAREST
+    ids = settle(gathered(named.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("own"))))
     labelled = ids.join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "component", F.coalesce("component", "class")
     )
-    lowest = settle(labelled.groupBy("component").agg(F.min("own").alias("component_id")))
-    by_class = settle(labelled.join(lowest, "component").select("class", "component_id"))
+    lowest = settle(gathered(labelled.groupBy("component").agg(F.min("own").alias("component_id"))))
+    by_class = settle(gathered(labelled.join(lowest, "component").select("class", "component_id")))
     return named.join(by_class, "class", "left").select(
         "k1", "k2", "doc_id", "n_shingles",
         F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
@@ -514,7 +514,7 @@ def links(docs: DataFrame, similar: tuple[int, int] = SIMILAR, n: int = GRAM) ->
     named = settle(classes(docs, n))
     members = buckets(docs, scheme, n)
     shape = shapes(named)
-    tested = settle(star_pairs(members))
+    tested = settle(gathered(star_pairs(members)))
     # Without components every class is one of its own, so no pair of a bucket is left out.
     apart = docs.sparkSession.createDataFrame([], "node long, component long")
     more = remaining_pairs(members, shape, apart, scheme).select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _WRITTEN: dict[str, list[str]] = {}  # application id -> folders that it wrote
 _NAMED: dict[str, list[str]] = {}  # application id -> names that it gave to tables in folders
+FILES = 2  # files a core, at most, of a table with few and narrow rows
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,6 +33,14 @@ def new_folder(spark: SparkSession, kind: str = "table") -> str:
     return path
 
 
+def gathered(rows: DataFrame) -> DataFrame:
+    """``rows`` in at most ``FILES`` partitions a core, without a shuffle: a task takes several partitions one after the other.
+
+    For tables of few, narrow rows that are to be settled: a file for each partition would hold a handful.
+    """
+    return rows.coalesce(FILES * rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def settle(rows: DataFrame) -> DataFrame:
     """Write ``rows`` once to the shared folder and go on from the written table.
 
