@@ -385,6 +385,7 @@ def purchase_history(
     otherwise: str = rules.BRAND_ELSE,
     part_size: int = LIST_PART,
     lines: DataFrame | None = None,
+    products: DataFrame | None = None,
 ) -> DataFrame:
     """Per member: products seen in any order, products bought of the favourite type, favourites.
 
@@ -394,14 +395,20 @@ def purchase_history(
 
     The lines are counted per member, type and product, and written. A member's counts are then
     shuffled once for all that follows; only members too large for one task are
-    sorted in stretches.
+    sorted in stretches. With ``products`` (productId, productType, productName), ``goods`` name their product
+    by ``productId`` only: the counts meet types and names when the lines have been shuffled and counted without them.
     """
     done = F.col("orderStatus") == rules.COMPLETED
-    owned = settle(
+    product = ["productType", "productName"] if products is None else ["productId"]
+    counts = (
         purchased_lines(orders.where("memberId IS NOT NULL"), goods, "orderStatus", lines=lines)
-        .groupBy("memberId", "productType", "productName")
+        .groupBy("memberId", *product)
         .agg(F.count_if(done).alias("bought"))
     )
+    if products is not None:
+        # Products that share type and name give several rows, which all that follows adds up.
+        counts = counts.join(products, "productId").select("memberId", "productType", "productName", "bought")
+    owned = settle(counts)
 
     def in_stretches(rows: DataFrame) -> DataFrame:
         return place(with_stretch(rows, ["memberId"], "productName"), ["memberId"], ["productName"], F.col("_stretch"))

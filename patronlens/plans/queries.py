@@ -372,7 +372,9 @@ def brand_preference(x):
 
 @_query
 def purchase_history(x):
-    history = baskets.purchase_history(x.orders, x.goods, rules.BRANDS_SCALED, rules.HOUSE_BRAND_SCALED, lines=x.lines)
+    history = baskets.purchase_history(
+        x.orders, x.product_lines, rules.BRANDS_SCALED, rules.HOUSE_BRAND_SCALED, products=x.products
+    )
     return _texts(history, "product_scan", "product_buy")
 
 
@@ -380,7 +382,7 @@ def purchase_history(x):
 def purchase_history_parts(x):
     """Long lists cut into parts of five."""
     history = baskets.purchase_history(
-        x.orders, x.goods, rules.BRANDS_SCALED, rules.HOUSE_BRAND_SCALED, part_size=5, lines=x.lines
+        x.orders, x.product_lines, rules.BRANDS_SCALED, rules.HOUSE_BRAND_SCALED, part_size=5, products=x.products
     )
     return _texts(history, "product_scan", "product_buy")
 

@@ -98,6 +98,17 @@ class StandIns:
             F.col("l_extendedprice").cast("decimal(18,2)").alias("productAmount"),
         )
 
+    @cached_property
+    def products(self) -> DataFrame:
+        return self._table("part").select(
+            F.col("p_partkey").alias("productId"), F.col("p_type").alias("productType"), F.col("p_name").alias("productName")
+        )
+
+    @cached_property
+    def product_lines(self) -> DataFrame:
+        """Order lines that name their product by its key."""
+        return self._table("lineitem").select(F.col("l_orderkey").cast("string").alias("cOrderSn"), F.col("l_partkey").alias("productId"))
+
     @cached_property
     def lines(self) -> DataFrame:
         """Order lines without their product, for labels that need none."""
