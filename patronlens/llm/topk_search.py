@@ -1,14 +1,16 @@
 """Exact BM25 top-k of stated queries: an inverted index per shard, block-max WAND, merged exactly.
 
-Documents are dealt into shards. Each shard is one sorted stream, documents first, then queries: the task
-turns documents into postings as they come, keeps no text, and answers the queries one by one. Document
+Documents are dealt into shards, and these into stripes, a fixed number for a core. A task holds the queries and gets
+the shards of its stripe one after the other: it turns the documents into postings as they come, keeps no text, and puts the
+queries to each shard in turn. A query keeps its best k, and the k-th best score of the shards before is its threshold in the next.
+So queries are copied, and answers given, once a stripe, however many shards there are. Document
 frequencies, document count and mean length are those of all documents, so scores of different shards
-compare and the best k of every shard contain the best k of all.
+compare and the best k of every stripe contain the best k of all.
 
 Lists keep the largest contribution in the whole shard and in each block of ``BLOCK`` documents. Per query, lists are
 ordered by their largest contribution; the pivot is the first at which these add up to the
 threshold, the k-th best score so far. A document that only lists before the pivot hold can't pass, so those lists
-give no candidates. Blocks are visited from the highest sum of block maxima down, and none whose
+give no candidates. Documents that share frequent words lie side by side, so blocks are alike inside. Blocks are visited from the highest sum of block maxima down, and none whose
 sum stays below the threshold; in a visited one the lists from the pivot on give candidates, and the lists before it are
 read only in blocks where a candidate can still pass. Nothing that could tie with the k-th best is passed over.
 
@@ -42,6 +44,10 @@ K1, B = 1.2, 0.75
 SHARD = 8_192  # documents of a shard, on average
 BLOCK = 16  # documents whose largest contributions are kept for a list
 VISIT = 8  # blocks visited at first before the threshold is raised; twice as many each time
+STRIPES = 2  # tasks a core: each takes some of the shards, one after the other
+HELD = 32_768  # queries that a task holds, about; with more of them the documents are dealt once for each group
+RARE = 200  # a word that fewer than one of so many documents of a shard have doesn't tell which are alike
+NEAR = 3  # words by which alike documents are put side by side
 SLACK = 1e-9  # relative error of sums that is allowed for before anything is passed over
 
 
@@ -60,6 +66,20 @@ def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
 
 
+def _neighbours(term: np.ndarray, doc: np.ndarray, begins: np.ndarray, n: int) -> np.ndarray:
+    """The documents 0 to n - 1 in the order of their ``NEAR`` least words, by hash, of those that many have. Postings are sorted by term."""
+    sizes = np.diff(np.append(np.flatnonzero(begins), len(term)))
+    many = np.repeat(sizes * RARE >= n, sizes)
+    term, doc, keys = term[many], doc[many], []
+    for _ in range(NEAR):
+        least = np.full(n, np.iinfo(np.int64).max)
+        least[doc[::-1]] = term[::-1]  # the last one written stays
+        keys.append(least)
+        left = term != least[doc]
+        term, doc = term[left], doc[left]
+    return np.lexsort(keys[::-1])
+
+
 class Postings:
     """Postings of a shard as its documents stream by."""
 
@@ -93,18 +113,28 @@ class Index:
         term = found.take(0)
         order = np.argsort(term, kind="stable").astype(np.int32)  # lists by term, each by document
         term = term[order]
-        self.doc, tf = found.take(1)[order], found.take(2)[order]
-        del order
+        begins = np.append(True, term[1:] != term[:-1])[: len(term)]
+        self.terms, doc = term[begins], found.take(1)[order]
         self.n, self.read, self.held = found.n, 0, 0
-        norm = K1 * (1 - B + B * np.concatenate(found.lengths) / max(mean, 1e-9))
+        # Documents are numbered by the words they share, so that a list has its documents in few blocks.
+        self.order = _neighbours(term, doc, begins, self.n)
+        del term
+        number = np.empty(self.n, dtype=np.int32)
+        number[self.order] = np.arange(self.n, dtype=np.int32)
+        self.doc = number[doc]
+        del doc
+        again = (np.cumsum(begins) - 1) * self.n + self.doc
+        again = np.argsort(again, kind="stable").astype(np.int32)
+        self.doc, order = self.doc[again], order[again]
+        del again
+        tf = found.take(2)[order]
+        del order
+        norm = (K1 * (1 - B + B * np.concatenate(found.lengths) / max(mean, 1e-9)))[self.order]
         self.impact = tf * (K1 + 1)
         below = norm[self.doc]
         below += tf
         self.impact /= below
         del below, tf
-        begins = np.append(True, term[1:] != term[:-1])[: len(term)]
-        self.terms = term[begins]
-        del term
         # One entry for each block in which a list has documents.
         entry = begins | np.append(True, self.doc[1:] // BLOCK != self.doc[:-1] // BLOCK)[: len(begins)]
         at = np.flatnonzero(entry)
@@ -114,33 +144,43 @@ class Index:
         self.lists = np.append(np.flatnonzero(begins[at]), len(at))
         self.most = np.maximum.reduceat(self.block_max, self.lists[:-1]) if len(at) else np.empty(0)
 
-    def best(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Documents and scores of at least the best ``k``, ties with the last one included."""
+    def best(self, terms: np.ndarray, weights: np.ndarray, k: int, least: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """Documents, as ``order`` numbers them, and scores of at least the best ``k``, ties with the last one included; those below ``least`` may be left out."""
         at = np.searchsorted(self.terms, terms)
         known = at < len(self.terms)
         known[known] = self.terms[at[known]] == terms[known]
         at, weights = at[known], weights[known]
-        order = np.argsort(weights * self.most[at])
-        at, weights = at[order], weights[order]
+        none = np.empty(0, np.int64), np.empty(0)
         if not len(at):
-            return np.empty(0, np.int64), np.empty(0)
-        reach = np.cumsum(weights * self.most[at])
-        entries = _ranges(self.lists[at], self.lists[at + 1])
-        rank = np.repeat(np.arange(len(at)), self.lists[at + 1] - self.lists[at])  # place of its list in the order
-        block, weight = self.block[entries], weights[rank]
-        most = weight * self.block_max[entries]
+            return none
+        # Lists by term: sums of whole documents are taken in this order, so that equal texts have equal scores in every block and shard.
+        order = np.argsort(at)
+        at, weights = at[order], weights[order]
+        most = weights * self.most[at]
+        order = np.argsort(most)
+        reach = np.cumsum(most[order])
+        if reach[-1] < least * (1 - SLACK):
+            return none
+        place = np.empty(len(at), dtype=np.int32)  # of a list in the order of largest contributions
+        place[order] = np.arange(len(at), dtype=np.int32)
+        sizes = self.lists[at + 1] - self.lists[at]
+        all_entries = entries = _ranges(self.lists[at], self.lists[at + 1])
+        all_blocks = block = self.block[entries]
+        all_weights = weight = np.repeat(weights, sizes)
+        rank, most = np.repeat(place, sizes), weight * self.block_max[entries]
         self.held += int((self.starts[self.lists[at + 1]] - self.starts[self.lists[at]]).sum())
         blocks = -(-self.n // BLOCK)
         bound = np.bincount(block, most, blocks)
-        queue = np.argsort(-bound)
-        queue = queue[: np.count_nonzero(bound)]
-        docs, scores, threshold, done, visit = np.empty(0, np.int64), np.empty(0), 0.0, 0, VISIT
-        while done < len(queue):
-            live = queue[done : done + visit]
-            live = live[bound[live] >= threshold * (1 - SLACK)]
-            if not len(live):
-                break
-            done, visit = done + visit, visit * 2
+        waiting = (bound > 0) & (bound >= least * (1 - SLACK))
+        docs, scores, threshold, visit = *none, least, VISIT
+        while waiting.any():
+            # Entries of blocks that are done or can't pass go.
+            left = waiting[block]
+            entries, block, weight, rank, most = (c[left] for c in (entries, block, weight, rank, most))
+            live = np.flatnonzero(waiting)
+            if len(live) > visit:
+                live = live[np.argpartition(-bound[live], visit)[:visit]]
+            visit *= 2
             pivot = int(np.searchsorted(reach, threshold * (1 - SLACK)))
             visited = np.zeros(blocks, dtype=bool)
             visited[live] = True
@@ -157,21 +197,18 @@ class Index:
                 sums += self._sums(entries[early], weight[early])
             found = np.flatnonzero(able)
             docs, scores = np.concatenate([docs, found]), np.concatenate([scores, sums[found]])
-            if len(scores) > k:
-                threshold = np.partition(scores, -k)[-k]
-                keep = scores >= threshold * (1 - SLACK)
-                docs, scores = docs[keep], scores[keep]
-            elif len(scores) == k:
-                threshold = scores.min()
-        # Summed anew in the order of the terms, so that equal texts have equal scores in every block and shard.
-        order = np.argsort(self.terms[at])
-        at, weights = at[order], weights[order]
-        entries = _ranges(self.lists[at], self.lists[at + 1])
-        weight = np.repeat(weights, self.lists[at + 1] - self.lists[at])
+            if len(scores) >= k:
+                threshold = max(threshold, np.partition(scores, -k)[-k])
+            keep = scores >= threshold * (1 - SLACK)
+            docs, scores = docs[keep], scores[keep]
+            waiting[live] = False
+            waiting &= bound >= threshold * (1 - SLACK)
+        if not len(docs):
+            return none
         own = np.zeros(blocks, dtype=bool)
         own[docs // BLOCK] = True
-        mine = own[self.block[entries]]
-        return docs, self._sums(entries[mine], weight[mine])[docs]
+        mine = own[all_blocks]
+        return docs, self._sums(all_entries[mine], all_weights[mine])[docs]
 
     def _sums(self, entries: np.ndarray, weights: np.ndarray) -> np.ndarray:
         starts, ends = self.starts[entries], self.starts[entries + 1]
@@ -213,51 +250,76 @@ def search(docs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         .select("k1", "k2", "query_id", F.col("terms.term").alias("terms"), F.col("terms.weight").alias("weights"))
     )
 
+    shards = max(stripes := STRIPES * docs.sparkSession.sparkContext.defaultParallelism, shards)
+    groups = max(1, math.ceil(weighted.count() / HELD))
+
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, found, index, ids, rows = None, Postings(), None, [], []
+        # A partition is one group of queries and one stripe: first the queries, then the stripe's shards one after the other.
+        asked, shard, found, ids, rows = [], None, Postings(), [], []
         for batch in batches:
-            numbers, tags = (batch.column(c).to_numpy() for c in ("shard", "tag"))
-            cuts = np.flatnonzero((numbers[1:] != numbers[:-1]) | (tags[1:] != tags[:-1])) + 1
+            numbers = batch.column("shard").to_numpy()
+            cuts = np.flatnonzero(numbers[1:] != numbers[:-1]) + 1
             for a, b in zip([0, *cuts], [*cuts, len(numbers)]):
                 if a == b:
                     continue
                 part = batch.slice(a, b - a)
-                if numbers[a] != shard:
-                    shard, found, index, ids, rows = numbers[a], Postings(), None, [], []
-                if tags[a] == 0:
-                    found.add(part.column("text"))
-                    ids.append(part.column("id"))
-                    rows.append(part.column("k1"))
+                if numbers[a] < 0:
+                    asked += [Query(*(part.column(c)[i] for c in ("k1", "k2", "id", "terms", "weights"))) for i in range(part.num_rows)]
                     continue
-                if not found.n:
-                    continue  # a shard without documents
-                if index is None:
-                    index, ids, rows = Index(found, mean), pa.concat_arrays(ids), pa.concat_arrays(rows)
-                out = []
-                for i in range(part.num_rows):
-                    terms, weights = (np.asarray(part.column(c)[i].values) for c in ("terms", "weights"))
-                    docs_, scores = index.best(terms, weights, k)
-                    one = lambda c: pa.array([part.column(c)[i].as_py()] * len(docs_), pa.int64())  # noqa: B023, E731
-                    out.append(pa.record_batch(
-                        [one("k1"), one("k2"), one("id"), ids.take(pa.array(docs_)), rows.take(pa.array(docs_)), pa.array(scores)], schema=_FOUND
-                    ))
-                yield from out
+                if numbers[a] != shard:
+                    _answer(asked, found, mean, ids, rows, k)
+                    shard, found, ids, rows = numbers[a], Postings(), [], []
+                found.add(part.column("text"))
+                ids.append(part.column("id"))
+                rows.append(part.column("k1"))
+        _answer(asked, found, mean, ids, rows, k)
+        for a in range(0, len(asked), 1_000):
+            best = [row for query in asked[a : a + 1_000] for row in query.rows()]
+            columns = zip(*best) if best else [()] * len(_FOUND)
+            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, _FOUND, strict=True)], schema=_FOUND)
 
     none = lambda kind: F.lit(None).cast(kind)
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     dealt = docs.select(
-        F.pmod(F.xxhash64("text", "doc_id"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("tag"), F.col("doc_id").cast("long").alias("id"),
+        F.pmod(F.xxhash64("text", "doc_id"), F.lit(shards)).cast("int").alias("shard"), F.col("doc_id").cast("long").alias("id"),
         F.xxhash64("doc_id", "text").alias("k1"), none("long").alias("k2"), "text", none("array<long>").alias("terms"), none("array<double>").alias("weights"),
-    )
+    ).select(F.pmod("shard", F.lit(stripes)).alias("stripe"), each(groups).alias("group"), "*")
     sent = weighted.select(
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("tag"), F.col("query_id").alias("id"),
-        "k1", "k2", none("string").alias("text"), "terms", "weights",
+        each(stripes).alias("stripe"), F.pmod(F.xxhash64("k1", "k2"), F.lit(groups)).cast("int").alias("group"), F.lit(-1).alias("shard"),
+        F.col("query_id").alias("id"), "k1", "k2", none("string").alias("text"), "terms", "weights",
     )
-    stream = dealt.unionByName(sent).repartition(shards, "shard").sortWithinPartitions("shard", "tag")
+    stream = dealt.unionByName(sent).repartitionById(stripes * groups, F.col("stripe") * groups + F.col("group")).sortWithinPartitions("shard")
     found = stream.mapInArrow(answer, "k1 long, k2 long, query_id long, doc_id long, row long, score double")
     order = Window.partitionBy("k1", "k2").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last(), "row")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
 
 
+class Query:
+    """A query that a task holds, with its best documents so far as (-score, no id, id, row)."""
+
+    def __init__(self, k1: pa.Scalar, k2: pa.Scalar, query_id: pa.Scalar, terms: pa.Scalar, weights: pa.Scalar):
+        self.names = k1.as_py(), k2.as_py(), query_id.as_py()
+        self.terms, self.weights = (np.array(c.values) for c in (terms, weights))
+        self.best: list[tuple[float, bool, int, int]] = []
+
+    def ask(self, index: Index, ids: pa.Array, rows: pa.Array, k: int) -> None:
+        docs, scores = index.best(self.terms, self.weights, k, -self.best[-1][0] if len(self.best) == k else 0.0)
+        at = pa.array(docs)
+        new = [(-s, i is None, i or 0, r) for s, i, r in zip(scores.tolist(), ids.take(at).to_pylist(), rows.take(at).to_pylist(), strict=True)]
+        self.best = sorted(self.best + new)[:k]
+
+    def rows(self) -> list[tuple]:
+        return [(*self.names, None if unnamed else i, row, -score) for score, unnamed, i, row in self.best]
+
+
+def _answer(asked: list[Query], found: Postings, mean: float, ids: list[pa.Array], rows: list[pa.Array], k: int) -> None:
+    if found.n and asked:
+        index = Index(found, mean)
+        ids_, rows_ = (pa.concat_arrays(c).take(pa.array(index.order)) for c in (ids, rows))
+        for query in asked:
+            query.ask(index, ids_, rows_, k)
+
+
 _FOUND = pa.schema([
     ("k1", pa.int64()), ("k2", pa.int64()), ("query_id", pa.int64()), ("doc_id", pa.int64()), ("row", pa.int64()), ("score", pa.float64()),
 ])

@@ -131,3 +131,41 @@ def test_building_a_shard_takes_little_beside_its_postings():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 45 * len(index.doc)  # bytes a posting
+
+
+def test_answers_and_copies_of_queries_do_not_grow_with_the_shards(spark, monkeypatch):
+    rnd = random.Random(5)
+    text = lambda: " ".join(f"w{int(rnd.paretovariate(0.6))}" for _ in range(25))
+    rows = [(i, text()) for i in range(600)] + [(None, "w1 w2"), (900, None), (901, "w1 w3"), (901, "w1 w3")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    queries = docs.where("doc_id % 50 = 0")
+    given = []
+    expected = brute(rows, [(r.doc_id, r.text) for r in queries.collect()], 10)
+    monkeypatch.setattr(ts, "STRIPES", 1)
+    stripes = spark.sparkContext.defaultParallelism
+    for shard, held in ((16_384, 32_768), (10, 32_768), (10, 5)):
+        monkeypatch.setattr(ts, "SHARD", shard)
+        monkeypatch.setattr(ts, "HELD", held)
+        found = ts.search(docs, queries)
+        compare(found.collect(), expected)
+        given.append(found._jdf.queryExecution().analyzed().toString().count(f"sequence(0, {stripes - 1}"))
+    assert given == [1, 1, 1]
+
+
+def test_alike_documents_lie_side_by_side_and_thresholds_carry_on():
+    rnd = random.Random(8)
+    texts = [" ".join(f"{'abcd'[i % 4]}{rnd.randrange(60)}" for _ in range(30)) for i in range(640)]
+    found = ts.Postings()
+    found.add(pa.array(texts))
+    index = ts.Index(found, 30.0)
+    kinds = [texts[i][0] for i in index.order]
+    assert sorted(index.order.tolist()) == list(range(640)) and sum(a != b for a, b in zip(kinds, kinds[1:])) < 100
+    _, terms, counts = next(ts.bags(pa.array([texts[0]])))
+    docs, scores = index.best(terms, counts.astype(float), 10)
+    best = dict(zip(docs.tolist(), scores.tolist()))
+    least = sorted(scores)[-10]
+    assert index.order[max(best, key=best.get)] == 0
+    read, index.read = index.read, 0
+    again = dict(zip(*(x.tolist() for x in index.best(terms, counts.astype(float), 10, least))))
+    assert {d: s for d, s in again.items() if s >= least} == {d: s for d, s in best.items() if s >= least} and index.read <= read
+    assert not len(index.best(terms, counts.astype(float), 10, 1e9)[0])
