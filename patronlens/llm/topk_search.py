@@ -41,7 +41,7 @@ from patronlens.operators.lineage import settle
 
 K = 10
 K1, B = 1.2, 0.75
-SHARD = 8_192  # documents of a shard, on average
+SHARD = 8_192  # documents of a shard, on average at most
 BLOCK = 16  # documents whose largest contributions are kept for a list
 VISIT = 8  # blocks visited at first before the threshold is raised; twice as many each time
 STRIPES = 2  # tasks a core: each takes some of the shards, one after the other
@@ -220,7 +220,8 @@ class Index:
 def search(docs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, doc_id, score): for each of ``queries`` (doc_id, text) the best ``k`` of ``docs``."""
     n, words = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(word_count("text")), F.lit(0))).first()
-    mean, shards = words / max(n, 1), max(1, math.ceil(n / SHARD))
+    mean, stripes = words / max(n, 1), STRIPES * docs.sparkSession.sparkContext.defaultParallelism
+    shards = stripes * max(1, math.ceil(n / SHARD / stripes))  # as many in every stripe
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -250,7 +251,6 @@ def search(docs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         .select("k1", "k2", "query_id", F.col("terms.term").alias("terms"), F.col("terms.weight").alias("weights"))
     )
 
-    shards = max(stripes := STRIPES * docs.sparkSession.sparkContext.defaultParallelism, shards)
     groups = max(1, math.ceil(weighted.count() / HELD))
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
