@@ -7,12 +7,14 @@ So queries are copied, and answers given, once a stripe, however many shards the
 frequencies, document count and mean length are those of all documents, so scores of different shards
 compare and the best k of every stripe contain the best k of all.
 
-Lists keep the largest contribution in the whole shard and in each block of ``BLOCK`` documents. Per query, lists are
-ordered by their largest contribution; the pivot is the first at which these add up to the
-threshold, the k-th best score so far. A document that only lists before the pivot hold can't pass, so those lists
-give no candidates. Documents that share frequent words lie side by side, so blocks are alike inside. Blocks are visited from the highest sum of block maxima down, and none whose
-sum stays below the threshold; in a visited one the lists from the pivot on give candidates, and the lists before it are
-read only in blocks where a candidate can still pass. Nothing that could tie with the k-th best is passed over.
+A list with many of a shard's documents is long, the others are short; documents that share frequent words lie side by side, so
+blocks are alike inside. Long lists keep the largest contribution in each block of ``BLOCK`` documents, every list that in the whole shard.
+Queries are put to a shard ``TOGETHER`` at a time, those that repeat the same word side by side. Short lists are read; what they give to the
+best k is a first threshold where no shard before gave one, later it is the k-th best score so far. What a document has from
+short lists and the block maxima of the long lists are a bound of its score: only where it reaches the threshold
+are long lists read: this is WAND's pivot test, made for whole blocks. There they are a matrix of the documents and words of some blocks, multiplied by the weights of all
+queries that may find something there. A query whose lists' maxima don't reach the threshold passes the shard over. Sums in single precision
+only pass over what their error can't lift to the threshold; what is left is summed again in double precision. Nothing that could tie with the k-th best is passed over.
 
 Words are lower-cased in A-Z; a query is the whole text of its row, each distinct word weighted
 by its count. score = sum of count * ln(1 + (N - df + 0.5) / (df + 0.5)) * tf * (K1 + 1) / (tf + K1 * (1 - B +
@@ -42,8 +44,12 @@ from patronlens.operators.lineage import settle
 K = 10
 K1, B = 1.2, 0.75
 SHARD = 8_192  # documents of a shard, on average at most
-BLOCK = 16  # documents whose largest contributions are kept for a list
-VISIT = 8  # blocks visited at first before the threshold is raised; twice as many each time
+BLOCK = 8  # documents whose largest contributions are kept for a long list
+WIDE = 16  # blocks whose long lists are held as one matrix
+LONG = 50  # a list is long if at least one of so many documents of the shard is in it,
+COLUMNS = 4_096  # and if it is among the so many longest ones
+TOGETHER = 256  # queries that are put to a shard together
+VISIT = 1  # such matrices visited at first before thresholds are raised; twice as many each time
 STRIPES = 2  # tasks a core: each takes some of the shards, one after the other
 HELD = 32_768  # queries that a task holds, about; with more of them the documents are dealt once for each group
 RARE = 200  # a word that fewer than one of so many documents of a shard have doesn't tell which are alike
@@ -106,7 +112,7 @@ class Postings:
 
 
 class Index:
-    """Inverted lists of a shard with their block maxima. ``read`` counts the postings that queries read, ``held`` those of their lists."""
+    """Inverted lists of a shard. ``read`` counts the postings that queries read, when asked one at a time, ``held`` those of their lists."""
 
     def __init__(self, found: Postings, mean: float):
         # One column at a time, and its parts go as it is made: the peak is far below three columns twice.
@@ -135,86 +141,124 @@ class Index:
         below += tf
         self.impact /= below
         del below, tf
-        # One entry for each block in which a list has documents.
-        entry = begins | np.append(True, self.doc[1:] // BLOCK != self.doc[:-1] // BLOCK)[: len(begins)]
-        at = np.flatnonzero(entry)
-        self.starts = np.append(at, len(begins))
-        self.block = self.doc[at] // BLOCK
-        self.block_max = np.maximum.reduceat(self.impact, at) if len(at) else np.empty(0)
-        self.lists = np.append(np.flatnonzero(begins[at]), len(at))
-        self.most = np.maximum.reduceat(self.block_max, self.lists[:-1]) if len(at) else np.empty(0)
+        self.starts = np.append(np.flatnonzero(begins), len(begins))
+        self.lists = np.arange(len(self.starts))
+        self.most = np.maximum.reduceat(self.impact, self.starts[:-1]) if len(begins) else np.empty(0)
+        del begins
+        # The same postings by document, each document's by term.
+        order = np.argsort(self.doc, kind="stable").astype(np.int32)
+        sizes = np.diff(self.starts)
+        self.term_of, self.impact_of = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[order], self.impact[order]
+        del order
+        self.doc_starts = np.append(0, np.cumsum(np.bincount(self.doc, minlength=self.n)))
+        self.weight_of = np.zeros(len(sizes))
+        long = np.flatnonzero(sizes * LONG >= self.n)
+        long = long[np.argsort(-sizes[long], kind="stable")[:COLUMNS]]
+        self.column = np.full(len(sizes), -1, dtype=np.int32)
+        self.column[long] = np.arange(len(long), dtype=np.int32)
+        self.columns = len(long)
+        self.slack = (len(long) + 8) * 2.0**-23  # relative error of single precision in sums over so many columns
+        self.tiles = [self._tile(a, min(a + WIDE * BLOCK, self.n)) for a in range(0, self.n, WIDE * BLOCK)]
+
+    def _tile(self, a: int, b: int) -> tuple[int, int, np.ndarray, np.ndarray, np.ndarray]:
+        """Documents from ``a`` to ``b``, the columns that they have, their contributions there, and the largest ones of each block."""
+        own = slice(self.doc_starts[a], self.doc_starts[b])
+        column = self.column[self.term_of[own]]
+        long = column >= 0
+        used, column = np.unique(column[long], return_inverse=True)
+        impact = np.zeros((b - a, len(used)), dtype=np.float32)
+        impact[np.repeat(np.arange(b - a), np.diff(self.doc_starts[a : b + 1]))[long], column] = self.impact_of[own][long]
+        return a, b, used, impact, np.maximum.reduceat(impact, np.arange(0, b - a, BLOCK), axis=0)
 
     def best(self, terms: np.ndarray, weights: np.ndarray, k: int, least: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
         """Documents, as ``order`` numbers them, and scores of at least the best ``k``, ties with the last one included; those below ``least`` may be left out."""
-        at = np.searchsorted(self.terms, terms)
-        known = at < len(self.terms)
-        known[known] = self.terms[at[known]] == terms[known]
-        at, weights = at[known], weights[known]
-        none = np.empty(0, np.int64), np.empty(0)
-        if not len(at):
-            return none
-        # Lists by term: sums of whole documents are taken in this order, so that equal texts have equal scores in every block and shard.
-        order = np.argsort(at)
-        at, weights = at[order], weights[order]
-        most = weights * self.most[at]
-        order = np.argsort(most)
-        reach = np.cumsum(most[order])
-        if reach[-1] < least * (1 - SLACK):
-            return none
-        place = np.empty(len(at), dtype=np.int32)  # of a list in the order of largest contributions
-        place[order] = np.arange(len(at), dtype=np.int32)
-        sizes = self.lists[at + 1] - self.lists[at]
-        all_entries = entries = _ranges(self.lists[at], self.lists[at + 1])
-        all_blocks = block = self.block[entries]
-        all_weights = weight = np.repeat(weights, sizes)
-        rank, most = np.repeat(place, sizes), weight * self.block_max[entries]
-        self.held += int((self.starts[self.lists[at + 1]] - self.starts[self.lists[at]]).sum())
-        blocks = -(-self.n // BLOCK)
-        bound = np.bincount(block, most, blocks)
-        waiting = (bound > 0) & (bound >= least * (1 - SLACK))
-        docs, scores, threshold, visit = *none, least, VISIT
-        while waiting.any():
-            # Entries of blocks that are done or can't pass go.
-            left = waiting[block]
-            entries, block, weight, rank, most = (c[left] for c in (entries, block, weight, rank, most))
-            live = np.flatnonzero(waiting)
-            if len(live) > visit:
-                live = live[np.argpartition(-bound[live], visit)[:visit]]
-            visit *= 2
-            pivot = int(np.searchsorted(reach, threshold * (1 - SLACK)))
-            visited = np.zeros(blocks, dtype=bool)
-            visited[live] = True
-            mine = visited[block]
-            late = mine & (rank >= pivot)
-            sums = self._sums(entries[late], weight[late])
-            early = mine & ~late
-            rest = np.bincount(block[early], most[early], blocks)
-            able = (sums > 0) & (sums + np.repeat(rest, BLOCK)[: len(sums)] >= threshold * (1 - SLACK))
-            if early.any():
-                open_ = np.zeros(blocks, dtype=bool)
-                open_[np.flatnonzero(able) // BLOCK] = True
-                early &= open_[block]
-                sums += self._sums(entries[early], weight[early])
-            found = np.flatnonzero(able)
-            docs, scores = np.concatenate([docs, found]), np.concatenate([scores, sums[found]])
-            if len(scores) >= k:
-                threshold = max(threshold, np.partition(scores, -k)[-k])
-            keep = scores >= threshold * (1 - SLACK)
-            docs, scores = docs[keep], scores[keep]
-            waiting[live] = False
-            waiting &= bound >= threshold * (1 - SLACK)
-        if not len(docs):
-            return none
-        own = np.zeros(blocks, dtype=bool)
-        own[docs // BLOCK] = True
-        mine = own[all_blocks]
-        return docs, self._sums(all_entries[mine], all_weights[mine])[docs]
-
-    def _sums(self, entries: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        starts, ends = self.starts[entries], self.starts[entries + 1]
-        places = _ranges(starts, ends)
-        self.read += len(places)
-        return np.bincount(self.doc[places], np.repeat(weights, ends - starts) * self.impact[places], self.n)
+        scored: list[np.ndarray] = []
+        found = self.best_of([(terms, weights, least)], k, scored)[0]
+        at = self._known(terms)
+        at = at[at >= 0]
+        self.held += int((self.starts[at + 1] - self.starts[at]).sum())
+        if scored:
+            seen = np.zeros(self.n, dtype=bool)
+            seen[np.concatenate(scored)] = True
+            for t in at:
+                docs = self.doc[self.starts[t] : self.starts[t + 1]]
+                self.read += len(docs) if self.column[t] < 0 else int(seen[docs].sum())
+        return found
+
+    def best_of(
+        self, asked: list[tuple[np.ndarray, np.ndarray, float]], k: int, scored: list[np.ndarray] | None = None
+    ) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``best`` for each of some queries (terms, weights, least). ``scored`` is given the documents whose long lists were read."""
+        found = [(np.empty(0, np.int64), np.empty(0))] * len(asked)
+        known = np.split(self._known(np.concatenate([t for t, _, _ in asked])), np.cumsum([len(t) for t, _, _ in asked])[:-1])
+        live: list[tuple[int, np.ndarray, np.ndarray]] = []
+        for i, (at, (_, weights, least)) in enumerate(zip(known, asked)):
+            at, weights = at[at >= 0], weights[at >= 0]
+            if len(at) and weights @ self.most[at] >= least * (1 - SLACK):
+                live.append((i, at, weights))
+        if not live:
+            return found
+        short = np.empty((len(live), self.n), dtype=np.float32)
+        long = np.zeros((self.columns, len(live)), dtype=np.float32)
+        for j, (_, at, weights) in enumerate(live):
+            column = self.column[at]
+            long[column[column >= 0], j] = weights[column >= 0]
+            at, weights = at[column < 0], weights[column < 0]
+            starts, ends = self.starts[at], self.starts[at + 1]
+            places = _ranges(starts, ends)
+            short[j] = np.bincount(self.doc[places], np.repeat(weights, ends - starts) * self.impact[places], self.n)
+        bound = np.concatenate([long[used].T @ most.T for _, _, used, _, most in self.tiles], axis=1)
+        bound = np.repeat(bound, BLOCK, axis=1)[:, : self.n]
+        bound += short
+        least = np.array([asked[i][2] for i, _, _ in live])
+        if self.n >= k and (unset := np.flatnonzero(least <= 0)).size:
+            # What the short lists alone give to the best k is a first threshold.
+            least[unset] = np.partition(short[unset], self.n - k, axis=1)[:, self.n - k] * (1 - self.slack)
+        waiting = sorted(self.tiles, key=lambda tile: -bound[:, tile[0] : tile[1]].max())
+        query, doc, sums, visit = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float32), VISIT
+        while waiting:
+            need, parts = least * (1 - self.slack), [(query, doc, sums)]
+            for a, b, used, impact, _ in waiting[:visit]:
+                able = (bound[:, a:b] >= need[:, None]) & (bound[:, a:b] > 0)
+                if not (queries := np.flatnonzero(able.any(axis=1))).size:
+                    continue
+                docs = np.flatnonzero(able[queries].any(axis=0))
+                if scored is not None:
+                    scored.append(a + docs)
+                whole = long[used][:, queries].T @ impact[docs].T
+                whole += short[queries, a:b][:, docs]
+                at, place = np.nonzero((whole >= need[queries, None]) & (whole > 0))
+                parts.append((queries[at], a + docs[place], whole[at, place]))
+            waiting, visit = waiting[visit:], 2 * visit
+            query, doc, sums = (np.concatenate(c) for c in zip(*parts))
+            order = np.lexsort([-sums, query])
+            query, doc, sums = query[order], doc[order], sums[order]
+            cuts = np.searchsorted(query, np.arange(len(live) + 1))
+            full = np.flatnonzero(np.diff(cuts) >= k)
+            least[full] = np.maximum(least[full], sums[cuts[full] + k - 1] * (1 - self.slack))
+            left = sums >= (least * (1 - self.slack))[query]
+            query, doc, sums = query[left], doc[left], sums[left]
+        cuts = np.searchsorted(query, np.arange(len(live) + 1))
+        for j in np.flatnonzero(np.diff(cuts)):
+            i, at, weights = live[j]
+            docs = doc[cuts[j] : cuts[j + 1]]
+            found[i] = docs, self._scores(at, weights, docs)
+        return found
+
+    def _known(self, terms: np.ndarray) -> np.ndarray:
+        """Numbers of the terms' lists, -1 for a term without one."""
+        if not len(self.terms):
+            return np.full(len(terms), -1)
+        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
+        return np.where(self.terms[at] == terms, at, -1)
+
+    def _scores(self, at: np.ndarray, weights: np.ndarray, docs: np.ndarray) -> np.ndarray:
+        """Scores in double precision, summed by term, so that equal texts have equal scores in every block and shard."""
+        own = [slice(a, b) for a, b in zip(self.doc_starts[docs].tolist(), self.doc_starts[docs + 1].tolist())]
+        self.weight_of[at] = weights
+        parts = self.weight_of[np.concatenate([self.term_of[s] for s in own])] * np.concatenate([self.impact_of[s] for s in own])
+        self.weight_of[at] = 0
+        return np.bincount(np.repeat(np.arange(len(docs)), [s.stop - s.start for s in own]), parts, len(docs))
 
 
 def search(docs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
@@ -247,8 +291,8 @@ def search(docs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     # A query term that no document has can't score.
     weighted = settle(
         asked.join(df, "term").groupBy("k1", "k2", "query_id")
-        .agg(F.collect_list(F.struct("term", weight.alias("weight"))).alias("terms"))
-        .select("k1", "k2", "query_id", F.col("terms.term").alias("terms"), F.col("terms.weight").alias("weights"))
+        .agg(F.collect_list(F.struct("term", weight.alias("weight"))).alias("terms"), F.max_by("term", F.struct("n", "term")).alias("repeated"))
+        .select("k1", "k2", "query_id", F.col("terms.term").alias("terms"), F.col("terms.weight").alias("weights"), "repeated")
     )
 
     groups = max(1, math.ceil(weighted.count() / HELD))
@@ -282,13 +326,13 @@ def search(docs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     dealt = docs.select(
         F.pmod(F.xxhash64("text", "doc_id"), F.lit(shards)).cast("int").alias("shard"), F.col("doc_id").cast("long").alias("id"),
-        F.xxhash64("doc_id", "text").alias("k1"), none("long").alias("k2"), "text", none("array<long>").alias("terms"), none("array<double>").alias("weights"),
+        F.xxhash64("doc_id", "text").alias("k1"), none("long").alias("k2"), "text", none("array<long>").alias("terms"), none("array<double>").alias("weights"), none("long").alias("repeated"),
     ).select(F.pmod("shard", F.lit(stripes)).alias("stripe"), each(groups).alias("group"), "*")
     sent = weighted.select(
         each(stripes).alias("stripe"), F.pmod(F.xxhash64("k1", "k2"), F.lit(groups)).cast("int").alias("group"), F.lit(-1).alias("shard"),
-        F.col("query_id").alias("id"), "k1", "k2", none("string").alias("text"), "terms", "weights",
+        F.col("query_id").alias("id"), "k1", "k2", none("string").alias("text"), "terms", "weights", "repeated",
     )
-    stream = dealt.unionByName(sent).repartitionById(stripes * groups, F.col("stripe") * groups + F.col("group")).sortWithinPartitions("shard")
+    stream = dealt.unionByName(sent).repartitionById(stripes * groups, F.col("stripe") * groups + F.col("group")).sortWithinPartitions("shard", "repeated")
     found = stream.mapInArrow(answer, "k1 long, k2 long, query_id long, doc_id long, row long, score double")
     order = Window.partitionBy("k1", "k2").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last(), "row")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
@@ -300,12 +344,15 @@ class Query:
     def __init__(self, k1: pa.Scalar, k2: pa.Scalar, query_id: pa.Scalar, terms: pa.Scalar, weights: pa.Scalar):
         self.names = k1.as_py(), k2.as_py(), query_id.as_py()
         self.terms, self.weights = (np.array(c.values) for c in (terms, weights))
+        order = np.argsort(self.terms)  # words that lie side by side are found faster
+        self.terms, self.weights = self.terms[order], self.weights[order]
         self.best: list[tuple[float, bool, int, int]] = []
 
-    def ask(self, index: Index, ids: pa.Array, rows: pa.Array, k: int) -> None:
-        docs, scores = index.best(self.terms, self.weights, k, -self.best[-1][0] if len(self.best) == k else 0.0)
-        at = pa.array(docs)
-        new = [(-s, i is None, i or 0, r) for s, i, r in zip(scores.tolist(), ids.take(at).to_pylist(), rows.take(at).to_pylist(), strict=True)]
+    def least(self, k: int) -> float:
+        return -self.best[-1][0] if len(self.best) == k else 0.0
+
+    def take(self, scores: np.ndarray, ids: pa.Array, rows: pa.Array, k: int) -> None:
+        new = [(-s, i is None, i or 0, r) for s, i, r in zip(scores.tolist(), ids.to_pylist(), rows.to_pylist(), strict=True)]
         self.best = sorted(self.best + new)[:k]
 
     def rows(self) -> list[tuple]:
@@ -316,8 +363,11 @@ def _answer(asked: list[Query], found: Postings, mean: float, ids: list[pa.Array
     if found.n and asked:
         index = Index(found, mean)
         ids_, rows_ = (pa.concat_arrays(c).take(pa.array(index.order)) for c in (ids, rows))
-        for query in asked:
-            query.ask(index, ids_, rows_, k)
+        for a in range(0, len(asked), TOGETHER):
+            some = asked[a : a + TOGETHER]
+            for query, (docs, scores) in zip(some, index.best_of([(q.terms, q.weights, q.least(k)) for q in some], k)):
+                if len(docs):
+                    query.take(scores, *(c.take(pa.array(docs)) for c in (ids_, rows_)), k)
 
 
 _FOUND = pa.schema([

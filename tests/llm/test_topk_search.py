@@ -11,6 +11,7 @@ import pytest
 from compare import SMALL
 
 from patronlens.llm import topk_search as ts
+from patronlens.llm.common import reachable
 from patronlens.llm.queries import QUERIES, documents
 
 
@@ -169,3 +170,60 @@ def test_alike_documents_lie_side_by_side_and_thresholds_carry_on():
     again = dict(zip(*(x.tolist() for x in index.best(terms, counts.astype(float), 10, least))))
     assert {d: s for d, s in again.items() if s >= least} == {d: s for d, s in best.items() if s >= least} and index.read <= read
     assert not len(index.best(terms, counts.astype(float), 10, 1e9)[0])
+
+
+def language(rnd, kinds=4, words=12_000):
+    """Texts in a few languages, each of frequent and rare words of its own."""
+    common = [[f"{kind}x{int(rnd.paretovariate(0.8))}" for _ in range(words)] for kind in range(kinds)]
+    return lambda i, n: " ".join(rnd.choices(common[i % kinds], k=n))
+
+
+@pytest.mark.parametrize("long,columns,together,block", [(50, 4_096, 256, 8), (2, 3, 7, 4), (10**9, 10**9, 5, 8), (10, 0, 1, 1), (20, 50, 64, 16)])
+def test_long_lists_and_queries_put_together_change_no_result(spark, monkeypatch, long, columns, together, block):
+    for name, value in (("LONG", long), ("COLUMNS", columns), ("TOGETHER", together), ("BLOCK", block), ("SHARD", 60), ("STRIPES", 1)):
+        monkeypatch.setattr(ts, name, value)
+    rnd = random.Random(3)
+    text = language(rnd)
+    rows = [(i, text(i, rnd.choice((3, 30, 200)))) for i in range(700)]
+    rows += [(1_000 + i, rows[i % 5][1]) for i in range(40)] + [(2_000, None), (2_001, "nowhere"), (2_002, " ".join(t for _, t in rows[:80]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    queries = [r for r in rows if r[0] % 25 == 0 or r[0] > 2_000]
+    compare(ts.search(docs, docs.where("doc_id % 25 = 0 OR doc_id > 2000"), 10).collect(), brute(rows, queries, 10))
+
+
+def test_whole_texts_as_queries_take_little_more_than_reading_their_lists(spark):
+    rnd = random.Random(12)
+    text = language(rnd, words=40_000)
+    texts = [text(i, rnd.randint(50, 1_500)) for i in range(5_000)]
+
+    def measured(rows):
+        # In a task, as there numpy has one thread, whose CPU seconds are compared.
+        from time import process_time
+
+        texts = pa.array(rows)
+        queries = [(t, c.astype(float)) for _, t, c in ts.bags(texts[:513])]
+        postings, ids = [], [pa.array(np.arange(len(texts)))]
+        for _ in range(3):
+            postings.append(ts.Postings())
+            for a in range(0, len(texts), 1_000):
+                postings[-1].add(texts[a : a + 1_000])
+        index, expected, times = ts.Index(postings.pop(), 775.0), [], []
+        began = process_time()
+        for terms, weights in queries[1:]:
+            at = np.searchsorted(index.terms, terms)
+            lists = [slice(index.starts[index.lists[t]], index.starts[index.lists[t + 1]]) for t in at]
+            scores = np.bincount(np.concatenate([index.doc[p] for p in lists]), np.concatenate([w * index.impact[p] for w, p in zip(weights, lists)]), index.n)
+            expected.append(np.sort(np.partition(scores, -10)[-10:])[::-1].tolist())
+        read = process_time() - began
+        for some in (queries[:1], queries):
+            asked = [ts.Query(*[pa.scalar(i)] * 3, pa.scalar(t.tolist()), pa.scalar(w.tolist())) for i, (t, w) in enumerate(some)]
+            began = process_time()
+            ts._answer(asked, postings.pop(), 775.0, ids, ids, 10)
+            times.append(process_time() - began)
+        yield times[1] - times[0], read, expected, [[row[-1] for row in query.rows()] for query in asked[1:]]
+
+    reachable(spark)
+    ((took, read, expected, found),) = spark.sparkContext.parallelize(texts, 1).mapPartitions(lambda rows: measured(list(rows))).collect()
+    for scores, best in zip(found, expected, strict=True):
+        assert scores == pytest.approx(best, rel=1e-9)
+    assert took < 2.5 * read, (took, read)
